@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.catalog import tokens
+from corpusloom.catalog import corpora, ordering, tokens
 from corpusloom.catalog.registry import QUERIES
 
-__all__ = ["QUERIES", "tokens"]
+__all__ = ["QUERIES", "corpora", "ordering", "tokens"]

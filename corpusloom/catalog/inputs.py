@@ -192,7 +192,7 @@ vocab AS (
 
 
 def wordpiece_cte(words: str) -> str:
-    """CTEs ``wp(word, ids, lens)`` for the distinct words of the relation ``words(word)``."""
+    """CTE ``wp(word, ids, lens)``: the longest-match walk for the distinct words of the relation ``words(word)``."""
     return f"""
 starts AS (SELECT word, unnest(range(1, length(word) + 1)) AS bgn FROM {words} WHERE length(word) <= 100),
 spans AS (
@@ -202,14 +202,15 @@ hits AS (
   SELECT s.word, s.bgn, max(s.n) AS n, arg_max(v.id, s.n) AS id
   FROM spans s JOIN vocab v ON v.piece = CASE WHEN s.bgn = 1 THEN '' ELSE '##' END || substr(s.word, s.bgn, s.n)
   GROUP BY ALL),
-walk(word, bgn, ids, lens) AS (
-  SELECT word, CAST(1 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) FROM {words} WHERE length(word) <= 100
-  UNION ALL
-  SELECT w.word, w.bgn + h.n, list_append(w.ids, h.id), list_append(w.lens, h.n)
-  FROM walk w JOIN hits h ON h.word = w.word AND h.bgn = w.bgn),
+chains AS (
+  SELECT word, list_reduce(
+    list({{'bgn': bgn, 'nxt': bgn + n, 'ids': [id], 'lens': [n]}} ORDER BY bgn),
+    lambda a, x: CASE WHEN x.bgn = a.nxt
+      THEN {{'bgn': a.bgn, 'nxt': x.nxt, 'ids': list_concat(a.ids, x.ids), 'lens': list_concat(a.lens, x.lens)}} ELSE a END) AS c
+  FROM hits GROUP BY word),
 wp AS (
-  SELECT d.word, coalesce(w.ids, [1]) AS ids, coalesce(w.lens, [length(d.word)]) AS lens
-  FROM {words} d LEFT JOIN walk w ON w.word = d.word AND w.bgn = length(d.word) + 1)
+  SELECT d.word, coalesce(w.c.ids, [1]) AS ids, coalesce(w.c.lens, [length(d.word)]) AS lens
+  FROM {words} d LEFT JOIN chains w ON w.word = d.word AND w.c.bgn = 1 AND w.c.nxt = length(d.word) + 1)
 """
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.arrays import let
 from corpusloom.functions.text import LEADING_SPACE, document_text, normalize_word, word_spans, words
+from corpusloom.session import materialize
 
 # Special pieces in id order; sequences both begin and end with the separator.
 SPECIALS = ("[PAD]", "[UNK]", "[SEP]", "[MASK]")
@@ -37,13 +38,15 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
 def derive_vocabulary(docs: DataFrame, n_words: int, n_suffixes: int, text: str = "text", accents: bool = False):
     """``piece, id``: specials, single characters, the commonest words and the commonest word endings.
 
-    Stands in for a published vocabulary file. Counts combine map-side, so popular words do not skew.
+    Stands in for a published vocabulary file. Counts combine map-side, so popular words do not skew; the word
+    counts are written once because three rankings read them.
     """
-    counted = (
+    counted = materialize(
         docs.select(F.explode(words(F.col(text), accents)).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.length("word") <= LONGEST_WORD)
+        .where(F.length("word") <= LONGEST_WORD),
+        "word-counts",
     )
     letters = counted.select(F.explode(F.array_distinct(F.split("word", ""))).alias("piece")).where("piece <> ''").distinct()
     top = counted.where(F.length("word") > 1).orderBy(F.desc("n"), "word").limit(n_words)
