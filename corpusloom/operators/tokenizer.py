@@ -27,7 +27,7 @@ BUCKETS = 4096
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """``piece, id`` from a text file with one piece per line; the id is the line number."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.split("value", "\r?\n").alias("lines"))
+    lines = spark.read.text(path, wholetext=True).select(F.split("value", "\r?\n").alias("lines"))
     return (
         lines.select(F.posexplode("lines").alias("id", "piece"))
         .where("piece <> ''")

@@ -29,10 +29,9 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: str = REVIEWS)
 def read_text_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every file below ``folder`` whose name ends in ``txt`` as one row, rule lines removed; adds ``path``."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*txt")
-        .text(folder)
+        .text(folder, wholetext=True)
     )
     return files.select(without_rule_lines(F.col("value")).alias("text"), F.input_file_name().alias("path"))
 
