@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.catalog import corpora, ordering, qa, rows, tokens
+from corpusloom.catalog import corpora, evaluation, logs, ordering, qa, rows, tokens
 from corpusloom.catalog.registry import QUERIES
 
-__all__ = ["QUERIES", "corpora", "ordering", "qa", "rows", "tokens"]
+__all__ = ["QUERIES", "corpora", "evaluation", "logs", "ordering", "qa", "rows", "tokens"]

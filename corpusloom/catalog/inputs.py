@@ -121,9 +121,12 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a metric log: one run per user, steps numbered by time."""
-    events = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run"), "ts", "event_id", F.col("event_type").alias("metric"), "value",
-        F.unix_micros("ts").alias("at"),
+    # the table's times are UTC without a zone; name the instants whatever the session's zone is
+    ts = F.expr("cast(convert_timezone('UTC', current_timezone(), ts) as timestamp)")
+    events = (
+        table(spark, sf_dir, "events")
+        .select(F.col("user_id").alias("run"), ts.alias("ts"), "event_id", F.col("event_type").alias("metric"), "value")
+        .withColumn("at", F.unix_micros("ts"))
     )
     order = Order((F.col("at"), F.col("event_id")), (F.shiftright("at", 36), F.shiftright("at", 24)))
     return dense_index(events, order, "_step", by=["run"]).select(

@@ -79,9 +79,9 @@ def repad_batches(spark, sf_dir):
     cells AS (
       SELECT batch, pos * width + j - 1 AS flat, tok FROM (
         SELECT batch, pos, width, unnest(input_ids) AS tok, generate_subscripts(input_ids, 1) AS j FROM sized)),
-    ends AS (SELECT batch, pos * width AS flat FROM sized UNION ALL SELECT batch, pos * width + len FROM sized)
+    edge_places AS (SELECT batch, pos * width AS flat FROM sized UNION ALL SELECT batch, pos * width + len FROM sized)
     SELECT CAST(e.batch AS BIGINT) AS batch, CAST(e.flat AS BIGINT) AS flat, CAST(coalesce(c.tok, 0) AS BIGINT) AS value
-    FROM ends e LEFT JOIN cells c USING (batch, flat)"""
+    FROM edge_places e LEFT JOIN cells c USING (batch, flat)"""
 )
 def gather_positions(spark, sf_dir):
     """First token and the place just after the last of every row: picked where they exist, zero elsewhere."""

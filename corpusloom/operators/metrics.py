@@ -170,18 +170,18 @@ def _improvements(min_delta: float, mode: str):
 def plateau_switches(
     losses: DataFrame, order: Order, patience: int, min_delta: float, datasets: int, mode: str = "min"
 ) -> DataFrame:
-    """``run, idx, switch_no``: where a run moves on to its next dataset.
+    """``run, step, switch_no``: where a run moves on to its next dataset.
 
     A loss improves on the best so far if it beats it by more than ``min_delta``; after ``patience`` losses in a row that
     do not, a switch is due and the count starts over. A run has ``datasets - 1`` switches at most.
 
     Only new minima can improve on the best, so the losses are first reduced to those (a bucketed running minimum); the
     order-dependent scan reads just them, in constant memory. Switch positions follow by arithmetic on the gaps between
-    improvements, however long a run is. ``losses`` has a string or integer ``run`` and a ``loss`` without nulls.
+    improvements, however long a run is. ``losses`` has ``run, step`` and a ``loss`` without nulls.
     """
     schema = f"run {dict(losses.dtypes)['run']}, idx bigint, loss double"
     if datasets < 2:
-        return losses.select("run", F.lit(0).cast("bigint").alias("idx"), F.lit(0).cast("bigint").alias("switch_no")).where("false")
+        return losses.select("run", "step", F.lit(0).cast("bigint").alias("switch_no")).where("false")
     indexed = dense_index(losses, order, "idx", by=["run"])
     signed = F.col("loss") if mode == "min" else -F.col("loss")
     records = (
@@ -209,6 +209,8 @@ def plateau_switches(
         .where("room > 0")
         .select("run", "idx", "earlier", F.explode(F.sequence(F.lit(1).cast("bigint"), "room")).alias("k"))
         .select("run", (F.col("idx") + F.col("k") * patience).alias("idx"), (F.col("earlier") + F.col("k")).alias("switch_no"))
+        .join(indexed.select("run", "idx", "step"), ["run", "idx"])
+        .select("run", "step", "switch_no")
     )
 
 

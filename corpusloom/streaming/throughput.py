@@ -10,9 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 VALUES = ("tokens", "millis")
 
 
-def windowed_throughput(steps: DataFrame, interval: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """``run, window, tokens, millis, tokens_per_sec`` per event-time interval; rows later than ``delay`` are dropped."""
-    timed = steps.withWatermark("ts", delay) if steps.isStreaming else steps
+def windowed_throughput(steps: DataFrame, interval: str = "1 hour", delay: str | None = "10 minutes") -> DataFrame:
+    """``run, window, tokens, millis, tokens_per_sec`` per event-time interval; rows later than ``delay`` are dropped.
+
+    Pass ``delay=None`` for a stream that already carries a watermark.
+    """
+    timed = steps.withWatermark("ts", delay) if steps.isStreaming and delay else steps
     sums = timed.groupBy(F.window("ts", interval), "run").agg(*[F.sum(v).alias(v) for v in VALUES])
     return sums.withColumn("tokens_per_sec", F.when(F.col("millis") > 0, F.col("tokens") / (F.col("millis") / 1000)))
 
