@@ -110,7 +110,8 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     replies = turns.where("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("context"))
     start = F.expr("cast(length(context) div 3 as int)")
-    return asked.join(replies, ["conv_id", "turn"]).select(
+    pairs = asked.join(replies, ["conv_id", "turn"]).repartition(4 * spark.sparkContext.defaultParallelism, "conv_id", "turn")
+    return pairs.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         "question",
         "context",
@@ -120,7 +121,13 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a metric log: one run per user, steps numbered by time."""
+    """Events as a metric log, a written table: one run per user, steps numbered by time."""
+    return _metric_log(spark.sparkContext.applicationId, sf_dir)
+
+
+@functools.lru_cache(maxsize=8)
+def _metric_log(app: str, sf_dir: str) -> DataFrame:
+    spark = SparkSession.getActiveSession()
     # the table's times are UTC without a zone; name the instants whatever the session's zone is
     ts = F.expr("cast(convert_timezone('UTC', current_timezone(), ts) as timestamp)")
     events = (
@@ -129,9 +136,10 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("at", F.unix_micros("ts"))
     )
     order = Order((F.col("at"), F.col("event_id")), (F.shiftright("at", 36), F.shiftright("at", 24)))
-    return dense_index(events, order, "_step", by=["run"]).select(
+    log = dense_index(events, order, "_step", by=["run"]).select(
         "run", (F.col("_step") + 1).alias("step"), "ts", "event_id", "metric", "value"
     )
+    return materialize(log, "metric-log")
 
 
 # ---- the same inputs in SQL --------------------------------------------------------------------------------

@@ -31,7 +31,14 @@ from corpusloom.operators.ordering import (
     shuffle_order,
     tail_split,
 )
-from corpusloom.operators.packing import length_membership, packed_order, curriculum_stages, repack_stages, pack
+from corpusloom.operators.packing import (
+    PACKED_KEYS,
+    curriculum_stages,
+    length_membership,
+    pack,
+    packed_order,
+    repack_stages,
+)
 from corpusloom.operators.tokenizer import SEP
 from corpusloom.plans.finetuning import build_finetuning
 from corpusloom.plans.pretraining import build_pretraining, pretraining_manifest
@@ -73,7 +80,7 @@ def val_split(spark, sf_dir):
 @query("SELECT doc_id FROM labels ORDER BY doc_id LIMIT 100")
 def provided_dev_head(spark, sf_dir):
     dev = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
-    return head(dev, Order.of_id("doc_id"), ["doc_id"], F.lit(100))
+    return head(dev, Order.of_id("doc_id"), ["doc_id"], lambda n: 100)
 
 
 @query(f"SELECT doc_id, n_chars FROM {MIXED_SQL} m WHERE rn <= 333")
@@ -106,8 +113,7 @@ TEXT = "array_to_string(input_ids, ',')"
     SELECT CAST(grp AS BIGINT) AS grp, CAST(chunk AS BIGINT) AS chunk, {TEXT} AS input_ids FROM packed"""
 )
 def sorted_pack(spark, sf_dir):
-    rows = encoded(spark, sf_dir).withColumn("length", F.size("input_ids"))
-    out = pack(rows, Order.longest_first("length", "doc_id"), 128, SEP, group_rows=200)
+    out = pack(encoded(spark, sf_dir), Order.longest_first("n", "doc_id"), 128, SEP, group_rows=200)
     return out.select("grp", "chunk", joined(F.col("input_ids")).alias("input_ids"))
 
 
@@ -125,20 +131,22 @@ staged AS (
 
 @query(
     f"""WITH RECURSIVE {TOKENS_CTE}, {packed_cte('packed', 'enc', 'doc_id', '512', True, 16000)},
-    source_rows AS (SELECT input_ids, row_number() OVER (ORDER BY grp, chunk) - 1 AS idx FROM packed),
+    source_rows AS (SELECT input_ids, grp AS g0, chunk AS c0, row_number() OVER (ORDER BY grp, chunk) - 1 AS idx FROM packed),
     {STAGE_SQL},
     {packed_cte('re', '(SELECT * FROM staged WHERE seq_len < 512)', 'idx', 'seq_len', False, 16000, 'seq_len')},
     all_rows AS (
       SELECT seq_len, grp, chunk, input_ids FROM re
-      UNION ALL SELECT seq_len, idx // 16000, idx % 16000, input_ids FROM staged WHERE seq_len = 512)
+      UNION ALL SELECT seq_len, g0, c0, input_ids FROM staged WHERE seq_len = 512)
     SELECT CAST(seq_len AS BIGINT) AS seq_len, CAST(grp AS BIGINT) AS grp, CAST(chunk AS BIGINT) AS chunk, {TEXT} AS input_ids
     FROM all_rows"""
 )
 def curriculum_split(spark, sf_dir):
     staged = curriculum_stages(
-        packed(spark, sf_dir, 512), packed_order(), [0.15, 0.15, 0.15, 0.55], [64, 128, 256, 512], 512
+        packed(spark, sf_dir, 512), packed_order(), PACKED_KEYS, [0.15, 0.15, 0.15, 0.55], [64, 128, 256, 512], 512
     )
-    rows = repack_stages(staged, 512)
+    cut, same = repack_stages(staged, packed_order(), 512)
+    columns = ["seq_len", "grp", "chunk", "input_ids"]
+    rows = cut.select(*columns).unionByName(same.select(*columns))
     return rows.select(F.col("seq_len").cast("bigint").alias("seq_len"), "grp", "chunk", joined(F.col("input_ids")).alias("input_ids"))
 
 
@@ -174,7 +182,7 @@ def _hybrid_sql(pack_order: str, row_order: str, same_key: str) -> str:
     return f"""WITH RECURSIVE {TOKENS_CTE}, {packed_cte('packed', 'enc', pack_order, '512', True, 16000)},
     mixed AS (SELECT *, (('0x'||substr(md5(concat_ws('|', grp, chunk, '42')),1,8))::BIGINT) AS key FROM packed),
     ranked AS (SELECT *, row_number() OVER (ORDER BY {row_order}) AS rn, count(*) OVER () AS total FROM mixed),
-    source_rows AS (SELECT input_ids, rn - 1 AS idx FROM ranked WHERE rn <= total - 100),
+    source_rows AS (SELECT input_ids, key, grp AS g0, chunk AS c0, rn - 1 AS idx FROM ranked WHERE rn <= total - 100),
     dev_rows AS (SELECT input_ids, key, grp AS g0, chunk AS c0, rn FROM ranked WHERE rn > total - 100),
     {STAGE_SQL},
     {packed_cte('re', '(SELECT * FROM staged WHERE seq_len < 512)', 'idx', 'seq_len', False, 16000, 'seq_len')},
@@ -182,7 +190,7 @@ def _hybrid_sql(pack_order: str, row_order: str, same_key: str) -> str:
     {packed_cte('dv', 'wide', 'rn', 'seq_len', False, 16000, 'seq_len')},
     splits AS (
       SELECT 'train' AS role, CASE seq_len WHEN 64 THEN 0 WHEN 128 THEN 1 ELSE 2 END AS part, seq_len, [grp, chunk] AS row_key, input_ids FROM re
-      UNION ALL SELECT 'train', 3, 512, [idx // 16000, idx % 16000], input_ids FROM staged WHERE seq_len = 512
+      UNION ALL SELECT 'train', 3, 512, {same_key}, input_ids FROM staged WHERE seq_len = 512
       UNION ALL SELECT 'dev', CASE seq_len WHEN 64 THEN 0 WHEN 128 THEN 1 ELSE 2 END, seq_len, [grp, chunk], input_ids FROM dv
       UNION ALL SELECT 'dev', 3, 512, {same_key}, input_ids FROM dev_rows)"""
 

@@ -20,7 +20,7 @@ from corpusloom.operators.batching import (
 from corpusloom.operators.hooks import collate, collect_batches, map_batches
 from corpusloom.operators.masking import mask_tokens, masked_count, stage_parameters
 from corpusloom.operators.ordering import Order, dense_index
-from corpusloom.operators.packing import curriculum_stages, packed_order, repack_stages
+from corpusloom.operators.packing import PACKED_KEYS, curriculum_stages, packed_order, repack_stages
 from corpusloom.operators.tokenizer import MASK, PAD, SEP, UNK
 
 BATCH = 16
@@ -166,8 +166,9 @@ def masked_subset(spark, sf_dir):
 )
 def stage_schedule(spark, sf_dir):
     lengths = [64, 128, 256, 512]
-    staged = curriculum_stages(packed(spark, sf_dir, 512), packed_order(), [0.25] * 4, lengths, 512)
-    sizes = repack_stages(staged, 512).groupBy("stage").agg(F.count("*").alias("n_rows"))
+    staged = curriculum_stages(packed(spark, sf_dir, 512), packed_order(), PACKED_KEYS, [0.25] * 4, lengths, 512)
+    cut, same = repack_stages(staged, packed_order(), 512)
+    sizes = cut.select("stage").unionByName(same.select("stage")).groupBy("stage").agg(F.count("*").alias("n_rows"))
     out = stage_parameters(sizes, [0.3] * 4, [512, 256, 128, 64], lengths)
     wide = {c: F.col(c).cast("bigint") for c in ("stage", "seq_len", "micro_batch")}
     return out.withColumns(wide).select("stage", "seq_len", "mlm_p", "micro_batch", "n_rows")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.operators.ordering import Order, dense_index, prefix_sums
+from corpusloom.session import materialize
 
 INFINITY = float("inf")
 
@@ -18,7 +19,8 @@ def length_stats(rows: DataFrame, ids: str = "input_ids") -> DataFrame:
     The upper median ascending is the discrete median descending; its aggregate keeps one counter per distinct
     length, which partial aggregation combines.
     """
-    return rows.select(F.size(ids).cast("bigint").alias("len")).agg(
+    size = F.col("n") if "n" in rows.columns else F.size(ids)
+    return rows.select(size.cast("bigint").alias("len")).agg(
         F.count("len").alias("n"),
         F.min("len").alias("min_len"),
         F.max("len").alias("max_len"),
@@ -182,7 +184,7 @@ def plateau_switches(
     schema = f"run {dict(losses.dtypes)['run']}, idx bigint, loss double"
     if datasets < 2:
         return losses.select("run", "step", F.lit(0).cast("bigint").alias("switch_no")).where("false")
-    indexed = dense_index(losses, order, "idx", by=["run"])
+    indexed = materialize(dense_index(losses, order, "idx", by=["run"]), "losses")
     signed = F.col("loss") if mode == "min" else -F.col("loss")
     records = (
         running_minimum(indexed.withColumn("_signed", signed), "_signed")

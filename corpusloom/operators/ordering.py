@@ -9,10 +9,10 @@ one group holds.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from corpusloom.functions.hashing import hash32
 
@@ -151,69 +151,91 @@ def shuffle_order(df: DataFrame, keys: Sequence[str], seed: int = 42, epoch: int
     return df.withColumn("shuffle_key", hash32(*[F.col(k) for k in keys], *salt))
 
 
-def rank_cutoff(df: DataFrame, order: Order, keys: Sequence[str], rank: Column) -> DataFrame:
-    """One row with the ``keys`` of the row at 1-based ``rank`` (which may refer to the row count ``n``).
+def rank_cutoffs(df: DataFrame, order: Order, keys: Sequence[str], ranks: Sequence[int]) -> dict[int, Row]:
+    """The ``keys`` of the rows at the given 1-based ranks that exist; a row per rank is all that reaches the driver.
 
-    Bucket counts find the one bucket that holds the rank; only that bucket is sorted.
+    Bucket counts find the buckets that hold the ranks; only those are sorted.
     """
     levels = _level_names(order)
     cells = _cells(df, order, {"_rows": F.lit(1).cast("bigint")}, ())
-    total = cells.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
-    hit = (
+    wanted = F.array(*[F.lit(r).cast("bigint") for r in sorted(set(ranks))])
+    hits = (
         cells.join(_offsets(cells, (), levels, ["_rows"]), levels)
-        .withColumn("n", total.scalar())
-        .withColumn("_rank", rank.cast("bigint"))
+        .select(*levels, "_rows", "_before__rows", F.explode(wanted).alias("_rank"))
         .where("_before__rows < _rank and _rank <= _before__rows + _rows")
-        .select(*levels, (F.col("_rank") - F.col("_before__rows")).alias("_need"))
+        .select(*levels, "_rank", (F.col("_rank") - F.col("_before__rows")).alias("_need"))
     )
-    position = F.row_number().over(Window.partitionBy(*levels).orderBy(*order.by))
-    # ``hit`` is at most one row, so broadcasting it is safe at any scale
-    return (
+    position = F.row_number().over(Window.partitionBy("_rank", *levels).orderBy(*order.by))
+    # one row per rank at most, so broadcasting the hits is safe at any scale
+    found = (
         _with_levels(df, order)
-        .join(F.broadcast(hit), levels)
+        .join(F.broadcast(hits), levels)
         .withColumn("_position", position)
         .where("_position = _need")
-        .select(*keys)
+        .select("_rank", F.struct(*keys).alias("_keys"))
     )
+    return {row["_rank"]: row["_keys"] for row in found.collect()}
 
 
-def head(df: DataFrame, order: Order, keys: Sequence[str], rank: Column) -> DataFrame:
-    """Exactly the first ``rank`` rows of an ascending order on ``keys``; a filter, not a sort."""
-    return df.where(_at_or_before(df, order, keys, rank))
-
-
-def head_and_tail(df: DataFrame, order: Order, keys: Sequence[str], rank: Column) -> tuple[DataFrame, DataFrame]:
-    """The first ``rank`` rows and the rest."""
-    inside = _at_or_before(df, order, keys, rank)
-    return df.where(inside), df.where(~inside)
-
+def cut_into(
+    df: DataFrame, order: Order, keys: Sequence[str], ranks: Callable[[int], Sequence[int]], name: str
+) -> DataFrame:
+    """Number the pieces of an ascending order: the first ``ranks[0]`` rows are 0, those up to ``ranks[1]`` 1, and so on.
 
-def _at_or_before(df: DataFrame, order: Order, keys: Sequence[str], rank: Column) -> Column:
-    cutoff = rank_cutoff(df, order, keys, rank).select(F.struct(*keys).alias("cut"))
-    count = df.select(F.count(F.lit(1)).alias("n"))
-    limit = count.select(rank.cast("bigint").alias("r"), "n")
-    wanted = limit.select(F.when(F.col("r") >= F.col("n"), F.lit(1)).when(F.col("r") <= 0, F.lit(-1)).otherwise(F.lit(0)))
-    mode = wanted.scalar()
-    return F.when(mode == 1, F.lit(True)).when(mode == -1, F.lit(False)).otherwise(F.struct(*keys) <= cutoff.scalar())
+    ``ranks`` gets the row count. The bounds are found first (they are a few numbers); comparing each row's keys with
+    them then splits the rows where they are, without moving any. Read from a written table where ``df`` is costly.
+    """
+    n = df.count()
+    at = [min(max(int(r), 0), n) for r in ranks(n)]
+    if any(b < a for a, b in zip(at, at[1:])):
+        raise ValueError("ranks must not fall")
+    inner = [r for r in at if 0 < r < n]
+    cuts = rank_cutoffs(df, order, keys, inner) if inner else {}
+    types = dict(df.dtypes)
+    piece = F.lit(len(at))
+    for i, rank in reversed(list(enumerate(at))):
+        if rank == n:
+            piece = F.lit(i)
+        elif rank > 0:
+            bound = [F.lit(v).cast(types[k]) for k, v in zip(keys, cuts[rank])]
+            inside = F.col(keys[0]) <= bound[0] if len(keys) == 1 else F.struct(*keys) <= F.struct(*bound)
+            piece = F.when(inside, i).otherwise(piece)
+    return df.withColumn(name, piece)
+
+
+def head(df: DataFrame, order: Order, keys: Sequence[str], rank: Callable[[int], int]) -> DataFrame:
+    """Exactly the first ``rank(n)`` rows of an ascending order on ``keys``; a filter, not a sort."""
+    return head_and_tail(df, order, keys, rank)[0]
+
+
+def head_and_tail(
+    df: DataFrame, order: Order, keys: Sequence[str], rank: Callable[[int], int]
+) -> tuple[DataFrame, DataFrame]:
+    """The first ``rank(n)`` rows and the rest."""
+    cut = cut_into(df, order, keys, lambda n: [rank(n)], "_piece")
+    return cut.where("_piece = 0").drop("_piece"), cut.where("_piece = 1").drop("_piece")
 
 
 def discard_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
     """Keep exactly ``int((1 - fraction) * n)`` rows, chosen by the shuffled order."""
     mixed = shuffle_order(df, keys, seed)
     names = ["shuffle_key", *keys]
-    return head(mixed, Order.of_hash(*names), names, F.floor(F.lit(1 - fraction) * F.col("n"))).select(*df.columns)
+    return head(mixed, Order.of_hash(*names), names, lambda n: int((1 - fraction) * n)).select(*df.columns)
 
 
 def tail_split(df: DataFrame, order: Order, keys: Sequence[str], dev_rows: int) -> tuple[DataFrame, DataFrame]:
     """Train and dev: dev is the last ``dev_rows`` rows of the order. Asking for more than there are is an error."""
-    keep = F.when(F.col("n") >= dev_rows, F.col("n") - dev_rows).otherwise(
-        F.raise_error(F.lit("the dev set is larger than the data")).cast("bigint")
-    )
-    return head_and_tail(df, order, keys, keep)
+
+    def train_rows(n: int) -> int:
+        if dev_rows > n:
+            raise ValueError(f"a dev set of {dev_rows} rows is larger than the data ({n} rows)")
+        return n - dev_rows
+
+    return head_and_tail(df, order, keys, train_rows)
 
 
 def cap_rows(df: DataFrame, order: Order, keys: Sequence[str], max_rows: int | None) -> DataFrame:
     """At most ``max_rows`` rows from the front of the order; None, 0 and -1 switch the cap off."""
     if max_rows in (None, 0, -1):
         return df
-    return head(df, order, keys, F.lit(max_rows))
+    return head(df, order, keys, lambda n: max_rows)

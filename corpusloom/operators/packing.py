@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.operators.ordering import Order, dense_index, grouped_offsets
+from corpusloom.operators.ordering import Order, cut_into, grouped_offsets
 
 # Fixed value: rows concatenated before a remainder is dropped.
 GROUP_ROWS = 16_000
@@ -21,18 +21,18 @@ def pack(
     group_rows: int = GROUP_ROWS,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """``by, grp, chunk, input_ids``: each run of ``group_rows`` rows as one stream cut into equal rows.
+    """``by, grp, chunk, input_ids, n``: each run of ``group_rows`` rows as one stream cut into equal rows.
 
     The separator, if any, follows every input row. The last incomplete row of a run is dropped unless it is
     the only one. ``length`` may name an integer column that is constant within ``by``.
 
     Each input row is cut directly at the chunk borders it crosses (its place in the stream is a prefix sum),
     so tokens are never exploded one by one, and any run or group spreads over all tasks: the final grouping
-    key is a single output row.
+    key is a single output row. Where the rows carry their length as ``n``, placing them does not read the tokens.
     """
     width = F.lit(length) if isinstance(length, int) else F.col(length)
     extra = 0 if separator is None else 1
-    size = F.size(ids) + extra
+    size = (F.col("n") if "n" in rows.columns else F.size(ids)) + extra
     stream = F.col(ids) if separator is None else F.concat(F.col(ids), F.array(F.lit(separator)))
     keep = list(dict.fromkeys([*by, *([length] if isinstance(length, str) else [])]))
 
@@ -53,7 +53,8 @@ def pack(
     return (
         pieces.groupBy(*keep, "grp", "chunk")
         .agg(joined.alias("input_ids"))
-        .where((F.size("input_ids") == width) | (F.col("chunk") == 0))
+        .withColumn("n", F.size("input_ids"))
+        .where((F.col("n") == width) | (F.col("chunk") == 0))
     )
 
 
@@ -86,12 +87,17 @@ def length_membership(rows: DataFrame, lengths: Sequence[int], ids: str = "input
 
 
 def curriculum_stages(
-    rows: DataFrame, order: Order, fractions: Sequence[float], lengths: Sequence[int], max_length: int
+    rows: DataFrame,
+    order: Order,
+    keys: Sequence[str],
+    fractions: Sequence[float],
+    lengths: Sequence[int],
+    max_length: int,
 ) -> DataFrame:
-    """Split the order into stages taken from its end; adds ``stage``, ``seq_len`` and the row's ``idx``.
+    """Split an ascending order on ``keys`` into stages taken from its end; adds ``stage`` and ``seq_len``.
 
     Stage i ends where stage i-1 begins and starts at ``int(end - n * fraction_i)``; the last stage is the rest at
-    the front. Bounds depend on the row count only.
+    the front. Rows are told apart by comparing their keys with those at the bounds, so they do not move.
     """
     if len(fractions) != len(lengths):
         raise ValueError("one fraction per stage is needed")
@@ -99,27 +105,26 @@ def curriculum_stages(
         raise ValueError("the fractions must sum to 1")
     if any(n > max_length for n in lengths):
         raise ValueError("a stage cannot be longer than the packed rows")
-    n = rows.select(F.count(F.lit(1)).alias("n")).scalar()
-    indexed = dense_index(rows, order).withColumn("_n", n)
-    end, bounds = F.col("_n"), []
-    for fraction in fractions[:-1]:
-        end = F.floor(end - F.col("_n") * F.lit(float(fraction)))
-        bounds.append(end)
-    stage = F.lit(len(fractions) - 1)
-    for i, begin in reversed(list(enumerate(bounds))):
-        stage = F.when(F.col("idx") >= begin, i).otherwise(stage)
-    lens = F.array(*[F.lit(v) for v in lengths])
-    return indexed.withColumn("stage", stage).withColumn("seq_len", F.get(lens, F.col("stage"))).drop("_n")
 
+    def begins(n: int) -> list[int]:
+        out, end = [], n
+        for fraction in fractions[:-1]:
+            end = int(end - n * fraction)
+            out.append(end)
+        return out[::-1]
 
-def repack_stages(staged: DataFrame, max_length: int, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``stage, seq_len, grp, chunk, input_ids``: every stage at its own length.
+    lens = F.array(*[F.lit(v) for v in lengths])
+    cut = cut_into(rows, order, keys, begins, "_piece")
+    return (
+        cut.withColumn("stage", F.lit(len(lengths) - 1) - F.col("_piece"))
+        .withColumn("seq_len", F.get(lens, F.col("stage")))
+        .drop("_piece")
+    )
 
-    Stages that keep the packed length keep their rows as they are.
-    """
+
+def repack_stages(
+    staged: DataFrame, order: Order, max_length: int, group_rows: int = GROUP_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Stages cut to their own length (``stage, seq_len, grp, chunk, input_ids, n``), and the rows of those that keep it."""
     keep = F.col("seq_len") == max_length
-    same = staged.where(keep).select(
-        "stage", "seq_len", F.expr(f"idx div {group_rows}").alias("grp"), (F.col("idx") % group_rows).alias("chunk"), "input_ids"
-    )
-    cut = repack(staged.where(~keep), Order.of_id("idx"), "seq_len", group_rows, by=["stage", "seq_len"])
-    return cut.unionByName(same)
+    return repack(staged.where(~keep), order, "seq_len", group_rows, by=["stage", "seq_len"]), staged.where(keep)

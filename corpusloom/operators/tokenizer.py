@@ -192,9 +192,10 @@ def _table(rows: list, value, value_type: str) -> Column:
 
 
 def encode_pretraining(docs: DataFrame, tokenizer: WordPiece, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, input_ids`` for every document that is neither empty nor a lone newline."""
+    """``key, input_ids, n`` for every document that is neither empty nor a lone newline; ``n`` is the length."""
     kept = docs.where(~F.col(text).isin("", "\n"))
-    return kept.select(key, tokenizer.framed(tokenizer.token_ids(document_text(F.col(text)))).alias("input_ids"))
+    ids = tokenizer.framed(tokenizer.token_ids(document_text(F.col(text))))
+    return kept.select(key, ids.alias("input_ids")).withColumn("n", F.size("input_ids"))
 
 
 def encode_classification(

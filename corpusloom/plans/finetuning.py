@@ -47,5 +47,5 @@ def build_finetuning(
         train_rows, dev_rows = mixed, encode_for_task(dev, tokenizer, task, settings)
         if settings.dev_rows != -1:
             by_key = Order(tuple(F.col(k) for k in keys), Order.of_id(keys[0]).levels)
-            dev_rows = head(dev_rows, by_key, list(keys), F.lit(settings.dev_rows))
+            dev_rows = head(dev_rows, by_key, list(keys), lambda n: settings.dev_rows)
     return cap_rows(train_rows, order, names, settings.max_train_rows), dev_rows

@@ -39,8 +39,7 @@ def build_pretraining(docs: DataFrame, tokenizer: WordPiece, settings: BuildSett
 
 def _packed(encoded: DataFrame, separator: int, s: BuildSettings) -> DataFrame:
     if s.strategy == "sorted":
-        encoded = encoded.withColumn("length", F.size("input_ids"))
-        source = Order.longest_first("length", "doc_id")
+        source = Order.longest_first("n", "doc_id")
     else:
         source = Order.of_id("doc_id")
     packed = materialize(pack(encoded, source, s.max_seq_length, separator, group_rows=s.group_rows), "packed")
@@ -52,8 +51,9 @@ def _packed(encoded: DataFrame, separator: int, s: BuildSettings) -> DataFrame:
         order = Order.of_hash(*keys)
     train, dev = tail_split(packed, order, keys, s.dev_rows)
     if len(s.training) > 1:
-        staged = curriculum_stages(train, order, s.splits, s.training, s.max_seq_length)
-        train = _named(repack_stages(staged, s.max_seq_length, s.group_rows), F.col("stage"))
+        staged = curriculum_stages(train, order, keys, s.splits, s.training, s.max_seq_length)
+        cut, same = repack_stages(staged, order, s.max_seq_length, s.group_rows)
+        train = _named(cut, F.col("stage")).unionByName(_numbered(same, order, F.col("stage")))
         last = F.col("part") == len(s.training) - 1
         capped = _cap(train.where(last), s.max_train_rows)
         train = train.where(~last).unionByName(capped) if capped is not None else train

@@ -46,4 +46,4 @@ def merge_books_and_articles(books: DataFrame, articles: DataFrame | None) -> Da
 
 def leading_percent(df: DataFrame, percent: float, order: Order, keys: list[str]) -> DataFrame:
     """The first ``percent`` of the rows in the given order, rounded to whole rows (half to even)."""
-    return head(df, order, keys, F.bround(F.col("n") * F.lit(percent) / 100, 0))
+    return head(df, order, keys, lambda n: round(n * percent / 100))
