@@ -14,7 +14,12 @@ IGNORE = -100
 MASK_SHARE = 0.8
 RANDOM_SHARE = 0.1
 
-_TWO_32 = float(2**32)
+
+
+def _hex_bound(share: Column) -> Column:
+    """The eight-digit hex text that a draw must sort before to fall within a share of 2^32."""
+    limit = F.ceil(share * float(2**32))
+    return F.when(limit >= 2**32, "g").otherwise(F.lpad(F.lower(F.hex(limit)), 8, "0"))
 
 
 def mask_tokens(
@@ -35,6 +40,7 @@ def mask_tokens(
     of (row key, position, epoch, seed), so a retried task masks the same tokens and another epoch masks others.
     """
     p = F.lit(float(probability)) if isinstance(probability, (int, float)) else probability
+    masks, randoms = _hex_bound(F.lit(MASK_SHARE)), _hex_bound(F.lit(MASK_SHARE + RANDOM_SHARE))
     row = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
     special = F.array(*[F.lit(s) for s in specials])
 
@@ -42,12 +48,13 @@ def mask_tokens(
         digest = F.md5(F.concat_ws("|", row, i.cast("string"), F.lit(str(epoch)), F.lit(str(seed))))
 
         def outcome(d: Column) -> Column:
-            selected = (hex_slice(d, 0) < p * _TWO_32) & ~F.array_contains(special, token)
-            kind = hex_slice(d, 1)
+            # fixed-width hex sorts like the number it spells, so most draws need no parsing
+            selected = (F.substring(d, 1, 8) < F.col("_bound")) & ~F.array_contains(special, token)
+            kind = F.substring(d, 9, 8)
             other = F.pmod(hex_slice(d, 2), F.lit(vocabulary_size)).cast("int")
             masked = (
-                F.when(kind < MASK_SHARE * _TWO_32, F.lit(mask_id))
-                .when(kind < (MASK_SHARE + RANDOM_SHARE) * _TWO_32, other)
+                F.when(kind < masks, F.lit(mask_id))
+                .when(kind < randoms, other)
                 .otherwise(token)
             )
             return F.struct(
@@ -57,10 +64,10 @@ def mask_tokens(
 
         return let(digest, outcome)
 
-    drawn = rows.withColumn("_drawn", F.transform(F.col(ids), draw))
+    drawn = rows.withColumn("_bound", _hex_bound(p)).withColumn("_drawn", F.transform(F.col(ids), draw))
     return drawn.withColumns(
         {ids: F.transform("_drawn", lambda s: s["id"]), "labels": F.transform("_drawn", lambda s: s["label"])}
-    ).drop("_drawn")
+    ).drop("_drawn", "_bound")
 
 
 def masked_count(labels: Column) -> Column:

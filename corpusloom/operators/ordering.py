@@ -25,7 +25,7 @@ class Order:
     levels: tuple[Column, ...]
 
     @staticmethod
-    def of_id(column: str, coarse_bits: int = 24, fine_bits: int = 12) -> "Order":
+    def of_id(column: str, coarse_bits: int = 22, fine_bits: int = 8) -> "Order":
         """Ascending order of a unique bigint id; a fine bucket holds at most 2^fine_bits rows."""
         c = F.col(column)
         return Order((c,), (F.shiftright(c, coarse_bits), F.shiftright(c, fine_bits)))
@@ -40,7 +40,7 @@ class Order:
     def longest_first(length_column: str, id_column: str) -> "Order":
         """Longest rows first, ties by id; a popular length is split further by id."""
         n, i = F.col(length_column), F.col(id_column)
-        return Order((n.desc(), i), (-n, F.shiftright(i, 24), F.shiftright(i, 12)))
+        return Order((n.desc(), i), (-n, F.shiftright(i, 22), F.shiftright(i, 8)))
 
 
 def _level_names(order: Order) -> list[str]:
@@ -83,21 +83,25 @@ def prefix_sums(
     Exclusive by default: a row's value is the sum over the rows before it. Columns in ``by`` and the
     summed values must not be null.
     """
-    levels, names = _level_names(order), list(values)
-    offsets = _offsets(_cells(df, order, values, by), by, levels, names)
-    upto = (
-        Window.partitionBy(*by, *levels).orderBy(*order.by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    names = list(values)
+    offsets = _offsets(_cells(df, order, values, by), by, _level_names(order), names)
+    placed = _placed(df, order, values, by, offsets)
+    if inclusive:
+        placed = placed.withColumns({n: F.col(n) + F.col(f"_value_{n}") for n in names})
+    return placed.select(*[c for c in df.columns if c not in names], *names)
+
+
+def _placed(
+    df: DataFrame, order: Order, values: Mapping[str, Column], by: Sequence[str], offsets: DataFrame
+) -> DataFrame:
+    """Rows with their exclusive running sums: the bucket's offset plus a scan of the bucket."""
+    levels = _level_names(order)
+    cell = Window.partitionBy(*by, *levels).orderBy(*order.by)
+    upto = cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = _with_levels(df, order).withColumns({f"_value_{n}": v for n, v in values.items()})
-    out = rows.join(offsets, [*by, *levels]).withColumns(
-        {
-            n: F.col(f"_before_{n}")
-            + F.sum(f"_value_{n}").over(upto)
-            - (F.lit(0) if inclusive else F.col(f"_value_{n}"))
-            for n in names
-        }
+    return rows.join(offsets, [*by, *levels]).withColumns(
+        {n: F.col(f"_before_{n}") + F.sum(f"_value_{n}").over(upto) - F.col(f"_value_{n}") for n in values}
     )
-    return out.select(*[c for c in df.columns if c not in names], *names)
 
 
 def dense_index(df: DataFrame, order: Order, name: str = "idx", by: Sequence[str] = ()) -> DataFrame:
@@ -114,31 +118,26 @@ def grouped_offsets(
     a task: only buckets are ever sorted, and the weight at each run's first row travels through the small
     bucket table.
     """
-    levels, names = _level_names(order), ["_idx", "_sum"]
+    levels = _level_names(order)
     values = {"_idx": F.lit(1).cast("bigint"), "_sum": weight.cast("bigint")}
-    offsets = _offsets(_cells(df, order, values, by), by, levels, names)
+    offsets = _offsets(_cells(df, order, values, by), by, levels, list(values))
+    opens_run = F.col("_idx") % group_rows == 0
 
-    rows = prefix_sums(df, order, values, by)
-    first = rows.where(F.col("_idx") % group_rows == 0).select(
-        *by, F.expr(f"_idx div {group_rows}").alias("_grp0"), F.col("_sum").alias("_base0")
-    )
-    offsets = offsets.withColumn("_grp0", F.expr(f"_before__idx div {group_rows}")).join(first, [*by, "_grp0"])
+    # the sum at the first row of every run, then the run that each bucket starts in
+    opening = _placed(df, order, values, by, offsets).where(opens_run)
+    bases = opening.select(*by, F.expr(f"_idx div {group_rows}").alias("_entry"), F.col("_sum").alias("_entry_sum"))
+    offsets = offsets.withColumn("_entry", F.expr(f"_before__idx div {group_rows}")).join(bases, [*by, "_entry"])
 
-    cell = Window.partitionBy(*by, *levels).orderBy(*order.by)
-    upto = cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = (
-        _with_levels(df, order)
-        .withColumn("_weight", weight.cast("bigint"))
-        .join(offsets, [*by, *levels])
-        .withColumn("_idx", F.col("_before__idx") + F.row_number().over(cell) - 1)
-        .withColumn("_sum", F.col("_before__sum") + F.sum("_weight").over(upto) - F.col("_weight"))
-        .withColumn(
-            "_base",
-            F.greatest("_base0", F.max(F.when(F.col("_idx") % group_rows == 0, F.col("_sum"))).over(upto)),
-        )
+    upto = (
+        Window.partitionBy(*by, *levels).orderBy(*order.by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return out.select(
-        *df.columns, F.expr(f"_idx div {group_rows}").alias("_run"), (F.col("_sum") - F.col("_base")).alias("_start")
+    base = F.greatest("_entry_sum", F.max(F.when(opens_run, F.col("_sum"))).over(upto))
+    return (
+        _placed(df, order, values, by, offsets)
+        .withColumn("_base", base)
+        .select(
+            *df.columns, F.expr(f"_idx div {group_rows}").alias("_run"), (F.col("_sum") - F.col("_base")).alias("_start")
+        )
     )
 
 

@@ -64,7 +64,7 @@ PACKED_KEYS = ("grp", "chunk")
 def packed_order(by: Sequence[str] = PACKED_KEYS) -> Order:
     """The stream order of packed rows."""
     group, chunk = by
-    return Order((F.col(group), F.col(chunk)), (F.shiftright(group, 12), F.col(group), F.shiftright(chunk, 12)))
+    return Order((F.col(group), F.col(chunk)), (F.shiftright(group, 12), F.col(group), F.shiftright(chunk, 8)))
 
 
 def repack(

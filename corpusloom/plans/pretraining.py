@@ -103,7 +103,7 @@ def _cap(rows: DataFrame, max_rows: int | None) -> DataFrame | None:
     if max_rows in (None, 0, -1):
         return None
     keyed = rows.withColumns({"_hi": F.get("row_key", F.lit(0)), "_lo": F.get("row_key", F.lit(1))})
-    order = Order((F.col("row_key"),), (F.shiftright("_hi", 12), F.col("_hi"), F.shiftright("_lo", 12)))
+    order = Order((F.col("row_key"),), (F.shiftright("_hi", 12), F.col("_hi"), F.shiftright("_lo", 8)))
     return cap_rows(keyed, order, ["row_key"], max_rows).drop("_hi", "_lo")
 
 

@@ -27,17 +27,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local-mode session may fall back to a
-    folder of this machine; elsewhere a missing setting is an error.
+    The cluster names it in ``spark.checkpoint.dir`` (or as the context's checkpoint folder). Only a local-mode
+    session may fall back to a folder of this machine; elsewhere a missing setting is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
