@@ -135,7 +135,7 @@ def _metric_log(app: str, sf_dir: str) -> DataFrame:
         .select(F.col("user_id").alias("run"), ts.alias("ts"), "event_id", F.col("event_type").alias("metric"), "value")
         .withColumn("at", F.unix_micros("ts"))
     )
-    order = Order((F.col("at"), F.col("event_id")), (F.shiftright("at", 36), F.shiftright("at", 24)))
+    order = Order((F.col("at"), F.col("event_id")), (F.shiftright("at", 38), F.shiftright("at", 24)))
     log = dense_index(events, order, "_step", by=["run"]).select(
         "run", (F.col("_step") + 1).alias("step"), "ts", "event_id", "metric", "value"
     )

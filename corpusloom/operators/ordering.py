@@ -17,6 +17,14 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 from corpusloom.functions.hashing import hash32
 
 
+# ids are bucketed by dropping low bits: 256 rows in a fine bucket, 2^14 buckets in each above
+FINE_BITS, FAN_OUT_BITS, ID_BITS = 8, 14, 50
+
+
+def _id_levels(column: Column, bits: int) -> tuple[Column, ...]:
+    return tuple(F.shiftright(column, n) for n in reversed(range(FINE_BITS, max(bits - FAN_OUT_BITS, FINE_BITS) + 1, FAN_OUT_BITS)))
+
+
 @dataclass(frozen=True)
 class Order:
     """A total order: sort columns plus monotone bucket columns, coarse to fine."""
@@ -25,10 +33,9 @@ class Order:
     levels: tuple[Column, ...]
 
     @staticmethod
-    def of_id(column: str, coarse_bits: int = 22, fine_bits: int = 8) -> "Order":
-        """Ascending order of a unique bigint id; a fine bucket holds at most 2^fine_bits rows."""
-        c = F.col(column)
-        return Order((c,), (F.shiftright(c, coarse_bits), F.shiftright(c, fine_bits)))
+    def of_id(column: str, bits: int = ID_BITS) -> "Order":
+        """Ascending order of a unique bigint id below 2^bits; a fine bucket holds 256 rows at most."""
+        return Order((F.col(column),), _id_levels(F.col(column), bits))
 
     @staticmethod
     def of_hash(hash_column: str, *ties: str) -> "Order":
@@ -37,10 +44,10 @@ class Order:
         return Order((c, *[F.col(t) for t in ties]), (F.shiftright(c, 20), F.shiftright(c, 8)))
 
     @staticmethod
-    def longest_first(length_column: str, id_column: str) -> "Order":
+    def longest_first(length_column: str, id_column: str, bits: int = ID_BITS) -> "Order":
         """Longest rows first, ties by id; a popular length is split further by id."""
         n, i = F.col(length_column), F.col(id_column)
-        return Order((n.desc(), i), (-n, F.shiftright(i, 22), F.shiftright(i, 8)))
+        return Order((n.desc(), i), (-n, *_id_levels(i, bits)))
 
 
 def _level_names(order: Order) -> list[str]:

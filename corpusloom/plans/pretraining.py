@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.operators.ordering import Order, cap_rows, discard_fraction, shuffle_order, tail_split
+from corpusloom.operators.ordering import Order, cap_rows, shuffle_order, tail_split
 from corpusloom.operators.packing import (
     PACKED_KEYS,
     at_lengths,
@@ -29,8 +29,6 @@ def build_pretraining(docs: DataFrame, tokenizer: WordPiece, settings: BuildSett
     ``row_key`` orders the rows of a part. Encoded documents and packed rows are written once to the shared scratch
     folder, because several later passes read a column or two of them.
     """
-    if settings.discard:
-        docs = discard_fraction(docs.select("doc_id", "text"), ["doc_id"], settings.discard, settings.seed)
     encoded = materialize(encode_pretraining(docs, tokenizer), "encoded")
     if settings.strategy == "not_packed":
         return _whole_documents(encoded, settings)

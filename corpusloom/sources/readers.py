@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.text import without_rule_lines
 from corpusloom.operators.ordering import Order, head
+from corpusloom.session import materialize
 
 CORPUS = "doc_id bigint, text string"
 LINES = "line_id bigint, text string"
@@ -26,6 +27,11 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: str = REVIEWS)
     return spark.read.schema(schema).option("sep", "\t").option("multiLine", True).option("escape", '"').csv(path)
 
 
+def with_row_ids(rows: DataFrame, name: str = "doc_id") -> DataFrame:
+    """Number rows that have no key, in file order; written once, so that the numbers are fixed."""
+    return materialize(rows.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def read_text_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every file below ``folder`` whose name ends in ``txt`` as one row, rule lines removed; adds ``path``."""
     files = (

@@ -93,7 +93,7 @@ def _with_meta(spark, name, path, place):
 def _reviews(spark, name, path, place):
     rows = nonempty(_read(spark, path, place, readers.REVIEWS))
     label = binary_label(rows["relevance"]) if name == "germeval_A" else sentiment_label(rows["sentiment"])
-    return rows.withColumn("label", label).select("text", "label")
+    return readers.with_row_ids(rows.select("text", label.alias("label")))
 
 
 def _annotated(spark, name, path, place):
