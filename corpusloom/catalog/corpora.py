@@ -215,4 +215,4 @@ def label_majority_vote(spark, sf_dir):
 
 @query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_id, text||chr(10) AS text FROM documents")
 def lines_to_documents_query(spark, sf_dir):
-    return lines_to_documents(lines(spark, sf_dir))
+    return lines_to_documents(lines(spark, sf_dir), id_bits=50)

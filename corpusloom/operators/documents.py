@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.operators.ordering import Order, prefix_sums
+from corpusloom.operators.ordering import ID_BITS, Order, prefix_sums
 
 # Corpus quality warnings that disqualify a document.
 BAD_WARNINGS = ("noisy", "header", "footer", "short_sentences", "tiny", "adult")
@@ -65,7 +65,9 @@ def majority_level(annotations: Column) -> Column:
     return F.when(F.size(annotations) > 0, -F.array_max(tally)["low"])
 
 
-def lines_to_documents(lines: DataFrame, order_key: str = "line_id", text: str = "text") -> DataFrame:
+def lines_to_documents(
+    lines: DataFrame, order_key: str = "line_id", text: str = "text", id_bits: int = ID_BITS
+) -> DataFrame:
     """Join consecutive lines into documents; a row equal to a newline closes one.
 
     Two breaks in a row give an empty document, lines after the last break belong to none. ``doc_id`` is
@@ -73,7 +75,7 @@ def lines_to_documents(lines: DataFrame, order_key: str = "line_id", text: str =
     only; every line then travels once, to its document.
     """
     is_break = F.col(text) == BREAK
-    numbered = prefix_sums(lines, Order.of_id(order_key), {"doc_id": is_break.cast("bigint")})
+    numbered = prefix_sums(lines, Order.of_id(order_key, id_bits), {"doc_id": is_break.cast("bigint")})
     parts = F.array_sort(F.collect_list(F.when(~is_break, F.struct(order_key, text))))
     return (
         numbered.groupBy("doc_id")

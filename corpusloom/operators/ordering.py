@@ -17,8 +17,10 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 from corpusloom.functions.hashing import hash32
 
 
-# ids are bucketed by dropping low bits: 256 rows in a fine bucket, 2^14 buckets in each above
-FINE_BITS, FAN_OUT_BITS, ID_BITS = 8, 14, 50
+# Ids are bucketed by dropping low bits: 256 rows in a fine bucket, 2^14 buckets in each above it. 36 bits suit
+# dense ids up to 68 billion with two levels; sparse ids need the bits of the largest one, so that the top level
+# stays at 2^14 buckets.
+FINE_BITS, FAN_OUT_BITS, ID_BITS = 8, 14, 36
 
 
 def _id_levels(column: Column, bits: int) -> tuple[Column, ...]:

@@ -64,7 +64,7 @@ def prepare_dataset(
     train, dev, key = _loaded(spark, name, locations, settings)
     task = task_of(name)
     if task == "pre-training":
-        docs = lines_to_documents(train) if name == LINE_CORPUS else train
+        docs = lines_to_documents(train, id_bits=settings.id_bits) if name == LINE_CORPUS else train
         splits = materialize(build_pretraining(docs, tokenizer, settings), "splits")
         write_splits(splits, os.path.join(out, "data"), fmt)
         write_manifest(pretraining_manifest(splits), os.path.join(out, "manifest"))

@@ -46,7 +46,7 @@ def build_finetuning(
     else:
         train_rows, dev_rows = mixed, encode_for_task(dev, tokenizer, task, settings)
         if settings.dev_rows != -1:
-            by_key = Order(tuple(F.col(k) for k in keys), Order.of_id(keys[0]).levels)
+            by_key = Order(tuple(F.col(k) for k in keys), Order.of_id(keys[0], bits=64).levels)
             dev_rows = head(dev_rows, by_key, list(keys), lambda n: settings.dev_rows)
         dev_rows = dev_rows.withColumn("shuffle_key", F.lit(None).cast("bigint"))  # a given dev set keeps its order
     return cap_rows(train_rows, order, names, settings.max_train_rows), dev_rows

@@ -37,9 +37,9 @@ def build_pretraining(docs: DataFrame, tokenizer: WordPiece, settings: BuildSett
 
 def _packed(encoded: DataFrame, separator: int, s: BuildSettings) -> DataFrame:
     if s.strategy == "sorted":
-        source = Order.longest_first("n", "doc_id")
+        source = Order.longest_first("n", "doc_id", s.id_bits)
     else:
-        source = Order.of_id("doc_id")
+        source = Order.of_id("doc_id", s.id_bits)
     packed = materialize(pack(encoded, source, s.max_seq_length, separator, group_rows=s.group_rows), "packed")
     if s.strategy == "sorted":
         order, keys = packed_order(), list(PACKED_KEYS)
@@ -80,7 +80,7 @@ def _dev(dev: DataFrame, order: Order, s: BuildSettings) -> DataFrame:
 def _whole_documents(encoded: DataFrame, s: BuildSettings) -> DataFrame:
     """Documents of exactly the wanted lengths train; the last of the others are dev, re-packed to each length."""
     train, rest = length_membership(encoded, s.training)
-    order = Order.of_id("doc_id")
+    order = Order.of_id("doc_id", s.id_bits)
     _, dev = tail_split(rest, order, ["doc_id"], s.dev_rows)
     part = F.array_position(F.array(*[F.lit(n) for n in s.training]), F.col("seq_len")) - 1
     train = train.select(part.cast("int").alias("part"), "seq_len", F.array(F.col("doc_id")).alias("row_key"), "input_ids")

@@ -1,10 +1,11 @@
-"""Settings of a corpus build."""
+"""Settings of a corpus build; ``id_bits`` is the size of the largest document id (see ``Order.of_id``)."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from corpusloom.functions.scalars import equal_shares
+from corpusloom.operators.ordering import ID_BITS
 from corpusloom.operators.packing import GROUP_ROWS
 
 STRATEGIES = ("naive", "sorted", "not_packed")
@@ -28,6 +29,7 @@ class BuildSettings:
     truncate: bool = True
     seed: int = 42
     group_rows: int = GROUP_ROWS
+    id_bits: int = ID_BITS
 
     def __post_init__(self):
         if self.strategy not in STRATEGIES:

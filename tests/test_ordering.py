@@ -44,6 +44,14 @@ def test_prefix_sums_restart_in_groups(spark, rows):
     assert {r.id: r.s for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("bits,levels", [(8, 1), (22, 1), (36, 2), (50, 3), (64, 4)])
+def test_id_levels_do_not_change_the_result(rows, bits, levels):
+    order = Order.of_id("id", bits)
+    assert len(order.levels) == levels
+    got = dense_index(rows, order).collect()
+    assert [r.idx for r in sorted(got)] == list(range(len(got)))
+
+
 def test_dense_index_of_the_shuffled_order(rows):
     mixed = shuffle_order(rows, ["id"])
     got = dense_index(mixed, Order.of_hash("shuffle_key", "id")).collect()
