@@ -21,11 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def few_splits(df: DataFrame) -> bool:
+    """Whether a scan has fewer splits than there are cores, as the one-file test tables do."""
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents spread over all cores: the test file is one row group, a real corpus comes in many splits."""
-    return table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text"))).repartition(
-        4 * spark.sparkContext.defaultParallelism, "doc_id"
-    )
+    """Documents; a table of few splits is spread over the cores, a real corpus is read as it lies."""
+    docs = table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
+    return spread(docs, "doc_id") if few_splits(docs) else docs
 
 
 @functools.lru_cache(maxsize=8)
@@ -110,7 +118,9 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     replies = turns.where("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("context"))
     start = F.expr("cast(length(context) div 3 as int)")
-    pairs = asked.join(replies, ["conv_id", "turn"]).repartition(4 * spark.sparkContext.defaultParallelism, "conv_id", "turn")
+    pairs = asked.join(replies, ["conv_id", "turn"])
+    if few_splits(turns):
+        pairs = spread(pairs, "conv_id", "turn")
     return pairs.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         "question",

@@ -161,46 +161,47 @@ def metric_report(spark, sf_dir):
     return maps.select("run", metrics_text(F.col("metrics"), "run").alias("report"))
 
 
-def _as_files(rows, label: str) -> str:
-    """Rows as four files that appear in time order, the way a log grows."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, label)
+def _growing(rows, label: str):
+    """Write the rows to a folder in four steps of time, yielding the folder after each, the way a log grows."""
+    path = scratch_path(rows.sparkSession, label)
     rows = materialize(rows, label)
-    cuts = rows.select(F.unix_micros("ts").alias("at")).approxQuantile("at", [0.25, 0.5, 0.75], 0.01)
-    at, low = F.unix_micros("ts"), None
-    for high in [*cuts, None]:
-        inside = F.lit(True) if low is None else at >= low
-        inside = inside if high is None else inside & (at < high)
-        rows.where(inside).coalesce(1).write.mode("append").parquet(path)
-        low = high
-    return path
+    at = F.unix_micros("ts")
+    cuts = rows.select(at.alias("at")).approxQuantile("at", [0.25, 0.5, 0.75], 0.01)
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:]):
+        after = F.lit(True) if low is None else at >= low
+        before = F.lit(True) if high is None else at < high
+        rows.where(after & before).write.mode("append").parquet(path)
+        yield path
 
 
 @query(PROGRESS_SQL)
 def stream_progress_query(spark, sf_dir):
     steps = _steps(metric_log(spark, sf_dir))
-    path, out = _as_files(steps, "steps"), scratch_path(spark, "progress")
-    stream = read_metric_stream(spark, path, steps.schema, files_per_trigger=1)
-    stream_progress(stream, Order.of_id("step"), DEVICES, out, os.path.join(out, "checkpoint")).awaitTermination()
+    out = scratch_path(spark, "progress")
+    for path in _growing(steps, "steps"):
+        stream = read_metric_stream(spark, path, steps.schema)
+        stream_progress(stream, Order.of_id("step"), DEVICES, out, os.path.join(out, "checkpoint")).awaitTermination()
     return read_progress(spark, out).select("run", "step", "samples", "tokens", "masked_tokens")
 
 
 @query(PLATEAU_SQL)
 def stream_plateau(spark, sf_dir):
     losses = _losses(metric_log(spark, sf_dir))
-    path, out = _as_files(losses, "losses"), scratch_path(spark, "switches")
-    stream = read_metric_stream(spark, path, losses.schema, files_per_trigger=1)
-    found = plateau_stream(stream, PATIENCE, DELTA, DATASETS)
-    write_switches(found, os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
+    out = scratch_path(spark, "switches")
+    for path in _growing(losses, "losses"):
+        found = plateau_stream(read_metric_stream(spark, path, losses.schema), PATIENCE, DELTA, DATASETS)
+        write_switches(found, os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
     return spark.read.schema("run bigint, step bigint, switch_no bigint").parquet(os.path.join(out, "rows"))
 
 
 @query(THROUGHPUT_SQL)
 def stream_throughput(spark, sf_dir):
     timed = _timed(metric_log(spark, sf_dir)).withColumn("metric", F.lit("tokens"))
-    path, out = _as_files(timed, "timed"), scratch_path(spark, "throughput")
-    stream = deduplicated(read_metric_stream(spark, path, timed.schema, files_per_trigger=1))
-    write_throughput(windowed_throughput(stream, delay=None), os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
+    out = scratch_path(spark, "throughput")
+    for path in _growing(timed, "timed"):
+        stream = windowed_throughput(deduplicated(read_metric_stream(spark, path, timed.schema)), delay=None)
+        write_throughput(stream, os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
     rows = read_throughput(spark, os.path.join(out, "rows"))
     return rows.select(
         "run", F.unix_timestamp("window.start").alias("hour"), "tokens", F.round("tokens_per_sec", 4).alias("tokens_per_sec")

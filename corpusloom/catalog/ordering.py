@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog.inputs import (
-    QUESTIONS_SQL,
     REVIEWS_SQL,
     TOKENS_CTE,
-    VOCABULARY_CTE,
     documents,
     encoded,
     hash_sql,
     packed,
     packed_cte,
-    questions,
     reviews,
     tokenizer,
 )

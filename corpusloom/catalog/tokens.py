@@ -16,7 +16,6 @@ from corpusloom.catalog.inputs import (
     reviews,
     tokenizer,
     vocabulary,
-    WORD_SQL,
     wordpiece_cte,
     literal,
 )
