@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import functools
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from corpusloom.functions.hashing import hash32
 from corpusloom.functions.text import CONTROL, WHITESPACE, WORD
 from corpusloom.operators.ordering import Order, dense_index
 from corpusloom.operators.packing import pack
 from corpusloom.operators.tokenizer import SEP, WordPiece, derive_vocabulary, encode_pretraining
-from corpusloom.session import materialize
+from corpusloom.session import scratch_path
 
 N_WORDS, N_SUFFIXES = 4000, 2000
 
@@ -36,10 +37,20 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spread(docs, "doc_id") if few_splits(docs) else docs
 
 
-@functools.lru_cache(maxsize=8)
-def _tokenizer(app: str, sf_dir: str) -> WordPiece:
-    spark = SparkSession.getActiveSession()
-    return WordPiece(materialize(vocabulary(spark, sf_dir), "vocabulary"))
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_TOKENIZERS: dict[tuple[str, str], WordPiece] = {}
+
+
+def written(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived input as a table that is written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        df = build()
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        _WRITTEN[key] = (path, df.schema)
+    path, schema = _WRITTEN[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,30 +58,25 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenizer(spark: SparkSession, sf_dir: str) -> WordPiece:
-    """The vocabulary of a test folder, derived once per session (a vocabulary is an input, made once)."""
-    return _tokenizer(spark.sparkContext.applicationId, sf_dir)
-
-
-@functools.lru_cache(maxsize=8)
-def _encoded(app: str, sf_dir: str) -> DataFrame:
-    spark = SparkSession.getActiveSession()
-    return materialize(encode_pretraining(documents(spark, sf_dir), tokenizer(spark, sf_dir)), "encoded")
+    """The tokenizer of a test folder (a vocabulary is an input, made once)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = WordPiece(written(spark, sf_dir, "vocabulary", lambda: vocabulary(spark, sf_dir)))
+    return _TOKENIZERS[key]
 
 
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded documents as a written table, once per session."""
-    return _encoded(spark.sparkContext.applicationId, sf_dir)
-
-
-@functools.lru_cache(maxsize=8)
-def _packed(app: str, sf_dir: str, length: int) -> DataFrame:
-    spark = SparkSession.getActiveSession()
-    return materialize(pack(encoded(spark, sf_dir), Order.of_id("doc_id"), length, SEP), f"packed{length}")
+    """Encoded documents."""
+    return written(
+        spark, sf_dir, "encoded", lambda: encode_pretraining(documents(spark, sf_dir), tokenizer(spark, sf_dir))
+    )
 
 
 def packed(spark: SparkSession, sf_dir: str, length: int) -> DataFrame:
-    """Packed rows as a written table, once per session and length."""
-    return _packed(spark.sparkContext.applicationId, sf_dir, length)
+    """Packed rows of one length."""
+    return written(
+        spark, sf_dir, f"packed{length}", lambda: pack(encoded(spark, sf_dir), Order.of_id("doc_id"), length, SEP)
+    )
 
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,12 +138,10 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a metric log, a written table: one run per user, steps numbered by time."""
-    return _metric_log(spark.sparkContext.applicationId, sf_dir)
+    return written(spark, sf_dir, "metric-log", lambda: _metric_log(spark, sf_dir))
 
 
-@functools.lru_cache(maxsize=8)
-def _metric_log(app: str, sf_dir: str) -> DataFrame:
-    spark = SparkSession.getActiveSession()
+def _metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the table's times are UTC without a zone; name the instants whatever the session's zone is
     ts = F.expr("cast(convert_timezone('UTC', current_timezone(), ts) as timestamp)")
     events = (
@@ -146,10 +150,9 @@ def _metric_log(app: str, sf_dir: str) -> DataFrame:
         .withColumn("at", F.unix_micros("ts"))
     )
     order = Order((F.col("at"), F.col("event_id")), (F.shiftright("at", 38), F.shiftright("at", 24)))
-    log = dense_index(events, order, "_step", by=["run"]).select(
+    return dense_index(events, order, "_step", by=["run"]).select(
         "run", (F.col("_step") + 1).alias("step"), "ts", "event_id", "metric", "value"
     )
-    return materialize(log, "metric-log")
 
 
 # ---- the same inputs in SQL --------------------------------------------------------------------------------
