@@ -9,6 +9,7 @@ returns. As a rate is a fold over those few numbers, no table of rates is ever w
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,9 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.llm.common import BLANKS, narrow, table
 from corpusloom.session import materialize
 
-#: Hash buckets of words, pseudo-count of a word's evidence and the least that counts, labelled rows at most per domain,
-#: gradient steps.
-BUCKETS, SHRINK, LEAST_EVIDENCE, MAX_LABELLED, STEPS = 1 << 13, 5.0, 0.7, 10_000, 12
+#: Marker words of the classifier at most, labelled rows at most per domain, gradient steps.
+MARKERS, MAX_LABELLED, STEPS = 512, 10_000, 12
 
 #: Domains of the labelled table and the shares of the tokens they are to have.
 DOMAINS = ("good", "low", "toxic")
@@ -31,22 +31,30 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """Words between ASCII blanks; an empty array for none."""
+    """Lower-cased words between ASCII blanks, without full stops and commas; an empty array for none."""
     blanks = BLANKS.encode("unicode_escape").decode()
-    bare = F.btrim(F.coalesce(text, F.lit("")), F.expr(f"'{blanks}'"))
+    bare = F.btrim(F.translate(F.lower(F.coalesce(text, F.lit(""))), ".,", ""), F.expr(f"'{blanks}'"))
     return F.when(bare == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
 
 
-def buckets_of(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(F.lower(w)).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def evidence(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_col: str, text_col: str, max_labelled: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """Log prior of each domain and log ratio of each bucket and domain, from labelled documents.
+@dataclass(frozen=True)
+class Classifier:
+    """Bernoulli naive Bayes over marker words: a start per domain, and what each marker (by hash) adds to it."""
 
-    At most about ``max_labelled`` of each domain are read, chosen by a hash of the id: the bound concerns this fit
-    alone. A bucket counts once per document. Ratios compare with what the bucket's total leads to expect, shrunk by
-    pseudo-counts, and weak ones are dropped, so neither rare nor common words add up to noise. Priors are the shares of all labelled documents. None without labels.
+    start: np.ndarray
+    markers: list[int]
+    weights: np.ndarray
+
+
+def train(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_col: str, text_col: str, max_labelled: int) -> Classifier | None:
+    """Fit on labelled documents, at most about ``max_labelled`` of each domain, chosen by a hash of the id.
+
+    That bound concerns this fit alone; priors are shares of all labelled documents. Markers are the words that are
+    at least twice as frequent in some domain's documents as in all, the most telling first. None without labels.
     """
     known = labelled.where(F.col("domain").isin(list(domains)) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
@@ -58,33 +66,42 @@ def evidence(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_co
     share = F.lit(0.0)
     for name, n in sizes.items():
         share = F.when(F.col("domain") == name, min(1.0, max_labelled / n)).otherwise(share)
-    chosen = present.where(draw < share).select("domain", F.explode(F.array_distinct(buckets_of(words_of(F.col("text"))))).alias("bucket"))
-    counts = np.zeros((BUCKETS, len(domains)))
-    for r in chosen.groupBy("bucket", "domain").agg(F.count("*").alias("n")).collect():  # a row per bucket and domain
-        counts[r.bucket, domains.index(r.domain)] = r.n
-    drawn = counts.sum(axis=0)
-    expected = counts.sum(axis=1)[:, None] * drawn[None, :] / max(drawn.sum(), 1.0)
-    ratios = np.log((counts + SHRINK) / (expected + SHRINK))
-    ratios[np.abs(ratios) < LEAST_EVIDENCE] = 0.0
+    chosen = materialize(present.where(draw < share).select("domain", F.array_distinct(hashes_of(words_of(F.col("text")))).alias("words")), "mixing-labelled")
+    drawn = {r.domain: r.n for r in chosen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    total = max(sum(drawn.values()), 1)
+    counts = chosen.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
+        *[F.count_if(F.col("domain") == d).alias(f"c{k}") for k, d in enumerate(domains)]
+    )
+    seen = sum((F.col(f"c{k}") for k in range(1, len(domains))), F.col("c0"))
+    tells = []
+    for k, d in enumerate(domains):
+        c, e = F.col(f"c{k}"), seen * (drawn.get(d, 0) / total)
+        tells.append(F.when((c >= 10) & (c >= 2 * e), (c - e) * (c - e) / e).otherwise(0.0))
+    top = counts.withColumn("_tells", F.greatest(*tells)).where("_tells >= 20").orderBy(F.desc("_tells"), "word").limit(MARKERS).collect()
     n = np.array([sizes.get(d, 0) for d in domains], float)
-    return np.log((n + 1) / (n.sum() + len(domains))), ratios
+    prior = np.log((n + 1) / (n.sum() + len(domains)))
+    if not top:
+        return Classifier(prior, [], np.zeros((0, len(domains))))
+    c = np.array([[r[f"c{k}"] for k in range(len(domains))] for r in top], float)
+    size = np.array([drawn.get(d, 0) for d in domains], float)
+    likely = (c + c.sum(axis=1, keepdims=True) / total) / (size + 1)
+    likely = np.clip(likely, 1e-6, 1 - 1e-6)
+    return Classifier(prior + np.log1p(-likely).sum(axis=0), [r.word for r in top], np.log(likely / (1 - likely)))
 
 
-def _constant(values: np.ndarray) -> Column:
-    """An array of doubles as one literal."""
-    return F.expr("cast(split('" + ",".join(f"{v:.6g}" for v in values) + "', ',') as array<double>)")
+def _constant(values: Sequence, kind: str) -> Column:
+    """An array as one literal."""
+    return F.expr("cast(split('" + ",".join(f"{v:.8g}" if kind == "double" else str(v) for v in values) + f"', ',') as array<{kind}>)")
 
 
-def posteriors(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str, buckets: str = "_buckets") -> Column:
-    """Array of the domain probabilities, from the column of word buckets: softmax of prior plus evidence.
-
-    The evidence of the domains relative to the first is added up over the distinct buckets of a text.
-    """
-    prior, ratios = model
+def scores_of(model: Classifier) -> Column:
+    """Array of the log scores of the domains, relative to the first: the start plus the markers that occur."""
     scores = [F.lit(0.0)]
-    for k in range(1, len(prior)):
-        weights = _constant(ratios[:, k] - ratios[:, 0])
-        total = F.aggregate(F.col(buckets), F.lit(float(prior[k] - prior[0])), lambda a, i: a + F.get(weights, i))
+    for k in range(1, len(model.start)):
+        total = F.lit(float(model.start[k] - model.start[0]))
+        if model.markers:
+            weights = _constant(model.weights[:, k] - model.weights[:, 0], "double")
+            total = F.aggregate(F.col("_found"), total, lambda a, i: a + F.element_at(weights, i))
         scores.append(F.least(F.greatest(total, F.lit(-50.0)), F.lit(50.0)))
     return F.array(*scores)
 
@@ -96,8 +113,10 @@ def memberships(docs: DataFrame, model, domains: Sequence[str], text_col: str) -
     if model is None:
         even = F.array(*[F.lit(1.0 / len(domains))] * len(domains))
         return counted.withColumn("_p", even).drop("_words")
-    scored = counted.withColumn("_buckets", F.array_distinct(buckets_of(F.col("_words")))).drop("_words")
-    scored = scored.withColumn("_scores", posteriors(scored, model, text_col)).drop("_buckets")
+    markers = _constant(model.markers, "bigint") if model.markers else F.expr("cast(array() as array<bigint>)")
+    found = F.transform(F.array_intersect(hashes_of(F.col("_words")), markers), lambda h: F.array_position(markers, h).cast("int"))
+    scored = counted.withColumn("_found", found).drop("_words")
+    scored = scored.withColumn("_scores", scores_of(model)).drop("_found")
     highest = F.array_max("_scores")
     scored = scored.withColumn("_scores", F.transform("_scores", lambda s: F.exp(s - highest)))
     total = F.aggregate("_scores", F.lit(0.0), lambda a, x: a + x)
@@ -162,7 +181,7 @@ def plan(
     which a document of the first domain has a rate of 1 or more, so that none of those is given up.
     """
     domains = tuple(targets)
-    model = evidence(docs, labelled, domains, id_col, text_col, max_labelled)
+    model = train(docs, labelled, domains, id_col, text_col, max_labelled)
     members = materialize(memberships(docs, model, domains, text_col), "mixing-members")
     if model is None:
         return members, F.lit(1.0), F.lit(1)
