@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -40,8 +41,9 @@ class Memo(dict):
         return value
 
 
+@cache
 def word_memo() -> Memo:
-    """64-bit codes of words, remembered per Python worker."""
+    """64-bit codes of words, remembered by each Python worker."""
     return Memo(xxhash.xxh3_64_intdigest)
 
 
