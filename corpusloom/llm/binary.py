@@ -11,6 +11,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -210,6 +211,12 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, ("\n" + text).replace("\n", " \n").split(" ")[1:]))[2:]
 
 
+@cache
+def encoder_of(path: str) -> Encoder:
+    """One encoder per Python worker: what a task has learned serves the next."""
+    return Encoder(path)
+
+
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> None:
     """Encode every text and write the shards to ``path`` in ascending order of id (nulls first).
 
@@ -218,7 +225,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     """
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part, shard = Encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, part, shard = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0
         keys: list[int] = []
         ids: list[bytes] = []
         size = 0
