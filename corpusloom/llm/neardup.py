@@ -199,7 +199,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, settings: Settings, group: int
     dealt = pairs.join(size, "b").withColumn("_group", F.pmod(F.xxhash64("a"), F.col("_groups")).cast("int"))
     firsts = dealt.select("b", "_group").distinct().withColumns({"doc_id": F.col("b"), "_first": F.lit(0)})
     wanted = firsts.unionByName(dealt.select("b", "_group", F.col("a").alias("doc_id"), F.lit(1).alias("_first")))
-    texts = wanted.join(docs, "doc_id")
+    texts = wanted.hint("merge").join(docs, "doc_id")
     ordered = texts.repartition("b", "_group").sortWithinPartitions("b", "_group", "_first")
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -279,7 +279,7 @@ def near_duplicates(
     bands = heads.select("doc_id", F.explode("bands").alias("band"))
     centers = bands.groupBy("band").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("_most")).where("b <> _most").drop("_most")
     buckets = materialize(bands.join(centers, "band"), "near-buckets")
-    suspects = materialize(texts.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "near-suspects")
+    suspects = materialize(texts.join(buckets.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), "near-suspects")
     stars = buckets.where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
     stars = materialize(stars.join(left, "a").join(right, "b").where(close).select("a", "b"), "near-stars")
     links = materialize(confirmed(stars, suspects, settings), "near-confirmed")
@@ -292,7 +292,7 @@ def near_duplicates(
     sizes = labelled.groupBy("band", "component").agg(F.count("*").alias("_n"))
     largest = sizes.groupBy("band").agg(F.max_by("component", "_n").alias("largest"), F.count("*").alias("_components"))
     rest = materialize(labelled.join(largest.where("_components > 1"), "band").select("band", "doc_id", "component", "largest"), "near-open")
-    tables = bit_tables(suspects.join(rest.select("doc_id").distinct(), "doc_id", "left_semi"), settings)
+    tables = bit_tables(suspects.join(rest.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), settings)
     weighed = materialize(sides.join(tables, "doc_id"), "near-tables")
     left = rest.where("component <> largest").join(weighed, "doc_id").select(
         "band", "largest", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("n_la"), F.col("planes").alias("la"), F.col("bits").alias("ta")
