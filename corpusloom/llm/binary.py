@@ -205,7 +205,8 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        words, gaps = text.split(), text.count(" ") + text.count("\n")
+        if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
             return self._ids(text)
         # the first piece is given a line break, whose one id is cut off again
         return b"".join(map(self.pieces.__getitem__, ("\n" + text).replace("\n", " \n").split(" ")[1:]))[2:]

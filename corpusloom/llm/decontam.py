@@ -217,4 +217,5 @@ def decontaminate(
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", least_coverage: float = COVERAGE) -> DataFrame:
     """The rows that are not contaminated, with all their columns."""
-    return with_coverage(docs, benchmark, text_col).where(~contaminated(least_coverage)).drop("_leak")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text_col}`").alias("text"))
+    return with_coverage(whole, benchmark).where(~contaminated(least_coverage)).select("_row.*")

@@ -102,7 +102,6 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 continue
         elif not closing and name not in _VOID and _set_aside(name, attributes, article > 0):
             close()
-            out.extend([("", 0, False)] * WINDOW)
             skipped, depth = name, 1
             continue
         if name in _BLOCKS:

@@ -323,4 +323,5 @@ def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_co
     Of several rows with that id one stays.
     """
     gone = near_duplicates(docs, settings, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(gone.distinct(), F.col(f"`{id_col}`") == F.col("_id"), "left_anti")
+    gone = gone.distinct().hint("merge")
+    return docs.join(gone, docs[f"`{id_col}`"] == gone["_id"], "left_anti")

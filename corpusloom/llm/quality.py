@@ -82,8 +82,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     One narrow pass. Windows are compared by 64-bit hashes; only documents with a repeated one sort them.
     """
     text = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    blanks = BLANKS.encode("unicode_escape").decode().replace("'", "\\'")
-    trimmed = F.expr(f"trim(BOTH '{blanks}' FROM text)")
+    trimmed = F.btrim("text", F.lit(BLANKS))
     words = text.withColumn("_words", F.split(trimmed, r"[\x20\x09-\x0D]+")).withColumn(
         "_n", F.when(F.get("_words", F.lit(0)) == "", 0).otherwise(F.size("_words"))
     )

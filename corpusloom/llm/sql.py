@@ -1,5 +1,54 @@
-"""SQL for DuckDB that states the results of the operators it can express, written apart from them."""
+"""SQL for DuckDB that states the results of the operators it can express, written apart from them.
+
+The others rest on trained models, tokenizers, iterative fits or crc32, which DuckDB lacks: they are tested against
+brute force, round trips and held-out rows.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_QUALITY = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t,
+        list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(regexp_split_to_array(t, '\n'), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+      FROM d),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i+4], ' ') AS k FROM places),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM win) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM rep) GROUP BY doc_id),
+m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words,
+        length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+        coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
+        length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals
+      FROM w LEFT JOIN cov ON cov.doc_id = w.doc_id),
+f AS (SELECT *, n_words < 10 AS r0, 100 * n_repeat_words > 20 * n_words AS r1, 10 * n_symbols > 3 * n_words AS r2,
+        2 * n_dup_lines > n_lines AS r3, word_chars < 2 * n_words AS r4, word_chars > 15 * n_words AS r5,
+        2 * n_capitals > word_chars AS r6 FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 OR r1 AS base_failed,
+  NOT (r0 OR r1 OR r2 OR r3 OR r4 OR r5 OR r6) AS kept, n_lines, n_capitals,
+  (r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT + 32 * r5::INT + 64 * r6::INT)::BIGINT AS failures,
+  'clean-2' AS policy
+FROM f
+"""
+
+_NEAR = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+      FROM documents),
+s AS (SELECT DISTINCT doc_id, k FROM (
+        SELECT doc_id, unnest(CASE WHEN len(ws) > 1 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])
+                                   ELSE ws END) AS k FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT a AS doc_id, a AS r FROM both_ways UNION SELECT reach.doc_id, g.b FROM reach JOIN both_ways g ON g.a = reach.r),
+root AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(root.r, d.doc_id) AS component_id,
+  d.doc_id = coalesce(root.r, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN root ON root.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op2_quality_rules": _QUALITY, "op8_minhash_dedup": _NEAR}
