@@ -32,8 +32,7 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """Lower-cased words between ASCII blanks, without full stops and commas; an empty array for none."""
-    blanks = BLANKS.encode("unicode_escape").decode()
-    bare = F.btrim(F.translate(F.lower(F.coalesce(text, F.lit(""))), ".,", ""), F.expr(f"'{blanks}'"))
+    bare = F.btrim(F.translate(F.lower(F.coalesce(text, F.lit(""))), ".,", ""), F.lit(BLANKS))
     return F.when(bare == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
 
 
@@ -58,7 +57,7 @@ def train(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_col:
     """
     known = labelled.where(F.col("domain").isin(list(domains)) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    present = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).join(known, "doc_id")
+    present = docs.select(F.col(f"`{id_col}`").alias("doc_id")).join(known, "doc_id")
     sizes = {r.domain: r.n for r in present.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
@@ -66,7 +65,11 @@ def train(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_col:
     share = F.lit(0.0)
     for name, n in sizes.items():
         share = F.when(F.col("domain") == name, min(1.0, max_labelled / n)).otherwise(share)
-    chosen = materialize(present.where(draw < share).select("domain", F.array_distinct(hashes_of(words_of(F.col("text")))).alias("words")), "mixing-labelled")
+    # distinct ids, about max_labelled for each domain at most: that bound makes the broadcast safe
+    drawn_ids = present.where(draw < share).distinct()
+    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    chosen = texts.join(F.broadcast(drawn_ids), "doc_id").select("domain", F.array_distinct(hashes_of(words_of(F.col("text")))).alias("words"))
+    chosen = materialize(chosen, "mixing-labelled")
     drawn = {r.domain: r.n for r in chosen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = max(sum(drawn.values()), 1)
     counts = chosen.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
@@ -106,9 +109,11 @@ def scores_of(model: Classifier) -> Column:
     return F.array(*scores)
 
 
-def memberships(docs: DataFrame, model, domains: Sequence[str], text_col: str) -> DataFrame:
-    """All columns with ``_tokens`` (words) and ``_p`` (posterior by domain; uniform without a model)."""
-    words = docs.withColumn("_words", words_of(F.col(f"`{text_col}`")))
+def memberships(docs: DataFrame, model, domains: Sequence[str], id_col: str, text_col: str, keep_columns: bool = True) -> DataFrame:
+    """``_row`` (all columns, or the id alone), ``_id``, ``_tokens`` (words) and ``_p`` (posterior by domain; uniform without a model)."""
+    kept = docs.columns if keep_columns else [id_col]
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
+    words = docs.select(whole, F.col(f"`{id_col}`").alias("_id"), words_of(F.col(f"`{text_col}`")).alias("_words"))
     counted = words.withColumn("_tokens", F.size("_words").cast("bigint"))
     if model is None:
         even = F.array(*[F.lit(1.0 / len(domains))] * len(domains))
@@ -174,6 +179,7 @@ def plan(
     id_col: str = "doc_id",
     text_col: str = "text",
     max_labelled: int = MAX_LABELLED,
+    keep_columns: bool = True,
 ) -> tuple[DataFrame, Column, Column]:
     """Rows with their posteriors (written once, all columns kept), and the columns of rate and copies.
 
@@ -182,7 +188,7 @@ def plan(
     """
     domains = tuple(targets)
     model = train(docs, labelled, domains, id_col, text_col, max_labelled)
-    members = materialize(memberships(docs, model, domains, text_col), "mixing-members")
+    members = materialize(memberships(docs, model, domains, id_col, text_col, keep_columns), "mixing-members")
     if model is None:
         return members, F.lit(1.0), F.lit(1)
     weights = np.array([targets[d] for d in domains], float)
@@ -192,7 +198,7 @@ def plan(
         budget = first / weights[0]
     pulls = fit(members, weights * budget)
     r = rate(F.col("_p"), pulls)
-    return members, r, copies_of(r, F.coalesce(F.col(f"`{id_col}`"), F.lit(0)))
+    return members, r, copies_of(r, F.coalesce("_id", F.lit(0)))
 
 
 def mix_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,15 +209,15 @@ def mix_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float]
     rates are 1. Other columns are ignored; an empty table gives no rows.
     """
     rows = narrow(docs, doc_id=id_col, text=text_col)
-    members, r, copies = plan(rows, labelled, targets)
+    members, r, copies = plan(rows, labelled, targets, keep_columns=False)
     chances = [F.get("_p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(targets)]
-    return members.select("doc_id", F.col("_tokens").alias("n_tokens"), *chances, r.alias("rate"), copies.alias("copies"))
+    return members.select(F.col("_id").alias("doc_id"), F.col("_tokens").alias("n_tokens"), *chances, r.alias("rate"), copies.alias("copies"))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float] = TARGETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, as often as their copies say."""
     members, _, copies = plan(docs, labelled, targets, None, id_col, text_col)
-    return members.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    return members.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select("_row.*")
 
 
 def labelled_documents(spark, sf_dir: str) -> DataFrame:
