@@ -75,11 +75,12 @@ def lines_to_documents(
     only; every line then travels once, to its document.
     """
     is_break = F.col(text) == BREAK
+    closed = lines.where(is_break).count()  # what follows the last break is left out before anything is gathered
     numbered = prefix_sums(lines, Order.of_id(order_key, id_bits), {"doc_id": is_break.cast("bigint")})
     parts = F.array_sort(F.collect_list(F.when(~is_break, F.struct(order_key, text))))
     return (
-        numbered.groupBy("doc_id")
-        .agg(parts.alias("parts"), F.max(is_break).alias("closed"))
-        .where("closed")
+        numbered.where(F.col("doc_id") < closed)
+        .groupBy("doc_id")
+        .agg(parts.alias("parts"))
         .select("doc_id", F.array_join(F.transform("parts", lambda p: p[text]), "").alias("text"))
     )

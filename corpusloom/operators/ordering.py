@@ -24,6 +24,8 @@ FINE_BITS, FAN_OUT_BITS, ID_BITS = 8, 14, 36
 
 
 def _id_levels(column: Column, bits: int) -> tuple[Column, ...]:
+    """Buckets of an id; a null would have no place in the order, so it stops the job instead of being lost."""
+    column = F.coalesce(column, F.raise_error(F.lit("null order key")).cast("bigint"))
     return tuple(F.shiftright(column, n) for n in reversed(range(FINE_BITS, max(bits - FAN_OUT_BITS, FINE_BITS) + 1, FAN_OUT_BITS)))
 
 

@@ -33,7 +33,6 @@ def pack(
     width = F.lit(length) if isinstance(length, int) else F.col(length)
     extra = 0 if separator is None else 1
     size = (F.col("n") if "n" in rows.columns else F.size(ids)) + extra
-    stream = F.col(ids) if separator is None else F.concat(F.col(ids), F.array(F.lit(separator)))
     keep = list(dict.fromkeys([*by, *([length] if isinstance(length, str) else [])]))
 
     placed = grouped_offsets(rows, order, size, group_rows, by).where(size > 0)
@@ -42,7 +41,11 @@ def pack(
     def cut(chunk: Column) -> Column:
         low = F.greatest(first, chunk * width)
         high = F.least(last + 1, (chunk + 1) * width)
-        piece = F.slice(stream, (low - first + 1).cast("int"), (high - low).cast("int"))
+        # only the piece that ends the row gets the separator: the row's ids are sliced as they are, never rebuilt
+        own = F.least(high, last + 1 - extra) - low
+        piece = F.slice(ids, (low - first + 1).cast("int"), own.cast("int"))
+        if separator is not None:
+            piece = F.when(high > last, F.concat(piece, F.array(F.lit(separator)))).otherwise(piece)
         return F.struct(chunk.alias("chunk"), first.alias("at"), piece.alias("piece"))
 
     chunks = F.sequence(F.floor(first / width), F.floor(last / width))

@@ -16,7 +16,7 @@ from corpusloom.plans.finetuning import build_finetuning, encode_for_task
 from corpusloom.plans.pretraining import build_pretraining, pretraining_manifest
 from corpusloom.plans.settings import BuildSettings
 from corpusloom.session import materialize
-from corpusloom.sources.manifest import write_manifest
+from corpusloom.sources.manifest import with_paths, write_manifest
 from corpusloom.sources.registry import Location, load_dataset, task_of
 from corpusloom.sources.sinks import with_role, write_parameters, write_splits
 
@@ -66,10 +66,11 @@ def prepare_dataset(
     if task == "pre-training":
         docs = lines_to_documents(train, id_bits=settings.id_bits) if name == LINE_CORPUS else train
         splits = materialize(build_pretraining(docs, tokenizer, settings), "splits")
-        write_splits(splits, os.path.join(out, "data"), fmt)
-        write_manifest(pretraining_manifest(splits), os.path.join(out, "manifest"))
+        write_splits(splits, os.path.join(out, "data"), fmt, order=("row_key",))
+        write_manifest(with_paths(pretraining_manifest(splits)), os.path.join(out, "manifest"))
     else:
         keys = (key, "window") if task == "question-answering" else (key,)
         rows = with_role(*build_finetuning(train, dev, tokenizer, task, settings, keys))
-        write_splits(rows, os.path.join(out, "data"), fmt)
+        rows = materialize(rows, "finetune-splits")
+        write_splits(rows, os.path.join(out, "data"), fmt, order=("shuffle_key", *keys))
     write_parameters(spark, {"dataset": name, **asdict(settings)}, os.path.join(out, "parameters"))

@@ -44,7 +44,7 @@ def build_finetuning(
     if dev is None:
         train_rows, dev_rows = tail_split(mixed, order, names, settings.dev_rows)
     else:
-        train_rows, dev_rows = mixed, encode_for_task(dev, tokenizer, task, settings)
+        train_rows, dev_rows = mixed, materialize(encode_for_task(dev, tokenizer, task, settings), "finetune-dev")
         if settings.dev_rows != -1:
             by_key = Order(tuple(F.col(k) for k in keys), Order.of_id(keys[0], bits=64).levels)
             dev_rows = head(dev_rows, by_key, list(keys), lambda n: settings.dev_rows)

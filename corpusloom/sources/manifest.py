@@ -17,12 +17,17 @@ def build_manifest(rows: DataFrame) -> DataFrame:
     return counts.select(file_name(F.col("role"), F.col("part"), alone).alias("file"), "role", "part", "seq_len", "size")
 
 
+def with_paths(manifest: DataFrame) -> DataFrame:
+    """Add ``path``, the split's folder below the data folder."""
+    return manifest.withColumn("path", F.format_string("role=%s/part=%d", "role", "part"))
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.coalesce(1).write.mode("overwrite").json(path)  # a handful of rows
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("file string, role string, part int, seq_len int, size bigint").json(path)
+    return spark.read.schema("file string, role string, part int, seq_len int, size bigint, path string").json(path)
 
 
 def route(manifest: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.text import without_rule_lines
 from corpusloom.operators.ordering import Order, head
@@ -28,8 +28,27 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: str = REVIEWS)
 
 
 def with_row_ids(rows: DataFrame, name: str = "doc_id") -> DataFrame:
-    """Number rows that have no key, in file order; written once, so that the numbers are fixed."""
-    return materialize(rows.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    """Number the rows of a file scan from 0 without gaps: by path, place in the file, and row.
+
+    Spark deals file splits to tasks in any order, but the rows of a split follow each other. Written once, so that
+    the numbers are fixed.
+    """
+    place = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
+    placed = materialize(rows.withColumns(place | {"_at": F.monotonically_increasing_id()}), "numbered")
+    splits = placed.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # a row per file split
+    starts = splits.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    number = (F.col("_start") + F.col("_at") - F.col("_first")).alias(name)
+    return placed.join(starts, ["_file", "_block"]).select(number, *rows.columns)
+
+
+def keyed(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of a file scan with their key; files without one have their rows numbered.
+
+    Files have the key in all rows or in none: the first row tells, and a null among given keys is an error later.
+    """
+    first = rows.select(key).head(1)
+    return with_row_ids(rows.drop(key), key).select(*rows.columns) if first and first[0][0] is None else rows
 
 
 def read_text_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -79,30 +79,31 @@ def _read(spark: SparkSession, path: str, place: Location, schema: str) -> DataF
 
 
 def _corpus(spark, name, path, place):
-    return _read(spark, path, place, readers.CORPUS)
+    return readers.keyed(_read(spark, path, place, readers.CORPUS), "doc_id")
 
 
 def _lines(spark, name, path, place):
-    return _read(spark, path, place, readers.LINES)
+    return readers.keyed(_read(spark, path, place, readers.LINES), "line_id")
 
 
 def _with_meta(spark, name, path, place):
-    return without_quality_warnings(_read(spark, path, place, readers.CORPUS_WITH_META)).select("doc_id", "text")
+    rows = readers.keyed(_read(spark, path, place, readers.CORPUS_WITH_META), "doc_id")
+    return without_quality_warnings(rows).select("doc_id", "text")
 
 
 def _reviews(spark, name, path, place):
-    rows = nonempty(_read(spark, path, place, readers.REVIEWS))
+    rows = nonempty(readers.with_row_ids(_read(spark, path, place, readers.REVIEWS)))
     label = binary_label(rows["relevance"]) if name == "germeval_A" else sentiment_label(rows["sentiment"])
-    return readers.with_row_ids(rows.select("text", label.alias("label")))
+    return rows.select("text", label.alias("label"), "doc_id")
 
 
 def _annotated(spark, name, path, place):
-    rows = _read(spark, path, place, readers.ANNOTATED)
+    rows = readers.keyed(_read(spark, path, place, readers.ANNOTATED), "doc_id")
     return rows.withColumn("label", majority_level(rows["annotations"]))
 
 
 def _qa(spark, name, path, place):
-    return _read(spark, path, place, readers.QA)
+    return readers.keyed(_read(spark, path, place, readers.QA), "id")
 
 
 _PREPARE = {

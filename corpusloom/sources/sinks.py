@@ -7,8 +7,20 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def write_splits(rows: DataFrame, path: str, fmt: str = "parquet", by: tuple[str, ...] = ("role", "part")) -> None:
-    """One folder per split (``role=train/part=0`` and so on); ``fmt`` is ``parquet`` or ``json``."""
+def write_splits(
+    rows: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    by: tuple[str, ...] = ("role", "part"),
+    order: tuple[str, ...] = (),
+) -> None:
+    """One folder per split (``role=train/part=0`` and so on); ``fmt`` is ``parquet`` or ``json``.
+
+    With ``order``, a folder's files taken by name hold its rows in that order: rows are dealt by ranges and sorted in
+    each. Pass a written table then, as the ranges are found by reading it once more.
+    """
+    if order:
+        rows = rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
     rows.write.mode("overwrite").partitionBy(*by).format(fmt).save(path)
 
 

@@ -95,3 +95,30 @@ def test_question_answering_build(spark, wp, tmp_path):
     assert got.where("role = 'dev'").count() == 4
     assert got.where("end_position > 0").select("id").distinct().count() == 20
     assert got.where("size(input_ids) > 128").count() == 0
+
+
+def test_files_without_keys(spark, wp, tmp_path):
+    texts = [f"abc {'lern ' * (i % 9)}ge" for i in range(60)]
+    keyed = write_jsonl(tmp_path / "keyed.jsonl", [{"doc_id": i, "text": t} for i, t in enumerate(texts)])
+    plain = write_jsonl(tmp_path / "plain.jsonl", [{"text": t, "url": "u"} for t in texts])
+    settings = BuildSettings(max_seq_length=16, dev_rows=2)
+    built = []
+    for name, place in (("keyed", keyed), ("plain", plain)):
+        out = tmp_path / name
+        prepare_dataset(spark, "c4", {"c4": place}, wp, settings, str(out), fmt="json")
+        built.append(sorted((r.role, tuple(r.input_ids)) for r in spark.read.json(str(out / "data")).collect()))
+    assert built[0] == built[1] and len(built[0]) > 10
+    mixed = write_jsonl(tmp_path / "mixed.jsonl", [{"doc_id": 1, "text": "abc"}, {"text": "abc"}])
+    with pytest.raises(Exception, match="null order key"):
+        prepare_dataset(spark, "c4", {"c4": mixed}, wp, BuildSettings(max_seq_length=16, dev_rows=0), str(tmp_path / "bad"))
+
+
+def test_written_rows_are_in_order_at_the_manifests_paths(spark, wp, tmp_path):
+    place = write_jsonl(tmp_path / "d.jsonl", [{"text": "abc " * (20 + i % 50)} for i in range(300)])
+    prepare_dataset(spark, "c4", {"c4": place}, wp, BuildSettings(max_seq_length=16, dev_rows=5), str(tmp_path / "out"), fmt="json")
+    files = read_manifest(spark, str(tmp_path / "out" / "manifest")).collect()
+    assert {f.role for f in files} == {"train", "dev"}
+    for f in files:
+        rows = [json.loads(x) for p in sorted((tmp_path / "out" / "data" / f.path).glob("part-*")) for x in p.read_text().splitlines()]
+        assert len(rows) == f.size
+        assert [r["row_key"] for r in rows] == sorted(r["row_key"] for r in rows)
