@@ -223,7 +223,7 @@ def identify(
 
 
 def keep_identified(
-    docs: DataFrame, least_score: float = 0.4, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang"
+    docs: DataFrame, least_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang"
 ) -> DataFrame:
     """The rows whose language is known with at least ``least_score``, with all their columns.
 
