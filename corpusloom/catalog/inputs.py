@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from corpusloom.functions.hashing import hash32
 from corpusloom.functions.text import CONTROL, WHITESPACE, WORD
+from corpusloom.operators.documents import SEVERITY_LEVELS
 from corpusloom.operators.ordering import Order, dense_index
 from corpusloom.operators.packing import pack
 from corpusloom.operators.tokenizer import SEP, WordPiece, derive_vocabulary, encode_pretraining
@@ -82,7 +83,7 @@ def packed(spark: SparkSession, sf_dir: str, length: int) -> DataFrame:
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five raters per labelled document; each level is drawn from a hash."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    names = F.array(*[F.lit(x) for x in ("0-Kein", "1-Gering", "2-Vorhanden", "3-Stark", "4-Extrem")])
+    names = F.array(*[F.lit(x) for x in SEVERITY_LEVELS])
     raters = F.array(*[F.lit(k) for k in range(5)])
     votes = F.transform(
         raters,
@@ -106,14 +107,20 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def below(value: Column, limit: int, what: str) -> Column:
+    """The value, or an error where an id would run into the next one's range."""
+    return F.when(value < limit, value).otherwise(F.raise_error(F.lit(f"too many {what} for its ids")).cast("int"))
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as lines, each ending in a newline, with a lone newline after every document."""
     split = F.concat(
         F.transform(F.split("text", "\n"), lambda x: F.concat(x, F.lit("\n"))), F.array(F.lit("\n"))
     )
     rows = documents(spark, sf_dir).select("doc_id", F.posexplode(split).alias("pos", "text"))
-    # documents have fewer than 2^20 lines, so this id keeps their order
-    return rows.select((F.shiftleft("doc_id", 20) + F.col("pos")).alias("line_id"), "text")
+    # up to 2^20 lines a document this id keeps their order; more are an error
+    line_id = F.shiftleft("doc_id", 20) + below(F.col("pos"), 1 << 20, "lines of a document")
+    return rows.select(line_id.alias("line_id"), "text")
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +135,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     if few_splits(turns):
         pairs = spread(pairs, "conv_id", "turn")
     return pairs.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        (F.col("conv_id") * 1000 + below(F.col("turn"), 1000, "turns of a conversation")).alias("id"),
         "question",
         "context",
         F.substring("context", start + 1, F.lit(30)).alias("answer_text"),

@@ -248,6 +248,32 @@ def finetune_corpus(spark, sf_dir):
     return both.select("role", "doc_id", F.col("labels").cast("bigint").alias("labels"), joined(F.col("input_ids")).alias("input_ids"))
 
 
+@query(
+    f"""WITH RECURSIVE {TOKENS_CTE},
+    rows AS (SELECT doc_id, lang IS NOT DISTINCT FROM 'de' AS given,
+             CASE sentiment WHEN 'positive' THEN 2 WHEN 'neutral' THEN 1 ELSE 0 END AS labels FROM {REVIEWS_SQL} r),
+    mixed AS (SELECT doc_id, labels, given, list_concat([2], ids, [2]) AS input_ids,
+              row_number() OVER (PARTITION BY given ORDER BY CASE WHEN given THEN 0 ELSE {hash_sql("doc_id||'|42'")} END, doc_id) AS rn
+              FROM rows JOIN bare USING (doc_id))
+    SELECT CASE WHEN given THEN 'dev' ELSE 'train' END AS role, doc_id, CAST(labels AS BIGINT) AS labels, {TEXT} AS input_ids
+    FROM mixed WHERE rn <= CASE WHEN given THEN 30 ELSE 200 END"""
+)
+def finetune_corpus_given_dev(spark, sf_dir):
+    """A dev set of its own (the reviews of one language), of which the head is taken."""
+    rows = reviews(spark, sf_dir).select(
+        F.substring_index("url", "/", -1).cast("bigint").alias("doc_id"),
+        "text",
+        sentiment_label(F.col("sentiment")).alias("label"),
+        F.col("aspect").eqNullSafe("de").alias("given"),
+    )
+    settings = BuildSettings(dev_rows=30, max_train_rows=200, truncate=False)
+    train, dev = build_finetuning(
+        rows.where("not given"), rows.where("given"), tokenizer(spark, sf_dir), "sequence-classification", settings
+    )
+    both = train.withColumn("role", F.lit("train")).unionByName(dev.withColumn("role", F.lit("dev")))
+    return both.select("role", "doc_id", F.col("labels").cast("bigint").alias("labels"), joined(F.col("input_ids")).alias("input_ids"))
+
+
 @query(
     f"""{_NAIVE}
     SELECT role||'_'||part||'.jsonl' AS file, role, CAST(part AS BIGINT) AS part, CAST(seq_len AS BIGINT) AS seq_len, count(*) AS size

@@ -14,6 +14,7 @@ from corpusloom.catalog.inputs import (
     strip_sql,
     tokenizer,
     wordpiece_cte,
+    written,
 )
 from corpusloom.catalog.registry import query
 from corpusloom.functions.arrays import joined
@@ -150,7 +151,7 @@ def qa_span_check(spark, sf_dir):
 
 
 def _features(spark, sf_dir):
-    """Windows with stand-in logits drawn from hashes of the position."""
+    """Windows with stand-in logits drawn from hashes of the position; model output, so a written table."""
 
     def logits(side):
         return F.transform(
@@ -158,7 +159,12 @@ def _features(spark, sf_dir):
             lambda _, i: hash32(F.lit(side), F.col("id"), F.col("window"), i) / F.lit(2.0**32),
         )
 
-    return _windows(spark, sf_dir).withColumns({"start_logits": logits("s"), "end_logits": logits("e")})
+    return written(
+        spark,
+        sf_dir,
+        "qa-features",
+        lambda: _windows(spark, sf_dir).withColumns({"start_logits": logits("s"), "end_logits": logits("e")}),
+    )
 
 
 LOGITS_CTE = f"""

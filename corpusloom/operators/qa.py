@@ -125,18 +125,16 @@ def best_spans(
         )
 
     best = let(F.struct(usable(starts).alias("starts"), usable(ends).alias("ends")), lambda t: F.array_max(pairs(t)))
+    span = F.struct(
+        F.col("_best.score").alias("score"),
+        (-F.col("window")).alias("nw"),
+        F.get("offsets", -F.col("_best.ns"))["s"].alias("s"),
+        F.get("offsets", -F.col("_best.ne"))["e"].alias("e"),
+    )
+    # windows without a span stay as nulls: a filter would score them a second time
     chosen = (
         features.withColumn("_best", best)
-        .where("_best is not null")
-        .select(
-            "id",
-            F.struct(
-                F.col("_best.score").alias("score"),
-                (-F.col("window")).alias("nw"),
-                F.get("offsets", -F.col("_best.ns"))["s"].alias("s"),
-                F.get("offsets", -F.col("_best.ne"))["e"].alias("e"),
-            ).alias("_span"),
-        )
+        .select("id", F.when(F.col("_best").isNotNull(), span).alias("_span"))
         .groupBy("id")
         .agg(F.max("_span").alias("_span"))
     )

@@ -6,17 +6,18 @@ import os
 from collections.abc import Mapping
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.documents import lines_to_documents
 from corpusloom.operators.metrics import length_stats
-from corpusloom.operators.ordering import discard_fraction
+from corpusloom.operators.ordering import Order, discard_fraction
 from corpusloom.operators.tokenizer import WordPiece, encode_pretraining
 from corpusloom.plans.finetuning import build_finetuning, encode_for_task
 from corpusloom.plans.pretraining import build_pretraining, pretraining_manifest
 from corpusloom.plans.settings import BuildSettings
 from corpusloom.session import materialize
 from corpusloom.sources.manifest import with_paths, write_manifest
+from corpusloom.sources.readers import leading_percent
 from corpusloom.sources.registry import Location, load_dataset, task_of
 from corpusloom.sources.sinks import with_role, write_parameters, write_splits
 
@@ -27,6 +28,8 @@ LINE_CORPUS = "cc100"
 def _loaded(spark, name, locations, settings) -> tuple[DataFrame, DataFrame | None, str]:
     train, dev = load_dataset(spark, name, locations)
     key = "line_id" if name == LINE_CORPUS else "id" if task_of(name) == "question-answering" else "doc_id"
+    if settings.percent < 100:
+        train = leading_percent(train, settings.percent, Order.of_id(key, bits=64), [key])
     if settings.discard:
         train = discard_fraction(train, [key], settings.discard, settings.seed)
         dev = None if dev is None else discard_fraction(dev, [key], settings.discard, settings.seed)
@@ -44,11 +47,17 @@ def write_raw(
 def dataset_stats(
     spark: SparkSession, name: str, locations: Mapping[str, Location], tokenizer: WordPiece, settings: BuildSettings
 ) -> DataFrame:
-    """Length statistics of the encoded training rows."""
-    train, _, _ = _loaded(spark, name, locations, settings)
+    """Length statistics of the encoded rows, with their ``role``: train, and dev where the dataset comes with one."""
+    train, dev, _ = _loaded(spark, name, locations, settings)
     if task_of(name) == "pre-training":
-        return length_stats(encode_pretraining(lines_to_documents(train) if name == LINE_CORPUS else train, tokenizer))
-    return length_stats(encode_for_task(train, tokenizer, task_of(name), settings))
+        encoded = encode_pretraining(lines_to_documents(train, id_bits=settings.id_bits) if name == LINE_CORPUS else train, tokenizer)
+        return length_stats(encoded).withColumn("role", F.lit("train"))
+    sides = {"train": train} if dev is None else {"train": train, "dev": dev}
+    stats = [
+        length_stats(encode_for_task(rows, tokenizer, task_of(name), settings)).withColumn("role", F.lit(role))
+        for role, rows in sides.items()
+    ]
+    return stats[0] if len(stats) == 1 else stats[0].unionByName(stats[1])
 
 
 def prepare_dataset(

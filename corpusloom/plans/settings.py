@@ -24,6 +24,7 @@ class BuildSettings:
     size_splits: str | None = None
     dev_rows: int = 2_500
     max_train_rows: int | None = None
+    percent: float = 100.0
     discard: float | None = None
     strategy: str = "naive"
     truncate: bool = True
@@ -34,6 +35,8 @@ class BuildSettings:
     def __post_init__(self):
         if self.strategy not in STRATEGIES:
             raise ValueError(f"unknown strategy: {self.strategy}")
+        if not 0 < self.percent <= 100:
+            raise ValueError("percent lies above 0 and up to 100")
         if len(self.splits) != len(self.training):
             raise ValueError("one size split per training length is needed")
         if abs(sum(self.splits) - 1) > 1e-9:

@@ -122,3 +122,16 @@ def test_written_rows_are_in_order_at_the_manifests_paths(spark, wp, tmp_path):
         rows = [json.loads(x) for p in sorted((tmp_path / "out" / "data" / f.path).glob("part-*")) for x in p.read_text().splitlines()]
         assert len(rows) == f.size
         assert [r["row_key"] for r in rows] == sorted(r["row_key"] for r in rows)
+
+
+def test_leading_percent_of_a_build(spark, wp, tmp_path):
+    rows = [{"line_id": i, "text": "\n" if i % 5 == 4 else "abc\n"} for i in range(1000)]
+    places = {"cc100": write_jsonl(tmp_path / "cc.jsonl", rows)}
+    settings = BuildSettings(max_seq_length=16, dev_rows=3, percent=35)
+    write_raw(spark, "cc100", places, settings, str(tmp_path / "raw"))
+    kept = sorted(r.line_id for r in spark.read.json(str(tmp_path / "raw" / "data")).collect())
+    assert kept == list(range(350))
+    stats = dataset_stats(spark, "cc100", places, wp, settings).first()
+    assert (stats.role, stats.n) == ("train", 70)
+    with pytest.raises(ValueError):
+        BuildSettings(percent=0)
