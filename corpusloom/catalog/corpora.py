@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from corpusloom.catalog.inputs import REVIEWS_SQL, annotations, documents, lines, reviews, table
+from corpusloom.catalog.inputs import QUESTIONS_SQL, REVIEWS_SQL, annotations, documents, lines, questions, reviews, table
 from corpusloom.catalog.registry import query
 from corpusloom.functions.text import RULE_LINE
 from corpusloom.operators.documents import (
@@ -34,6 +34,12 @@ def jsonl_roundtrip(spark, sf_dir):
     return spark.read.schema(f"{readers.CORPUS}, role string, part int").json(path).select("role", "doc_id", "text")
 
 
+def _write_reviews(rows, path):
+    rows.write.options(
+        sep="\t", quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+
+
 @query(
     f"""SELECT 'doc/'||doc_id AS url, text, CAST(relevance AS BIGINT) AS relevance, sentiment, lang AS aspect
     FROM {REVIEWS_SQL} r"""
@@ -41,9 +47,7 @@ def jsonl_roundtrip(spark, sf_dir):
 def tsv_scan(spark, sf_dir):
     path = scratch_path(spark, "reviews")
     for side, toxic in (("train", "sentiment <> 'neutral'"), ("dev", "sentiment = 'neutral'")):
-        reviews(spark, sf_dir).where(toxic).write.options(
-            sep="\t", quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        ).csv(os.path.join(path, side))
+        _write_reviews(reviews(spark, sf_dir).where(toxic), os.path.join(path, side))
     rows = readers.read_tsv(spark, [os.path.join(path, "train"), os.path.join(path, "dev")])
     return nonempty(rows).withColumn("relevance", binary_label(F.col("relevance")).cast("bigint"))
 
@@ -107,17 +111,46 @@ def quality_warning_filter(spark, sf_dir):
       (VALUES ('c4','pre-training'),('CulturaX','pre-training'),('wikipedia','pre-training')) t(name, task)
     UNION ALL
     SELECT 'oscar2023', 'pre-training', count(*), CAST(sum(length(text)) AS BIGINT)
-    FROM {_META_SQL} m WHERE NOT tiny AND NOT noisy AND NOT short"""
+    FROM {_META_SQL} m WHERE NOT tiny AND NOT noisy AND NOT short
+    UNION ALL
+    SELECT 'cc100', 'pre-training', CAST(sum(len(string_split(text, chr(10))) + 1) AS BIGINT), CAST(sum(length(text) + 2) AS BIGINT)
+    FROM documents
+    UNION ALL
+    SELECT name, 'sequence-classification', n, chars FROM (
+      SELECT count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM {REVIEWS_SQL} r) d,
+      (VALUES ('germeval_A'),('germeval_B'),('germeval_24')) t(name)
+    UNION ALL
+    SELECT 'germanquad', 'question-answering', count(*), CAST(sum(length(context)) AS BIGINT) FROM {QUESTIONS_SQL} q"""
 )
 def source_registry(spark, sf_dir):
-    plain = Location(os.path.join(sf_dir, "documents.parquet"), format="parquet")
-    meta_path = scratch_path(spark, "meta")
-    _with_meta(spark, sf_dir).write.json(meta_path)
-    places = {"c4": plain, "CulturaX": plain, "wikipedia": plain, "oscar2023": Location(meta_path)}
+    """All named datasets, read from files without key columns; every row has a key of its own afterwards."""
+    path = scratch_path(spark, "registry")
+
+    def placed(rows, name):
+        rows.write.json(os.path.join(path, name))
+        return Location(os.path.join(path, name))
+
+    _write_reviews(reviews(spark, sf_dir), os.path.join(path, "reviews"))
+    plain = placed(documents(spark, sf_dir, "text"), "plain")
+    labelled = Location(os.path.join(path, "reviews"), format="csv")
+    answers = F.struct(F.array("answer_text").alias("text"), F.array("answer_start").alias("answer_start"))
+    places = {
+        "c4": plain,
+        "CulturaX": plain,
+        "wikipedia": plain,
+        "oscar2023": placed(_with_meta(spark, sf_dir).drop("doc_id"), "meta"),
+        "cc100": placed(lines(spark, sf_dir).select("text"), "lines"),
+        "germeval_A": labelled,
+        "germeval_B": labelled,
+        "germeval_24": placed(annotations(spark, sf_dir).drop("doc_id"), "votes"),
+        "germanquad": placed(questions(spark, sf_dir).select("question", "context", answers.alias("answers")), "questions"),
+    }
     out = None
     for name in places:
         train, _ = load_dataset(spark, name, places)
-        row = train.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).select(
+        key = next(c for c in ("doc_id", "line_id", "id") if c in train.columns)
+        text = "context" if "context" in train.columns else "text"
+        row = train.agg(F.count_distinct(key).alias("n"), F.sum(F.length(text)).alias("chars")).select(
             F.lit(name).alias("name"), F.lit(TASKS[name]).alias("task"), "n", "chars"
         )
         out = row if out is None else out.unionByName(row)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from corpusloom.catalog.inputs import (
@@ -40,8 +42,10 @@ from corpusloom.operators.tokenizer import SEP
 from corpusloom.plans.finetuning import build_finetuning
 from corpusloom.plans.pretraining import build_pretraining, pretraining_manifest
 from corpusloom.plans.settings import BuildSettings
-from corpusloom.session import scratch_path
-from corpusloom.sources.manifest import read_manifest, route, write_manifest
+from corpusloom.session import materialize, scratch_path
+from corpusloom.sources.manifest import read_manifest, route, with_paths, write_manifest
+from corpusloom.sources.readers import with_row_ids
+from corpusloom.sources.sinks import write_splits
 
 KEYS = ["shuffle_key", "doc_id"]
 
@@ -165,14 +169,18 @@ HYBRID = dict(
 FLAT = "CAST(part AS BIGINT) AS part, CAST(seq_len AS BIGINT) AS seq_len, array_to_string(row_key, ',') AS row_key"
 
 
-def _flat(splits):
-    return splits.select(
-        "role",
+def _flat_columns():
+    return [
+        F.col("role"),
         F.col("part").cast("bigint").alias("part"),
         F.col("seq_len").cast("bigint").alias("seq_len"),
         joined(F.col("row_key")).alias("row_key"),
         joined(F.col("input_ids")).alias("input_ids"),
-    )
+    ]
+
+
+def _flat(splits):
+    return splits.select(*_flat_columns())
 
 
 def _hybrid_sql(pack_order: str, row_order: str, same_key: str) -> str:
@@ -284,6 +292,26 @@ def manifest(spark, sf_dir):
     return rows.withColumns({c: F.col(c).cast("bigint") for c in ("part", "seq_len")})
 
 
+@query(
+    f"""{_NAIVE}
+    SELECT role||'_'||part||'.jsonl' AS file, row_number() OVER (PARTITION BY role, part ORDER BY row_key) - 1 AS position,
+      role, {FLAT}, {TEXT} AS input_ids FROM splits"""
+)
+def corpus_on_disk(spark, sf_dir):
+    """A written build, read back by the paths of its manifest: every row and its place in the files."""
+    out = scratch_path(spark, "build")
+    splits = materialize(_hybrid(spark, sf_dir, "naive"), "splits")
+    write_splits(splits, os.path.join(out, "data"), order=("row_key",))
+    write_manifest(with_paths(pretraining_manifest(splits)), os.path.join(out, "manifest"))
+    found = None
+    for entry in read_manifest(spark, os.path.join(out, "manifest")).collect():  # a row per split
+        rows = with_row_ids(spark.read.parquet(os.path.join(out, "data", entry.path)), "position").withColumns(
+            {"file": F.lit(entry.file), "role": F.lit(entry.role), "part": F.lit(entry.part)}
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found.select("file", "position", *_flat_columns())
+
+
 @query(
     f"""{_NAIVE}
     SELECT file, role, position, CASE role WHEN 'dev' THEN 'val/loss_'||seq_len END AS metric,
