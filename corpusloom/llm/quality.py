@@ -116,12 +116,11 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def ledger(measured: DataFrame, rules: Mapping[str, str] = RULES) -> DataFrame:
     """The measurements with ``failures``: bit k is set where rule k fails. Written once, read by every policy."""
-    measured = materialize(measured, "quality-measures")
     bits = [F.when(F.expr(condition), F.lit(1 << k)).otherwise(0) for k, condition in enumerate(rules.values())]
     failures = bits[0]
     for bit in bits[1:]:
         failures = failures.bitwiseOR(bit)
-    return measured.withColumn("failures", failures.cast("bigint"))
+    return materialize(measured.withColumn("failures", failures.cast("bigint")), "quality-ledger")
 
 
 def failed(policy: Policy, rules: Mapping[str, str] = RULES) -> Column:
