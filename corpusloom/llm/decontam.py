@@ -4,8 +4,9 @@ Seeds (runs of ``least`` words) shared with a benchmark item lead to the item; t
 non-overlapping matches again and again, so a passage counts even if its parts stand in another order. Coverage is the
 share of the item's words under tiles.
 
-The benchmark is the query set: it is read in blocks of bounded size and every block meets all texts, so memory is bounded
-by the block, whatever the size of either table. A row never leaves its task.
+The benchmark is the query set: it is read in blocks of bounded size and every block meets all texts. Rows are written
+between blocks, so no plan, worker or driver holds more than one block, whatever the size of either table. A row never
+leaves its task.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.common import codes, mixed, narrow, windows, word_memo
+from corpusloom.session import materialize
 
 #: Words of a seed and of the shortest tile; share of an item that must be covered; bytes of benchmark text per block.
-LEAST, COVERAGE, BLOCK_BYTES = 5, 0.5, 16_000_000
+LEAST, COVERAGE, BLOCK_BYTES = 5, 0.5, 4_000_000
 
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -174,18 +176,22 @@ def coverage_of(block: Block):
     return best
 
 
-def with_coverage(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", least: int = LEAST) -> DataFrame:
+def with_coverage(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", least: int = LEAST, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """All rows and columns with ``_leak``: item_id, covered, item_words and tiles of the best covered item."""
     nothing = F.struct(
         F.lit(None).cast("bigint").alias("item_id"),
         *[F.lit(0).cast("bigint").alias(c) for c in ("covered", "item_words", "tiles")],
     )
     out = docs.withColumn("_leak", nothing)
-    for block in blocks(benchmark, "item_id", "text", least):
+    for k, block in enumerate(blocks(benchmark, "item_id", "text", least, block_bytes)):
+        out = materialize(out, "leak-block") if k else out
         new = out.withColumn("_new", coverage_of(block)(F.col(f"`{text_col}`")))
-        better = F.col("_new.covered") * F.greatest(F.col("_leak.item_words"), F.lit(1)) > F.col("_leak.covered") * F.greatest(
-            F.col("_new.item_words"), F.lit(1)
-        )
+        now = F.col("_new.covered") * F.greatest(F.col("_leak.item_words"), F.lit(1))
+        before = F.col("_leak.covered") * F.greatest(F.col("_new.item_words"), F.lit(1))
+        smaller = F.coalesce(F.col("_new.item_id") < F.col("_leak.item_id"), F.lit(False))
+        better = (now > before) | ((now == before) & (F.col("_new.covered") > 0) & smaller)
         out = new.withColumn("_leak", F.when(better, F.col("_new")).otherwise(F.col("_leak"))).drop("_new")
     return out
 
