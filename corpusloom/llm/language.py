@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Trained per coordinate with follow-the-regularised-leader and elastic-net penalties, then calibrated by a temperature.
-Document frequencies cover all texts; only the fit itself uses a bounded sample of labelled rows.
+Document frequencies cover all texts of the rows to learn from; only the fit itself uses a bounded sample of labelled rows.
 """
 
 from __future__ import annotations
@@ -152,13 +152,13 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 def train(docs: DataFrame, learn: Column, text_col: str, label_col: str, key: Column, max_rows: int = 2_000) -> Model:
     """Fit on about ``max_rows`` whole texts of the rows where ``learn`` holds, chosen by a hash of ``key``.
 
-    The bound concerns the fit alone. Languages are all label values among the rows to learn from; a language with few
+    The bound concerns the fit alone; document frequencies cover every row to learn from, and no held-out text. Languages are all label values among the rows to learn from; a language with few
     rows keeps them all, as the share drawn is set per language. A fifth of the sample is set aside for the temperature.
     """
     chosen = docs.where(learn & F.col(f"`{label_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
     chosen = chosen.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{label_col}`").alias("label"), key.alias("key"))
     per_label = {r.label: r.n for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row per language
-    idf_counts, total = document_frequencies(docs, text_col)
+    idf_counts, total = document_frequencies(docs.where(learn), text_col)
     idf = np.log((1.0 + total) / (1.0 + idf_counts)) + 1.0
     languages = tuple(sorted(per_label))
     if not languages:

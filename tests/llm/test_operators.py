@@ -214,6 +214,20 @@ def test_language(spark):
     assert all(got[i].lang_pred == truth and 0 <= got[i].score <= 1 for i, _, _, truth in rows)
 
 
+def test_language_learns_nothing_from_held_out_rows(spark):
+    key = F.col("doc_id")
+    docs = spark.createDataFrame(
+        [(i, ["der hund und die katze", "the dog and the cat"][i % 2] + f" {chr(97 + i % 26)}", ["de", "en"][i % 2]) for i in range(300)],
+        "doc_id bigint, text string, lang string",
+    )
+    changed = docs.withColumns(
+        {c: F.when(language.held_out(key), F.lit(v)).otherwise(F.col(c)) for c, v in (("text", "qqq zzz"), ("lang", "xx"))}
+    )
+    one, two = (language.train(d, ~language.held_out(key), "text", "lang", key) for d in (docs, changed))
+    assert one.languages == two.languages and (one.idf == two.idf).all() and (one.weights == two.weights).all()
+    assert one.temperature == two.temperature
+
+
 def test_language_of_odd_rows(odd):
     got = language.identify(odd).collect()
     assert len(got) == len(ODD)
@@ -331,6 +345,20 @@ def test_decontamination(spark, odd):
     assert sorted(i for b in blocks for i in b.ids) == [1, 4]
 
 
+def test_decontamination_in_blocks(spark):
+    """Items in several blocks give what one block gives, ties included."""
+    rng = random.Random(8)
+    items = [" ".join(f"w{rng.randrange(400)}" for _ in range(12)) for _ in range(6)]
+    bench = spark.createDataFrame([*enumerate(items), (6, items[0])], "item_id bigint, text string")
+    texts = [f"some words {a} between {b} end" for a in items for b in items] + ["nothing of it", None]
+    one, many = (
+        sorted(decontam.with_coverage(docs_of(spark, texts), bench, block_bytes=n).select("doc_id", "_leak").collect())
+        for n in (10**6, 60)
+    )
+    assert one == many
+    assert len(list(decontam.blocks(bench, "item_id", "text", 5, 60))) > 2
+
+
 def test_mixing_meets_targets(spark):
     rnd = random.Random(8)
     words = [f"w{i}" for i in range(50)]
