@@ -15,11 +15,11 @@ from corpusloom.operators.metrics import (
     device_reduce,
     interval_steps,
     mean_by_set,
-    plateau_switches,
     running_progress,
     throughput,
 )
 from corpusloom.operators.ordering import Order
+from corpusloom.operators.plateau import plateau_switches
 from corpusloom.session import materialize, scratch_path
 from corpusloom.streaming.logs import deduplicated, read_metric_stream
 from corpusloom.streaming.plateau import plateau_stream, write_switches

@@ -11,6 +11,8 @@ from corpusloom.operators.metrics import running_progress
 from corpusloom.operators.ordering import Order
 
 TOTALS = ("samples", "tokens", "masked_tokens")
+#: Micro-batches from one table of all totals to the next.
+GATHER = 16
 
 
 def stream_progress(steps: DataFrame, order: Order, devices: int, out: str, checkpoint: str) -> StreamingQuery:
@@ -18,30 +20,32 @@ def stream_progress(steps: DataFrame, order: Order, devices: int, out: str, chec
 
     Steps of a run must arrive in order across micro-batches; within one they are put in order. Each micro-batch is
     the batch operator plus the totals carried in, which are one row per run: a run with most of the rows still
-    spreads over all tasks. Output and totals go to a folder named after the micro-batch, so a repeated micro-batch
-    overwrites its own files and nothing is counted twice.
+    spreads over all tasks. A micro-batch writes the totals of its own runs only; every ``GATHER`` of them the totals of
+    all runs are gathered, so that few folders are read. Output and totals go to a folder named after the micro-batch, so
+    a repeated micro-batch overwrites its own files and nothing is counted twice.
     """
     spark = steps.sparkSession
     rows_path, carry_path = os.path.join(out, "rows"), os.path.join(out, "totals")
     carry_schema = "run bigint, " + ", ".join(f"{t} bigint" for t in TOTALS)
 
+    # totals never shrink, so the newest are the largest
+    newest = [F.max(t).alias(t) for t in TOTALS]
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        carried = (
-            spark.createDataFrame([], carry_schema)
-            if batch_id == 0
-            else spark.read.schema(carry_schema).parquet(f"{carry_path}/batch={batch_id - 1}")
-        )
+        since = max(0, (batch_id - 1) // GATHER * GATHER)
+        written = [f"{carry_path}/batch={k}" for k in range(since, batch_id)]
+        parts = spark.read.schema(carry_schema).parquet(*written) if written else spark.createDataFrame([], carry_schema)
+        carried = parts.groupBy("run").agg(*newest)
         before = carried.withColumnsRenamed({t: f"_{t}" for t in TOTALS})
         now = running_progress(batch, order, devices).join(before, "run", "left")
         totals = {t: F.col(t) + F.coalesce(f"_{t}", F.lit(0)) for t in TOTALS}
         now = now.withColumns(totals).drop(*[f"_{t}" for t in TOTALS])
         target = f"{rows_path}/batch={batch_id}"
         now.write.mode("overwrite").parquet(target)
-        latest = spark.read.schema(now.schema).parquet(target).select("run", *TOTALS).unionByName(carried)
-        # totals never shrink, so the newest are the largest
-        latest.groupBy("run").agg(*[F.max(t).alias(t) for t in TOTALS]).write.mode("overwrite").parquet(
-            f"{carry_path}/batch={batch_id}"
-        )
+        latest = spark.read.schema(now.schema).parquet(target).select("run", *TOTALS)
+        if batch_id % GATHER == 0:
+            latest = latest.unionByName(carried)
+        latest.groupBy("run").agg(*newest).write.mode("overwrite").parquet(f"{carry_path}/batch={batch_id}")
 
     return (
         steps.writeStream.foreachBatch(step)

@@ -10,13 +10,14 @@ from corpusloom.operators.metrics import (
     in_steps,
     interval_steps,
     masked_mean,
-    plateau_switches,
     running_progress,
     step_budget,
     throughput,
     units_per_step,
 )
 from corpusloom.operators.ordering import Order
+from corpusloom.operators.plateau import plateau_switches
+from corpusloom.streaming import progress
 from corpusloom.streaming.plateau import plateau_stream, write_switches
 from corpusloom.streaming.progress import read_progress, stream_progress
 
@@ -63,6 +64,17 @@ def test_plateau_equals_the_fold(spark, mode, delta, patience):
     assert switches(plateau_switches(losses(spark, runs), Order.of_id("step"), patience, delta, 50, mode)) == want
 
 
+@pytest.mark.parametrize("delta", [0.0, 3.5, 9000.0])
+def test_plateau_of_one_long_falling_run(spark, delta):
+    """Nearly every loss is a new minimum, over more than two hundred blocks."""
+    n = 1_000_000
+    falling = lambda s: 2.0 * n - s + (s * 7 % 5) / 4
+    df = spark.range(1, n + 1).select(F.lit(1).cast("bigint").alias("run"), F.col("id").alias("step"), falling(F.col("id")).alias("loss"))
+    want = by_hand([falling(s) for s in range(1, n + 1)], 2, delta, 10**9)
+    got = plateau_switches(df, Order.of_id("step"), 2, delta, 10**9).agg(F.count("*"), F.sum("step"), F.max("switch_no")).first()
+    assert tuple(got) == (len(want), sum(want) or None, len(want) or None)
+
+
 def test_plateau_stream_equals_the_table(spark, tmp_path):
     rng = random.Random(2)
     runs = {r: [round(rng.gauss(20 - s / 9, 3), 2) for s in range(90)] for r in range(4)}
@@ -83,12 +95,14 @@ def test_progress(spark):
     assert [(r.samples, r.tokens, r.masked_tokens) for r in got] == [(8, 64, 5), (8, 64, 5), (12, 128, 8), (2, 2, 1)]
 
 
-def test_progress_stream_resumes_its_totals(spark, tmp_path):
-    rows = [(r, s, 1 + s % 3, 4, s % 5) for r in range(3) for s in range(1, 41)]
+def test_progress_stream_resumes_its_totals(spark, tmp_path, monkeypatch):
+    """Run 2 rests in the second half, run 3 only comes in later; totals are gathered every second micro-batch."""
+    monkeypatch.setattr(progress, "GATHER", 2)
+    rows = [(r, s, 1 + s % 3, 4, s % 5) for r in range(4) for s in range(1, 41) if not (r == 2 and 10 < s < 31) and not (r == 3 and s < 25)]
     df = spark.createDataFrame(rows, "run bigint, step bigint, rows bigint, width bigint, masked bigint").cache()
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    for low in (1, 21):
-        df.where(F.col("step").between(low, low + 19)).coalesce(1).write.mode("append").parquet(source)
+    for low in range(1, 41, 10):
+        df.where(F.col("step").between(low, low + 9)).coalesce(1).write.mode("append").parquet(source)
         # a new query each time: it picks up from the checkpoint
         stream = spark.readStream.schema(df.schema).parquet(source)
         stream_progress(stream, Order.of_id("step"), 2, out, str(tmp_path / "check")).awaitTermination()
