@@ -2,7 +2,7 @@
 
 Markup is stripped into lines, one per block. Lines of menus, adverts, forms and the like, and text of links, count as
 empty. The lengths summed over a sliding window of lines surge where the main text begins and dive to nothing where
-it ends; the text between is kept.
+it ends; the text between is kept, on pages with and without article marks alike.
 """
 
 from __future__ import annotations
@@ -142,21 +142,22 @@ def kept_lines(lengths: list[int], window: int = WINDOW, surge: int = SURGE) ->
     return kept or [max(spans, key=lambda s: (sum(lengths[s[0] : s[1] + 1]), -s[0]))]
 
 
+def chosen_lines(lines: list[tuple[str, int, bool]], window: int = WINDOW, surge: int = SURGE) -> set[int]:
+    """Numbers of the lines that the distribution of lengths alone takes for main text; article marks play no part."""
+    return {i for a, b in kept_lines([n for _, n, _ in lines], window, surge) for i in range(a, b + 1)}
+
+
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """Main text of one page, its blocks separated by an empty line; empty if there is none.
 
-    If the page marks articles, only they are looked at, and every one of their stretches counts as text.
+    Surge and dive points choose the text of every page. A check afterwards adds lines of marked articles that they
+    missed; it never takes a line away.
     """
     if not page:
         return ""
     lines = lines_of(page)
-    if any(n for _, n, inside in lines if inside):
-        lines, surge = [(t, n if inside else 0, inside) if inside else ("", 0, False) for t, n, inside in lines], 1
-        lengths = [len(t) for t, _, _ in lines]
-    else:
-        lengths = [n for _, n, _ in lines]
-    spans = kept_lines(lengths, window, surge)
-    return "\n\n".join(lines[i][0] for a, b in spans for i in range(a, b + 1) if lines[i][0])
+    chosen = chosen_lines(lines, window, surge)
+    return "\n\n".join(text for i, (text, _, inside) in enumerate(lines) if text and (i in chosen or inside))
 
 
 def extract_pages(

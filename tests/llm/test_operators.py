@@ -116,6 +116,14 @@ def test_main_text(page, text):
     assert extraction.main_text(page).startswith(text) and len(extraction.main_text(page)) <= len(text) + 2
 
 
+def test_lengths_choose_the_text_where_articles_are_marked():
+    menu = '<ul class="menu"><li><a>x</a><li><a>y</a><li><a>z</a></ul>' * 3
+    page = f"<body><div><p>{'real text ' * 20}</p></div>{menu}<article><p>{'marked text ' * 20}</p>{menu}<p>short</p></article></body>"
+    lines = extraction.lines_of(page)
+    assert [lines[i][0][:4] for i in sorted(extraction.chosen_lines(lines)) if lines[i][0]][:2] == ["real", "mark"]
+    assert extraction.main_text(page) == "\n\n".join([("real text " * 20).strip(), ("marked text " * 20).strip(), "short"])
+
+
 def test_pages_of_any_kind(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "", "<div>" * 3000 + "deep"), (4, "x", "<p>" + "y " * 50_000)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit(1))
