@@ -124,6 +124,32 @@ def test_lengths_choose_the_text_where_articles_are_marked():
     assert extraction.main_text(page) == "\n\n".join([("real text " * 20).strip(), ("marked text " * 20).strip(), "short"])
 
 
+PARAGRAPH = ("a long paragraph of the text " * 5).strip()
+MENU = '<ul class="menu"><li><a href="/a">one</a><li><a href="/b">two</a><li><a href="/c">three</a><li>four</ul>'
+
+
+@pytest.mark.parametrize(
+    "page, blocks",
+    [
+        (f"<div><div><p>A</p></div><div><p>B</p></div><div><div><p>{PARAGRAPH}</p></div></div></div>", ["A", "B", PARAGRAPH]),
+        (f"<div><h1>Title</h1>{MENU}<div><p>Short</p></div>{MENU}<p>{PARAGRAPH}</p>{MENU}<p>End</p></div>", ["Title", "Short", PARAGRAPH, "End"]),
+        (f"<body><div><p>{PARAGRAPH}</p><p>So</p></div>{MENU}<div>far away</div></body>", [PARAGRAPH, "So"]),
+        (f"<div><h1><a>Title</a></h1><p>{PARAGRAPH}</p><ul><li><a>x</a><li><a>y</a><li><a>z</a></ul><p>End</p></div>", ["Title", PARAGRAPH, "x", "y", "z", "End"]),
+        (f'<div><p class="notice">Beware<p>{PARAGRAPH}<p>End</div>', [PARAGRAPH, "End"]),
+        (f'<div><p class="notice">Beware</div><p>{PARAGRAPH}<p>End', [PARAGRAPH, "End"]),
+        (f'<article><p>{PARAGRAPH}<p class="notice">Beware</article><div><p>{PARAGRAPH} too</p></div>', [PARAGRAPH, PARAGRAPH + " too"]),
+        (f'<ul><li class="menu">Beware<ul><li>in it</ul>more<li>{PARAGRAPH}<li>End</ul>', [PARAGRAPH, "End"]),
+        (f'<dl><dt class="ad">Beware<dd>{PARAGRAPH}<dt>End</dl>', [PARAGRAPH, "End"]),
+        (f'<table><tr><td class="ad">Beware<td>{PARAGRAPH}<tr><td>End</table>', [PARAGRAPH, "End"]),
+        (f'<p>{PARAGRAPH} <span class="ad">Buy <span>now</span></span></p><p><a class="share">Share</p><p>End', [PARAGRAPH, "End"]),
+        (f'<div class="ad"><div>Buy</div><p>now</div><p>{PARAGRAPH}</p>', [PARAGRAPH]),
+        (f"<p><a>open link<p>{PARAGRAPH}</p><p>End", [PARAGRAPH, "End"]),
+    ],
+)
+def test_no_block_of_the_text_is_lost(page, blocks):
+    assert extraction.main_text(page) == "\n\n".join(blocks)
+
+
 def test_pages_of_any_kind(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "", "<div>" * 3000 + "deep"), (4, "x", "<p>" + "y " * 50_000)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit(1))
