@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.llm.common import BLANKS, narrow, table
 from corpusloom.session import materialize
 
-#: Marker words of the classifier at most, labelled rows at most per domain, gradient steps.
-MARKERS, MAX_LABELLED, STEPS = 512, 10_000, 12
+#: Hash buckets of words, evidence (as a likelihood ratio statistic) up to which a word counts as chance, labelled rows at
+#: most per domain, gradient steps.
+BUCKETS, CHANCE, MAX_LABELLED, STEPS = 1 << 17, 9.0, 10_000, 12
 
 #: Domains of the labelled table and the shares of the tokens they are to have.
 DOMAINS = ("good", "low", "toxic")
@@ -36,24 +37,86 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
 
 
-def hashes_of(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def buckets_of(words: Column) -> Column:
+    """The distinct hash buckets of the words."""
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")))
 
 
 @dataclass(frozen=True)
 class Classifier:
-    """Bernoulli naive Bayes over marker words: a start per domain, and what each marker (by hash) adds to it."""
+    """What each bucket says for each domain against the others, and how these sums make a posterior.
 
-    start: np.ndarray
-    markers: list[int]
+    ``table`` has a row per domain's sum, one for the text's length and one of constants, and a column per domain.
+    """
+
+    prior: np.ndarray
     weights: np.ndarray
+    table: np.ndarray
+
+
+def evidence(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Log ratio of each bucket's share of a domain's documents to its share of the others', by domain and bucket.
+
+    ``counts`` has documents by domain and bucket, ``sizes`` by domain. Shares are shrunk by half a document, and ratios
+    by what chance explains of their likelihood ratio statistic: all of it up to CHANCE, little where it is far above.
+    """
+    out = np.zeros(counts.shape)
+    a_all, n_all = counts.sum(axis=0), sizes.sum()
+    for k, (a, n) in enumerate(zip(counts, sizes)):
+        o, m = a_all - a, n_all - n
+        if not n or not m:
+            continue
+        t = a_all / n_all
+
+        def part(x: np.ndarray, expected: np.ndarray) -> np.ndarray:
+            return x * np.log(np.where(x > 0, x, 1.0) / np.where(x > 0, expected, 1.0))
+
+        statistic = 2 * (part(a, n * t) + part(o, m * t) + part(n - a, n * (1 - t)) + part(m - o, m * (1 - t)))
+        told = statistic > CHANCE
+        ratio = np.log(((a[told] + 0.5 * t[told]) / (n + 0.5)) / ((o[told] + 0.5 * t[told]) / (m + 0.5)))
+        out[k, told] = (1 - CHANCE / statistic[told]) * ratio
+    return out
+
+
+def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, n: int, steps: int = 30) -> np.ndarray:
+    """Coefficients of a multinomial regression of the domain on the features and a constant, by Newton's method."""
+    width = x.shape[1]
+    table, target = np.zeros((width, n)), np.eye(n)[y]
+    ridge = np.full(width, 0.1)
+    ridge[-1] = 1e-3
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        top = z.max(axis=1)
+        chosen = (z * target).sum(axis=1)
+        return float((weight * (top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - chosen)).sum() + (ridge[:, None] * b * b).sum() / 2)
+
+    now = loss(table)
+    for _ in range(steps):
+        z = x @ table
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        slope = x.T @ ((p - target) * weight[:, None]) + ridge[:, None] * table
+        curve = np.diag(np.tile(ridge, n))
+        for i in range(n):
+            for j in range(n):
+                curve[i * width : (i + 1) * width, j * width : (j + 1) * width] += (x * (weight * p[:, i] * ((i == j) - p[:, j]))[:, None]).T @ x
+        step = np.linalg.solve(curve, slope.T.ravel()).reshape(n, width).T
+        size = 1.0
+        while (then := loss(table - size * step)) > now and size > 1e-4:
+            size /= 2
+        if then >= now:
+            break
+        table, now = table - size * step, then
+    return table
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_col: str, text_col: str, max_labelled: int) -> Classifier | None:
     """Fit on labelled documents, at most about ``max_labelled`` of each domain, chosen by a hash of the id.
 
-    That bound concerns this fit alone; priors are shares of all labelled documents. Markers are the words that are
-    at least twice as frequent in some domain's documents as in all, the most telling first. None without labels.
+    That bound concerns this fit alone; priors are shares of all labelled documents. Every word counts, by its hash
+    bucket. Sums of evidence are turned into posteriors by a regression on documents scored with the evidence of the
+    other half, so that words which only occur together are not believed twice. None without labels.
     """
     known = labelled.where(F.col("domain").isin(list(domains)) & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
@@ -68,44 +131,73 @@ def train(docs: DataFrame, labelled: DataFrame, domains: Sequence[str], id_col:
     # distinct ids, about max_labelled for each domain at most: that bound makes the broadcast safe
     drawn_ids = present.where(draw < share).distinct()
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    chosen = texts.join(F.broadcast(drawn_ids), "doc_id").select("domain", F.array_distinct(hashes_of(words_of(F.col("text")))).alias("words"))
+    number = F.array_position(F.lit(list(domains)), F.col("domain")).cast("int") - 1
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
+    chosen = texts.join(F.broadcast(drawn_ids), "doc_id").select((number * 2 + half).alias("part"), buckets_of(words_of(F.col("text"))).alias("_buckets"))
     chosen = materialize(chosen, "mixing-labelled")
-    drawn = {r.domain: r.n for r in chosen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    total = max(sum(drawn.values()), 1)
-    counts = chosen.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
-        *[F.count_if(F.col("domain") == d).alias(f"c{k}") for k, d in enumerate(domains)]
-    )
-    seen = sum((F.col(f"c{k}") for k in range(1, len(domains))), F.col("c0"))
-    tells = []
-    for k, d in enumerate(domains):
-        c, e = F.col(f"c{k}"), seen * (drawn.get(d, 0) / total)
-        tells.append(F.when((c >= 10) & (c >= 2 * e), (c - e) * (c - e) / e).otherwise(0.0))
-    top = counts.withColumn("_tells", F.greatest(*tells)).where("_tells >= 20").orderBy(F.desc("_tells"), "word").limit(MARKERS).collect()
+    parts = 2 * len(domains)  # a domain's documents in two halves
+    drawn, counts = np.zeros(parts), np.zeros((parts, BUCKETS))
+    for r in chosen.groupBy("part").agg(F.count("*").alias("n")).collect():
+        drawn[r.part] = r.n
+    found = chosen.select("part", F.explode("_buckets").alias("bucket")).groupBy("bucket")
+    found = found.agg(*[F.count_if(F.col("part") == i).cast("int").alias(f"c{i}") for i in range(parts)]).toArrow()  # a row per bucket at most
+    for i in range(parts):
+        counts[i, found["bucket"].to_numpy()] = found[f"c{i}"].to_numpy()
+    first, second = evidence(counts[0::2], drawn[0::2]), evidence(counts[1::2], drawn[1::2])
+    weights = evidence(counts[0::2] + counts[1::2], drawn[0::2] + drawn[1::2])
+    is_first = F.col("part") % 2 == 0
+    by_half = [F.when(is_first, b).otherwise(a) for a, b in zip(features(first), features(second))]
+    scored = chosen.withColumn("_told", F.when(is_first, told_of(second)).otherwise(told_of(first)))
+    scored = scored.select("part", *[c.alias(f"x{i}") for i, c in enumerate(by_half)]).toArrow()  # a row per drawn document
+    x = np.column_stack([*[scored[f"x{i}"].to_numpy() for i in range(len(by_half))], np.ones(scored.num_rows)])
+    y = scored["part"].to_numpy() // 2
     n = np.array([sizes.get(d, 0) for d in domains], float)
-    prior = np.log((n + 1) / (n.sum() + len(domains)))
-    if not top:
-        return Classifier(prior, [], np.zeros((0, len(domains))))
-    c = np.array([[r[f"c{k}"] for k in range(len(domains))] for r in top], float)
-    size = np.array([drawn.get(d, 0) for d in domains], float)
-    likely = (c + c.sum(axis=1, keepdims=True) / total) / (size + 1)
-    likely = np.clip(likely, 1e-6, 1 - 1e-6)
-    return Classifier(prior + np.log1p(-likely).sum(axis=0), [r.word for r in top], np.log(likely / (1 - likely)))
+    weight = n[y] / np.maximum(np.bincount(y, minlength=len(domains)), 1)[y]
+    # one document more of each domain, like the average, as in the prior
+    middle = np.average(x, axis=0, weights=weight) if len(x) else np.append(np.zeros(len(by_half)), 1.0)
+    x, y, weight = np.vstack([x, np.tile(middle, (len(domains), 1))]), np.append(y, np.arange(len(domains))), np.append(weight, np.ones(len(domains)))
+    return Classifier((n + 1) / (n.sum() + len(domains)), weights, calibrate(x, y, weight, len(domains)))
+
+
+def _constant(values: Sequence) -> Column:
+    """An array of whole numbers as one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+
+
+def telling(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that say anything, and their weights in hundredths."""
+    hundredths = np.rint(weights * 100).astype(int)
+    told = np.flatnonzero(hundredths.any(axis=0))
+    return told, hundredths[:, told]
+
+
+def told_of(weights: np.ndarray) -> Column:
+    """Numbers, from 1, of the telling buckets among ``_buckets``."""
+    told, _ = telling(weights)
+    number = np.zeros(BUCKETS, int)
+    number[told] = np.arange(1, len(told) + 1)
+    constant = _constant(number)
+    return F.filter(F.transform("_buckets", lambda b: F.get(constant, b)), lambda i: i > 0)
 
 
-def _constant(values: Sequence, kind: str) -> Column:
-    """An array as one literal."""
-    return F.expr("cast(split('" + ",".join(f"{v:.8g}" if kind == "double" else str(v) for v in values) + f"', ',') as array<{kind}>)")
+def features(weights: np.ndarray) -> list[Column]:
+    """Sum of evidence for each domain over ``_told``, and the logarithm of the number of buckets; a tenth of each."""
+    sums = []
+    for row in telling(weights)[1]:
+        constant = _constant([0, *row])
+        total = F.aggregate("_told", F.lit(0), lambda a, i: a + F.get(constant, i))
+        sums.append(F.least(F.greatest(total / 100.0, F.lit(-50.0)), F.lit(50.0)) / 10.0)
+    return [*sums, F.log1p(F.size("_buckets").cast("double")) / 10.0]
 
 
 def scores_of(model: Classifier) -> Column:
-    """Array of the log scores of the domains, relative to the first: the start plus the markers that occur."""
-    scores = [F.lit(0.0)]
-    for k in range(1, len(model.start)):
-        total = F.lit(float(model.start[k] - model.start[0]))
-        if model.markers:
-            weights = _constant(model.weights[:, k] - model.weights[:, 0], "double")
-            total = F.aggregate(F.col("_found"), total, lambda a, i: a + F.element_at(weights, i))
-        scores.append(F.least(F.greatest(total, F.lit(-50.0)), F.lit(50.0)))
+    """Array of the log scores of the domains, from the array ``_features``."""
+    scores = []
+    for column in model.table.T:
+        score = F.lit(float(column[-1]))
+        for i, v in enumerate(column[:-1]):
+            score = score + F.get("_features", F.lit(i)) * F.lit(float(v))
+        scores.append(score)
     return F.array(*scores)
 
 
@@ -118,14 +210,15 @@ def memberships(docs: DataFrame, model, domains: Sequence[str], id_col: str, tex
     if model is None:
         even = F.array(*[F.lit(1.0 / len(domains))] * len(domains))
         return counted.withColumn("_p", even).drop("_words")
-    markers = _constant(model.markers, "bigint") if model.markers else F.expr("cast(array() as array<bigint>)")
-    found = F.transform(F.array_intersect(hashes_of(F.col("_words")), markers), lambda h: F.array_position(markers, h).cast("int"))
-    scored = counted.withColumn("_found", found).drop("_words")
-    scored = scored.withColumn("_scores", scores_of(model)).drop("_found")
+    scored = counted.withColumn("_buckets", buckets_of(F.col("_words"))).drop("_words")
+    scored = scored.withColumn("_told", told_of(model.weights))
+    scored = scored.withColumn("_features", F.array(*features(model.weights))).drop("_buckets", "_told")
+    scored = scored.withColumn("_scores", scores_of(model)).drop("_features")
     highest = F.array_max("_scores")
     scored = scored.withColumn("_scores", F.transform("_scores", lambda s: F.exp(s - highest)))
     total = F.aggregate("_scores", F.lit(0.0), lambda a, x: a + x)
-    return scored.withColumn("_p", F.transform("_scores", lambda s: s / total)).drop("_scores")
+    prior = F.array(*[F.lit(float(v)) for v in model.prior])
+    return scored.withColumn("_p", F.when(F.col("_tokens") == 0, prior).otherwise(F.transform("_scores", lambda s: s / total))).drop("_scores")
 
 
 def rate(p: Column, pulls: Sequence[np.ndarray]) -> Column:

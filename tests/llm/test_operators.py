@@ -413,6 +413,25 @@ def test_mixing_meets_targets(spark):
     assert all(r.copies >= 1 for r in got if r.doc_id % 4 in (0, 3))
 
 
+def test_mixing_tells_rare_words_and_the_commonest_domain_apart(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(50)]
+    rows, labels = [], []
+    for i in range(800):
+        domain = "toxic" if i % 13 == 0 else "good" if i % 3 else "low"
+        # a toxic word is in fewer than 10 labelled documents; a low document only lacks the words of good ones
+        own = {"toxic": [f"slur{(i // 13 + k) % 12}" for k in (0, 1)], "good": [f"praise{i % 5}"], "low": []}[domain]
+        rows.append((i, " ".join(rnd.choices(words, k=30) + own), domain))
+        if i % 4:
+            labels.append((i, domain))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, domain string")
+    got = mixing.mix_rates(docs, spark.createDataFrame(labels, "doc_id bigint, domain string")).collect()
+    domain = {i: d for i, _, d in rows}
+    for d in mixing.DOMAINS:
+        unseen = [r for r in got if r.doc_id % 4 == 0 and domain[r.doc_id] == d]
+        assert sum(r[f"p_{d}"] for r in unseen) >= 0.7 * len(unseen) > 0, d
+
+
 def test_mixing_of_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id bigint, domain string")
     assert {r.rate for r in mixing.mix_rates(odd, none).collect()} == {1.0}
