@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from corpusloom.session import materialize
 
 #: White space between words: the ASCII blanks only.
 BLANKS = " \t\n\x0b\f\r"
@@ -23,6 +25,19 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in columns.items()])
 
 
+def positions(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Add a gapless position from 0 in the given order, which must be total.
+
+    Rows are dealt into ranges of that order and numbered there; the ranges' sizes, a row for each, give their starts.
+    """
+    placed = materialize(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return placed.withColumn("_within", within).join(starts, "_range").select(*rows.columns, (F.col("_start") + F.col("_within")).alias(name))
+
+
 def crc32_utf8(text: Column) -> Column:
     """Unsigned crc32 of the UTF-8 bytes; null counts as empty."""
     return F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import binary, decontam, extraction, language, licenses, mixing, neardup, quality, sharding, urls
+from corpusloom.llm import (
+    binary,
+    decontam,
+    extraction,
+    language,
+    licenses,
+    mixing,
+    neardup,
+    overlap,
+    phrases,
+    quality,
+    resampling,
+    sharding,
+    urls,
+)
 from corpusloom.llm.common import table
 
 
@@ -55,6 +69,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.overlap_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,5 +94,8 @@ QUERIES = {
         op8_minhash_dedup,
         op9_mixing,
         op10_decontamination,
+        op11_phrase_mining,
+        op12_importance_resampling,
+        op13_jaccard_join,
     )
 }
