@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.llm.common import narrow, word_memo
 from corpusloom.llm.neardup import components, shingles
+from corpusloom.llm.phrases import bit_table
 from corpusloom.session import materialize
 
 
@@ -191,15 +192,29 @@ def search(query: np.ndarray, records: list[np.ndarray], percent: int) -> list[i
     return sorted(out)
 
 
-def set_table(texts: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id and the whole set, sorted, as 64-bit words."""
+#: Bits, as a power of two, of the table that tells which texts' sets are wanted.
+WANTED_BITS = 24
+
+
+def set_table(texts: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id and the whole set, sorted, as 64-bit words, of the wanted ids.
+
+    A bit table of the ids, of fixed size, goes to the texts, so that only sets are shuffled and no texts; sets let through by the bits
+    of other ids go in the join.
+    """
+    code = F.xxhash64("doc_id")
+    shared = texts.sparkSession.sparkContext.broadcast(bit_table(wanted.select(code.alias("code")), WANTED_BITS))
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = word_memo()
+        memo, table = word_memo(), shared.value
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "shingles": [shingles(t, settings.width, memo).tobytes() for t in batch["text"]]})
+            place = batch["code"].to_numpy().view(np.uint64) & np.uint64(len(table) * 64 - 1)
+            batch = batch[((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)]
+            sets = [shingles(t, settings.width, memo).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": sets})
 
-    return texts.mapInPandas(made, "doc_id bigint, shingles binary")
+    sets = texts.select("doc_id", "text", code.alias("code")).mapInPandas(made, "doc_id bigint, shingles binary")
+    return sets.join(wanted, "doc_id", "left_semi").distinct()
 
 
 def searched(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -266,23 +281,18 @@ def overlap_groups(docs: DataFrame, settings: Settings = Settings(), id_col: str
     postings = heads.select("doc_id", F.explode("short").alias("shingle"))
     several = postings.groupBy("shingle").agg(F.count("*").alias("_n")).where("_n > 1").select("shingle")
     lists = materialize(postings.join(several, "shingle"), "overlap-lists")
-    wanted = lists.select("doc_id").distinct().hint("merge")
-    sets = materialize(set_table(texts.where("named").join(wanted, "doc_id", "left_semi").select("doc_id", "text"), settings).distinct(), "overlap-sets")
-    sides = heads.select("doc_id", "n_shingles", "parity")
+    join = _Join(texts.where("named"), heads.select("doc_id", "n_shingles", "parity"), links, settings)
 
-    done, component = None, None
     for r in range(settings.centers):
-        open_lists = lists if component is None else _open(lists, component)
+        records = join.open(lists)
         draw = F.col("doc_id") if r == 0 else F.xxhash64("doc_id", F.lit(r))
-        centers = open_lists.groupBy("shingle").agg(F.min_by("doc_id", draw).alias("b"))
-        pairs = open_lists.select("shingle", F.col("doc_id").alias("a"), *([] if component is None else ["component"])).join(centers, "shingle")
-        pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        links, done, component = _linked(pairs, links, done, component, sides, sets, settings)
+        centers = records.groupBy("shingle").agg(F.min_by("doc_id", draw).alias("b"))
+        join.link(records.withColumnRenamed("doc_id", "a").join(centers, "shingle").where("a <> b"))
 
-    rest = materialize(_open(lists, component), "overlap-open")
+    rest = materialize(join.open(lists), "overlap-open")
     groups = rest.groupBy("shingle", "component").agg(F.count("*").alias("_n"))
     largest = groups.groupBy("shingle").agg(F.max_by("component", "_n").alias("largest"), F.sum("_n").alias("_all"))
-    rows = rest.join(largest, "shingle").join(sides, "doc_id")
+    rows = rest.join(largest, "shingle").join(join.sides, "doc_id")
     # a list with very many records is dealt: one side by parts, the other to all parts
     parts = F.ceil(F.col("_all") / 512).cast("int")
     left = rows.where("component <> largest").withColumn("_part", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).select(
@@ -293,34 +303,48 @@ def overlap_groups(docs: DataFrame, settings: Settings = Settings(), id_col: str
     )
     once = (F.col("c_b") == F.col("largest")) | (F.col("a") > F.col("b"))
     across = left.join(right, ["shingle", "_part"]).where((F.col("c_a") != F.col("c_b")) & once & close(settings))
-    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links, done, component = _linked(across, links, done, component, sides, sets, settings)
+    join.link(across)
 
-    roots = classes.join(component.withColumnRenamed("doc_id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("_root"))
+    roots = classes.join(join.component.withColumnRenamed("doc_id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("_root"))
     own = sketch.select("doc_id", "named", "n_shingles", "set_key").join(roots, "set_key", "left")
     key = F.when(F.col("named"), F.col("doc_id"))
     return own.select(key.alias("doc_id"), "n_shingles", F.coalesce("_root", key).alias("component_id"))
 
 
-def _open(lists: DataFrame, component: DataFrame) -> DataFrame:
-    """Lists that hold several components, with the component of every record."""
-    labelled = lists.select("shingle", "doc_id").join(component, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    several = labelled.groupBy("shingle").agg(F.min("component").alias("_c"), F.max("component").alias("_d")).where("_c <> _d").select("shingle")
-    return labelled.join(several, "shingle").select("shingle", "doc_id", "component")
+class _Join:
+    """What is known so far: links, searched pairs, components, and the sets read for them."""
+
+    def __init__(self, texts: DataFrame, sides: DataFrame, links: DataFrame, settings: Settings):
+        self.texts, self.sides, self.links, self.settings = texts, sides, links, settings
+        self.component = components(links).withColumnRenamed("node", "doc_id")
+        self.searched: DataFrame | None = None
+        self.sets: DataFrame | None = None
 
+    def open(self, lists: DataFrame) -> DataFrame:
+        """Lists that hold several components, with the component of every record."""
+        labelled = lists.join(self.component, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        several = labelled.groupBy("shingle").agg(F.min("component").alias("_c"), F.max("component").alias("_d")).where("_c <> _d")
+        return labelled.join(several.select("shingle"), "shingle").select("shingle", "doc_id", "component")
 
-def _linked(pairs, links, done, component, sides, sets, settings: Settings):
-    """Search the pairs not searched before; all links, all searched pairs and the components by now."""
-    near = pairs.join(side(sides, "a"), "a").join(side(sides, "b"), "b").where(close(settings)).select("a", "b").distinct()
-    if done is not None:
-        near = near.join(done, ["a", "b"], "left_anti")
-        before = component.withColumnRenamed("component", "c")
-        near = near.join(before.withColumnsRenamed({"doc_id": "a", "c": "_a"}), "a", "left").join(before.withColumnsRenamed({"doc_id": "b", "c": "_b"}), "b", "left")
+    def link(self, pairs: DataFrame) -> None:
+        """Search those of the pairs (a, b) that were not searched before and lie in two components."""
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        near = pairs.join(side(self.sides, "a"), "a").join(side(self.sides, "b"), "b").where(close(self.settings)).select("a", "b").distinct()
+        for end in ("a", "b"):
+            near = near.join(self.component.select(F.col("doc_id").alias(end), F.col("component").alias(f"_{end}")), end, "left")
         near = near.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-    near = materialize(near, "overlap-pairs")
-    found = materialize(searched(near, sets, settings), "overlap-links") if not near.isEmpty() else near
-    links = links.union(found)
-    done = near if done is None else done.union(near)
-    if component is None or not found.isEmpty():
-        component = components(links).withColumnRenamed("node", "doc_id")
-    return links, done, component
+        if self.searched is not None:
+            near = near.join(self.searched, ["a", "b"], "left_anti")
+        near = materialize(near, "overlap-pairs")
+        self.searched = near if self.searched is None else self.searched.union(near)
+        if near.isEmpty():
+            return
+        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("doc_id"), "doc_id", "left_anti")
+        sets = materialize(set_table(self.texts, materialize(wanted, "overlap-wanted"), self.settings), "overlap-sets")
+        self.sets = sets if self.sets is None else self.sets.union(sets)
+        found = materialize(searched(near, self.sets, self.settings), "overlap-links")
+        if not found.isEmpty():
+            self.links = self.links.union(found)
+            self.component = components(self.links).withColumnRenamed("node", "doc_id")

@@ -27,7 +27,7 @@ SUPPORT, TOP, INSIDE = 10, 2000, 50
 #: Text octets of the shards that a task mines at a time (all languages together); bits of the table of candidates, as a power of two.
 SHARD_OCTETS, TABLE_BITS = 16 << 20, 27
 #: Rows of a batch handed back to Spark.
-BATCH = 500_000
+BATCH = 200_000
 
 _END = b"\xff"  # stands for the end of a piece; no UTF-8 text has this byte
 _BYTES = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -96,9 +96,8 @@ def _pairs(words: np.ndarray, codes: np.ndarray, lang: str) -> tuple[np.ndarray,
     return pairs, (words[:-1] > 0) & (words[1:] > 0)
 
 
-def _batches(columns: dict) -> Iterator[pd.DataFrame]:
-    for begin in range(0, len(next(iter(columns.values()))), BATCH):
-        yield pd.DataFrame({c: v[begin : begin + BATCH] for c, v in columns.items()})
+def _slices(n: int) -> Iterator[slice]:
+    return (slice(begin, begin + BATCH) for begin in range(0, n, BATCH))
 
 
 MINED = "lang string, code bigint, n bigint, slack int"
@@ -122,15 +121,16 @@ def mine(texts: DataFrame, support: int, octets: int) -> DataFrame:
                 pairs, inside = _pairs(words, codes, lang)
                 found, n = np.unique(pairs[inside], return_counts=True)
                 found, n = found[n >= least], n[n >= least]
-                for part in _batches({"code": found.view(np.int64), "n": n}):
-                    yield part.assign(lang=lang, slack=least - 1)[["lang", "code", "n", "slack"]]
+                for part in _slices(len(found)):
+                    yield pd.DataFrame({"lang": lang, "code": found[part].view(np.int64), "n": n[part], "slack": least - 1})
 
     return texts.mapInPandas(mined, MINED)
 
 
 def candidates(mined: DataFrame, support: int) -> DataFrame:
     """Codes whose reported counts and unreported remainder can together reach the support."""
-    slack = mined.where("code is null").groupBy("lang").agg(F.sum("slack").alias("missing"))
+    # written, so that Spark sees how small it is and joins it where the counts lie
+    slack = materialize(mined.where("code is null").groupBy("lang").agg(F.sum("slack").alias("missing")), "phrase-slack")
     sums = mined.where("code is not null").join(slack, "lang").groupBy("code")
     return sums.agg(F.sum(F.col("n") - F.col("slack")).alias("sure"), F.max("missing").alias("missing")).where(
         F.col("sure") + F.col("missing") >= support
@@ -147,6 +147,14 @@ def bit_table(codes: DataFrame, bits: int) -> np.ndarray:
     return table.view(np.uint64)
 
 
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a.astype(np.uint64) << np.uint64(32)) | b
+
+
+def _parted(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 COUNTS = "lang string, phrase string, n bigint"
 
 
@@ -160,30 +168,34 @@ def count(texts: DataFrame, table: np.ndarray, octets: int) -> DataFrame:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shared.value
         mask = np.uint64(len(table) * 64 - 1)
+
+        def rows(lang: str, n: np.ndarray, spell) -> Iterator[pd.DataFrame]:
+            for part in _slices(len(n)):
+                yield pd.DataFrame({"lang": lang, "phrase": spell(part), "n": n[part]})
+
         for numbers, held in _shards(batches, octets):
             codes, spelled = _codes(numbers), [w.decode("utf-8", "replace") for w in numbers]
             for lang, shard in held.items():
                 words = shard.numbers()
                 n = np.bincount(words, minlength=1)
                 used = np.flatnonzero(n[1:]) + 1
-                phrases, counts = [""] + [spelled[i] for i in used.tolist()], [np.array([n[1:].sum()]), n[used]]
-                if len(words) > 1:
-                    pairs, inside = _pairs(words, codes, lang)
-                    place = pairs & mask
-                    flag = inside & ((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-                    both = (words[:-1].astype(np.uint64) << np.uint64(32)) | words[1:]
-                    pair, at, n_pair = np.unique(both[flag], return_inverse=True, return_counts=True)
-                    two = [f"{spelled[a]} {spelled[b]}" for a, b in zip((pair >> np.uint64(32)).tolist(), (pair & np.uint64(0xFFFFFFFF)).tolist())]
-                    number = np.zeros(len(flag), np.uint64)
-                    number[flag] = at.astype(np.uint64)
-                    twice = np.flatnonzero(flag[:-1] & flag[1:])
-                    three = (number[twice] << np.uint64(32)) | words[twice + 2]
-                    three, n_three = np.unique(three, return_counts=True)
-                    phrases += two
-                    phrases += [f"{two[p]} {spelled[c]}" for p, c in zip((three >> np.uint64(32)).tolist(), (three & np.uint64(0xFFFFFFFF)).tolist())]
-                    counts += [n_pair, n_three]
-                for part in _batches({"phrase": phrases, "n": np.concatenate(counts)}):
-                    yield part.assign(lang=lang)[["lang", "phrase", "n"]]
+                yield from rows(lang, n[1:].sum(keepdims=True), lambda part: [""])
+                yield from rows(lang, n[used], lambda part: [spelled[i] for i in used[part].tolist()])
+                if len(words) < 2:
+                    continue
+                pairs, inside = _pairs(words, codes, lang)
+                place = pairs & mask
+                flag = inside & ((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+                two, at, n = np.unique(_joined(words[:-1][flag], words[1:][flag]), return_inverse=True, return_counts=True)
+                first, second = _parted(two)
+                yield from rows(lang, n, lambda part: [f"{spelled[a]} {spelled[b]}" for a, b in zip(first[part].tolist(), second[part].tolist())])
+                number = np.zeros(len(flag), np.uint32)
+                number[flag] = at
+                twice = np.flatnonzero(flag[:-1] & flag[1:])
+                three, n = np.unique(_joined(number[twice], words[twice + 2]), return_counts=True)
+                pair, third = _parted(three)
+                triples = lambda part: (x.tolist() for x in (first[pair[part]], second[pair[part]], third[part]))
+                yield from rows(lang, n, lambda part: [f"{spelled[a]} {spelled[b]} {spelled[c]}" for a, b, c in zip(*triples(part))])
 
     return texts.mapInPandas(counted, COUNTS)
 
