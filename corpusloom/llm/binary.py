@@ -174,7 +174,7 @@ class Encoder:
 
     _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -44,15 +44,23 @@ def crc32_utf8(text: Column) -> Column:
 
 
 class Memo(dict):
-    """Computed on first use, with bounded memory: it starts anew when full, which never changes a value."""
+    """Computed on first use, with bounded memory.
 
-    def __init__(self, make, limit: int = 400_000):
-        self.make, self.limit = make, limit
+    When ``limit`` keys are held they become the older generation, in place of the one before; a key that is used again
+    moves to the new one. What is in use thus stays, whatever passes through, and no value ever changes.
+    """
+
+    def __init__(self, make, limit: int = 200_000):
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import overlap, phrases, resampling
-from corpusloom.llm.common import positions
+from corpusloom.llm.common import Memo, positions
 
 LONG = "alpha beta gamma delta " * 4000
 ODD = [
@@ -180,6 +180,14 @@ def test_positions_follow_the_order(spark):
     assert sorted(r["at"] for r in got) == list(range(500))
 
 
+def test_memo_keeps_what_is_in_use():
+    made = []
+    memo = Memo(lambda k: made.append(k) or -k, limit=4)
+    for k in [1, 2, 3, 1, 4, 5, 1, 6, 7, 8, 1, 9, 1]:
+        assert memo[k] == -k
+    assert made.count(1) == 1 and len(memo) <= 4 and len(memo.older) <= 4
+
+
 # ---- Jaccard join ------------------------------------------------------------------------------------------
 
 
