@@ -18,7 +18,6 @@ from corpusloom.llm.common import narrow
 
 ORDERS, BUCKETS = (1, 2, 3), 1 << 15
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def counts(text: str) -> np.ndarray:
@@ -50,7 +49,8 @@ def vector(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether any character is a letter; digits in other scripts, fractions and numerals are none."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:

@@ -124,10 +124,14 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
                 sig = signature(found, settings.size) if len(found) else None
                 bands.append(band_keys(sig, settings.bands, settings.rows) if len(found) else np.zeros(0, np.int64))
                 bits.append(planes(sig) if len(found) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": n, "set_key": keys, "bands": bands, "planes": bits})
-
-    kinds = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, planes array<bigint>"
-    return docs.mapInPandas(sketched, kinds)
+            whose = {"doc_id": batch["doc_id"], "named": batch["named"]}
+            yield pd.DataFrame(whose | {"n_shingles": n, "set_key": keys, "bands": bands, "planes": bits})
+
+    # a null among the ids of a batch would turn all of them into floats
+    given = docs.select(F.coalesce("doc_id", F.lit(0).cast("bigint")).alias("doc_id"), F.col("doc_id").isNotNull().alias("named"), "text")
+    kinds = "doc_id bigint, named boolean, n_shingles bigint, set_key binary, bands array<bigint>, planes array<bigint>"
+    found = given.mapInPandas(sketched, kinds)
+    return found.withColumn("doc_id", F.when(F.col("named"), F.col("doc_id"))).drop("named")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:

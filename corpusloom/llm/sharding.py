@@ -38,9 +38,10 @@ def shard_of(shards: int):
 
     @F.pandas_udf("int")
     def shard(keys: pd.Series) -> pd.Series:
-        return pd.Series(jump_hash(keys.fillna(0).astype("int64").to_numpy(), shards).astype("int32"))
+        return pd.Series(jump_hash(keys.to_numpy(), shards).astype("int32"))
 
-    return shard
+    # a null among the keys of a batch would turn all of them into floats
+    return lambda key: shard(F.coalesce(key, F.lit(0).cast("bigint")))
 
 
 def numbered(rows: DataFrame, key: str, group: str, name: str) -> DataFrame:

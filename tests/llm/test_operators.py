@@ -60,6 +60,40 @@ def test_shards_of_odd_rows(odd):
     assert all(r.grown_shard in (r.shard, 3) for r in rows)
 
 
+def jump(key, shards):
+    """Jump consistent hashing of one key."""
+    key, at, ahead = key % 2**64, -1, 0
+    while ahead < shards:
+        at, key = ahead, (key * 2862933555777941757 + 1) % 2**64
+        ahead = int((at + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return at
+
+
+def test_shards_are_those_of_the_loop():
+    keys = [0, 1, -1, 2**53 + 1, 2**63 - 1, -(2**63), *range(500)]
+    for n in (1, 2, 16, 17, 1000):
+        assert sharding.jump_hash(np.array(keys, np.int64), n).tolist() == [jump(k, n) for k in keys]
+
+
+LARGE = [2**53 + 1, 2**53 + 3, -(2**62) - 1]
+
+
+def test_a_null_id_leaves_others_alone(spark):
+    """In one batch with a null, ids that a float cannot hold stay as they are."""
+    texts = ["some words to share here", "some words to share here", "other words"]
+    rows = [*zip(LARGE, texts), (None, "a null id")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert {r.doc_id: r.shard for r in sharding.shard_documents(df).collect()} == {k: jump(k, 16) for k in LARGE} | {None: jump(0, 16)}
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, neardup.Settings(width=2)).collect()}
+    assert got == {LARGE[0]: LARGE[0], LARGE[1]: LARGE[0], LARGE[2]: LARGE[2], None: None}
+    assert sorted(r.doc_id for r in neardup.drop_near_duplicates(df.where("doc_id is not null")).collect()) == sorted((LARGE[0], LARGE[2]))
+
+
+def test_what_counts_as_a_letter():
+    assert not any(map(language.has_letter, [None, "", "²", "½ Ⅷ ①", "12 _ !", "१२"]))
+    assert all(map(language.has_letter, ["a", "1 é", "字", "_ß_"]))
+
+
 def measured(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     runs = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
