@@ -8,8 +8,8 @@ n - T + 1 shingles. Records that share a short list are searched: in blocks of r
 are merged with a heap up to the occurrences that the long ones leave over, and what remains probes the
 long lists by binary search (DivideSkip).
 
-Texts with equal sets are one class. In a list, classes are first held against one center, then against centers of
-other draws, and only lists that still hold several components get the pairs across them. These pairs are weighed inside
+Texts with equal sets are one class. In a list, classes are first held against one center, in long ones then against centers
+of other draws, and only lists that still hold several components get the pairs across them. These pairs are weighed inside
 the join: the parity tables of two sets differ in no more places than the sets do. No list is cut short.
 """
 
@@ -42,10 +42,10 @@ class Settings:
 
     width: int = 3
     percent: int = 90
-    long_list: int = 256
-    long_bits: int = 20
-    shard: int = 2_000_000
-    reported: int = 4
+    long_list: int = 64
+    long_bits: int = 22
+    shard: int = 4_000_000
+    reported: int = 2
     centers: int = 2
     block: int = 64
     block_shingles: int = 1_000_000
@@ -278,32 +278,31 @@ def overlap_groups(docs: DataFrame, settings: Settings = Settings(), id_col: str
     links = materialize(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "overlap-links")
     heads = named.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id", "set_key"])
     heads = materialize(heads.select("doc_id", "n_shingles", "parity", "short"), "overlap-heads")
+    # every list with several records, its length, and its smallest record as first center
     postings = heads.select("doc_id", F.explode("short").alias("shingle"))
-    several = postings.groupBy("shingle").agg(F.count("*").alias("_n")).where("_n > 1").select("shingle")
-    lists = materialize(postings.join(several, "shingle"), "overlap-lists")
+    several = postings.groupBy("shingle").agg(F.count("*").cast("int").alias("size"), F.min("doc_id").alias("center")).where("size > 1")
+    lists = materialize(postings.join(several, "shingle").select("shingle", "doc_id", "size", "center"), "overlap-lists")
     join = _Join(texts.where("named"), heads.select("doc_id", "n_shingles", "parity"), links, settings)
-
-    for r in range(settings.centers):
-        records = join.open(lists)
-        draw = F.col("doc_id") if r == 0 else F.xxhash64("doc_id", F.lit(r))
-        centers = records.groupBy("shingle").agg(F.min_by("doc_id", draw).alias("b"))
-        join.link(records.withColumnRenamed("doc_id", "a").join(centers, "shingle").where("a <> b"))
-
-    rest = materialize(join.open(lists), "overlap-open")
-    groups = rest.groupBy("shingle", "component").agg(F.count("*").alias("_n"))
-    largest = groups.groupBy("shingle").agg(F.max_by("component", "_n").alias("largest"), F.sum("_n").alias("_all"))
-    rows = rest.join(largest, "shingle").join(join.sides, "doc_id")
+    join.link(lists.select(F.col("doc_id").alias("a"), F.col("center").alias("b")).where("a <> b"))
+    many = lists.where(F.col("size") >= settings.block)
+    for r in range(1, settings.centers):
+        records = join.open(many)
+        centers = records.groupBy("shingle").agg(F.min_by("doc_id", F.xxhash64("doc_id", F.lit(r))).alias("b"))
+        join.link(records.select("shingle", F.col("doc_id").alias("a")).join(centers, "shingle").where("a <> b").select("a", "b"))
+
+    # every pair of lists that hold several components; two records are a pair with the center
+    rows = join.open(lists.where("size > 2")).join(join.sides, "doc_id")
     # a list with very many records is dealt: one side by parts, the other to all parts
-    parts = F.ceil(F.col("_all") / 512).cast("int")
-    left = rows.where("component <> largest").withColumn("_part", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).select(
-        "shingle", "_part", "largest", F.col("doc_id").alias("a"), F.col("component").alias("c_a"), F.col("n_shingles").alias("n_a"), F.col("parity").alias("p_a")
+    parts = F.ceil(F.col("size") / 512).cast("int")
+    left = rows.where("component <> main").withColumn("_part", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).select(
+        "shingle", "_part", "main", F.col("doc_id").alias("a"), F.col("component").alias("c_a"), F.col("n_shingles").alias("n_a"), F.col("parity").alias("p_a")
     )
     right = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).select(
         "shingle", "_part", F.col("doc_id").alias("b"), F.col("component").alias("c_b"), F.col("n_shingles").alias("n_b"), F.col("parity").alias("p_b")
     )
-    once = (F.col("c_b") == F.col("largest")) | (F.col("a") > F.col("b"))
+    once = (F.col("c_b") == F.col("main")) | (F.col("a") > F.col("b"))
     across = left.join(right, ["shingle", "_part"]).where((F.col("c_a") != F.col("c_b")) & once & close(settings))
-    join.link(across)
+    join.link(across.select("a", "b"))
 
     roots = classes.join(join.component.withColumnRenamed("doc_id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("_root"))
     own = sketch.select("doc_id", "named", "n_shingles", "set_key").join(roots, "set_key", "left")
@@ -321,10 +320,13 @@ class _Join:
         self.sets: DataFrame | None = None
 
     def open(self, lists: DataFrame) -> DataFrame:
-        """Lists that hold several components, with the component of every record."""
-        labelled = lists.join(self.component, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        several = labelled.groupBy("shingle").agg(F.min("component").alias("_c"), F.max("component").alias("_d")).where("_c <> _d")
-        return labelled.join(several.select("shingle"), "shingle").select("shingle", "doc_id", "component")
+        """Records of lists that hold several components, with their component and the center's (``main``)."""
+        of = self.component.select(F.col("doc_id").alias("center"), F.col("component").alias("main"))
+        labelled = lists.join(self.component, "doc_id", "left").join(of, "center", "left")
+        labelled = labelled.withColumns({"component": F.coalesce("component", "doc_id"), "main": F.coalesce("main", "center")})
+        labelled = materialize(labelled.drop("center"), "overlap-labelled")
+        several = labelled.where("component <> main").select("shingle").distinct()
+        return labelled.join(several, "shingle", "left_semi")
 
     def link(self, pairs: DataFrame) -> None:
         """Search those of the pairs (a, b) that were not searched before and lie in two components."""
