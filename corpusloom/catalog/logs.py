@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from corpusloom.catalog.inputs import LOG_SQL, metric_log
+from corpusloom.catalog.inputs import LOG_SQL, hash_sql, metric_log
 from corpusloom.catalog.registry import query
+from corpusloom.functions.hashing import hash32
 from corpusloom.functions.scalars import elapsed_text, metrics_text
 from corpusloom.operators.metrics import (
     at_interval,
@@ -22,8 +23,10 @@ from corpusloom.operators.ordering import Order
 from corpusloom.operators.plateau import plateau_switches
 from corpusloom.session import materialize, scratch_path
 from corpusloom.streaming.logs import deduplicated, read_metric_stream
-from corpusloom.streaming.plateau import plateau_stream, write_switches
-from corpusloom.streaming.progress import read_progress, stream_progress
+from corpusloom.streaming import plateau, progress
+from corpusloom.streaming.plateau import plateau_stream, write_rows
+from corpusloom.streaming.progress import stream_progress
+from corpusloom.streaming.reorder import heartbeat, late_rows
 from corpusloom.streaming.throughput import read_throughput, windowed_throughput, write_throughput
 
 DEVICES, WIDTH = 2, 64
@@ -175,24 +178,70 @@ def _growing(rows, label: str):
         yield path
 
 
+#: Rows of a log arrive up to this many hours after their time; slices of arrival are this many days long.
+LAG_HOURS, SLICE_DAYS = 48, 8
+
+
+def _arriving(rows, label: str, values=None):
+    """Write the rows to a folder slice by slice of their arrival, out of order, yielding the folder after each.
+
+    With ``values`` (the columns of a stream in event order) a heartbeat ends it.
+    """
+    path = scratch_path(rows.sparkSession, label)
+    lag = F.pmod(hash32(F.col("run"), F.col("step")), F.lit(LAG_HOURS)) * 3600
+    arrival = F.floor((F.unix_seconds("ts") + lag) / (SLICE_DAYS * 86400))
+    rows = materialize(rows.withColumn("_slice", arrival), label)
+    for (part,) in rows.select("_slice").distinct().orderBy("_slice").collect():
+        rows.where(F.col("_slice") == part).drop("_slice").write.mode("append").parquet(path)
+        yield path
+    if values:
+        plain = rows.drop("_slice")
+        latest = plain.agg(F.max("ts")).first()[0]
+        if latest is not None:
+            heartbeat(plain, F.lit(latest) + F.expr(f"interval {2 * LAG_HOURS} hours"), "run", values).write.mode("append").parquet(path)
+            yield path
+
+
 @query(PROGRESS_SQL)
 def stream_progress_query(spark, sf_dir):
     steps = _steps(metric_log(spark, sf_dir))
     out = scratch_path(spark, "progress")
-    for path in _growing(steps, "steps"):
-        stream = read_metric_stream(spark, path, steps.schema)
-        stream_progress(stream, Order.of_id("step"), DEVICES, out, os.path.join(out, "checkpoint")).awaitTermination()
-    return read_progress(spark, out).select("run", "step", "samples", "tokens", "masked_tokens")
+    for path in _arriving(steps, "steps", progress.VALUES):
+        totals = stream_progress(read_metric_stream(spark, path, steps.schema), DEVICES, f"{LAG_HOURS} hours")
+        write_rows(totals, os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
+    return spark.read.schema(progress.PROGRESS).parquet(os.path.join(out, "rows"))
 
 
 @query(PLATEAU_SQL)
 def stream_plateau(spark, sf_dir):
     losses = _losses(metric_log(spark, sf_dir))
     out = scratch_path(spark, "switches")
-    for path in _growing(losses, "losses"):
-        found = plateau_stream(read_metric_stream(spark, path, losses.schema), PATIENCE, DELTA, DATASETS)
-        write_switches(found, os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
-    return spark.read.schema("run bigint, step bigint, switch_no bigint").parquet(os.path.join(out, "rows"))
+    for path in _arriving(losses, "losses", plateau.VALUES):
+        found = plateau_stream(read_metric_stream(spark, path, losses.schema), PATIENCE, DELTA, DATASETS, delay=f"{LAG_HOURS} hours")
+        write_rows(found, os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
+    return spark.read.schema(plateau.SWITCHES).parquet(os.path.join(out, "rows"))
+
+
+LATE_DELAY_HOURS = 6
+
+
+@query(
+    f"""WITH arrived AS (
+      SELECT run, epoch_ms(ts) AS ms, epoch_us(ts) AS exact,
+             (epoch_us(ts) // 1000000 + {hash_sql("run || '|' || step")} % {LAG_HOURS} * 3600) // {SLICE_DAYS * 86400} AS slice FROM {LOG_SQL} l),
+    passed AS (SELECT slice, max(max(ms)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {LATE_DELAY_HOURS * 3600000} AS watermark
+      FROM arrived GROUP BY slice)
+    SELECT run, count(*) AS late FROM arrived JOIN passed USING (slice) WHERE exact <= watermark * 1000 GROUP BY run"""
+)
+def stream_late_rows(spark, sf_dir):
+    """Rows that come in a later slice than the one that moved the watermark past them."""
+    log = metric_log(spark, sf_dir).select("run", "step", "ts")
+    out = scratch_path(spark, "late")
+    for path in _arriving(log, "late-log"):
+        late = late_rows(read_metric_stream(spark, path, log.schema), "run", f"{LATE_DELAY_HOURS} hours")
+        write_rows(late, os.path.join(out, "rows"), os.path.join(out, "checkpoint")).awaitTermination()
+    counts = spark.read.schema("run bigint, late bigint").parquet(os.path.join(out, "rows"))
+    return counts.groupBy("run").agg(F.max("late").alias("late"))
 
 
 @query(THROUGHPUT_SQL)

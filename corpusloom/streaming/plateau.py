@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from corpusloom.streaming.reorder import in_event_order
 
 SWITCHES = "run bigint, step bigint, switch_no bigint"
-STATE = "best double, wait bigint, switches bigint"
+VALUES = (("step", "bigint"), ("loss", "double"))
+STATE = (("best", "double"), ("wait", "bigint"), ("switches", "bigint"))
 
 
 def _detector(patience: int, min_delta: float, datasets: int, mode: str):
     sign = 1.0 if mode == "min" else -1.0
 
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best, wait, switches = state.get if state.exists else (float("inf"), 0, 0)
+    def advance(key: tuple, carried: tuple, losses: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        best, wait, switches = carried
         due = []
-        losses = pd.concat(list(frames)).sort_values("step")
         for step, loss in zip(losses["step"], losses["loss"] * sign):
             if loss + min_delta < best:
                 best, wait = loss, 0
@@ -30,26 +29,24 @@ def _detector(patience: int, min_delta: float, datasets: int, mode: str):
                 if switches < datasets - 1:
                     switches += 1
                     due.append((key[0], step, switches))
-        state.update((best, wait, switches))
-        yield pd.DataFrame(due, columns=["run", "step", "switch_no"]).astype("int64")
+        return (best, wait, switches), pd.DataFrame(due, columns=["run", "step", "switch_no"]).astype("int64")
 
-    return update
+    return advance
 
 
-def plateau_stream(losses: DataFrame, patience: int, min_delta: float, datasets: int, mode: str = "min") -> DataFrame:
-    """``run, step, switch_no`` as a stream. State per run is three numbers.
+def plateau_stream(losses: DataFrame, patience: int, min_delta: float, datasets: int, mode: str = "min", delay: str = "10 minutes") -> DataFrame:
+    """``run, step, switch_no`` as a stream, from ``run, ts, step, loss`` in any order within ``delay``.
 
-    ``losses`` has ``run, step, loss``; the losses of a run must arrive in step order across micro-batches, within one
-    they are sorted. A micro-batch is bounded by the source's rate limit.
+    The losses of a run are taken in order of time and step, once the watermark has passed them. State per run is three numbers and the
+    losses within the delay.
     """
-    return losses.select("run", "step", "loss").groupBy("run").applyInPandasWithState(
-        _detector(patience, min_delta, datasets, mode), SWITCHES, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    return in_event_order(losses, "run", VALUES, STATE, (float("inf"), 0, 0), _detector(patience, min_delta, datasets, mode), SWITCHES, delay)
 
 
-def write_switches(switches: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def write_rows(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Append what a stream releases to a folder, up to all that is there now."""
     return (
-        switches.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

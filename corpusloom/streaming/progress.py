@@ -2,58 +2,27 @@
 
 from __future__ import annotations
 
-import os
+import pandas as pd
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from corpusloom.streaming.reorder import in_event_order
 
-from corpusloom.operators.metrics import running_progress
-from corpusloom.operators.ordering import Order
+VALUES = (("step", "bigint"), ("rows", "bigint"), ("width", "bigint"), ("masked", "bigint"))
+TOTALS = (("samples", "bigint"), ("tokens", "bigint"), ("masked_tokens", "bigint"))
+PROGRESS = "run bigint, step bigint, samples bigint, tokens bigint, masked_tokens bigint"
 
-TOTALS = ("samples", "tokens", "masked_tokens")
-#: Micro-batches from one table of all totals to the next.
-GATHER = 16
 
+def stream_progress(steps: DataFrame, devices: int, delay: str = "10 minutes", expire: str | None = None) -> DataFrame:
+    """Every step with its run's totals so far, as a stream, from steps in any order within ``delay``.
 
-def stream_progress(steps: DataFrame, order: Order, devices: int, out: str, checkpoint: str) -> StreamingQuery:
-    """Write every step with its run's totals so far to ``out``; returns the started query.
-
-    Steps of a run must arrive in order across micro-batches; within one they are put in order. Each micro-batch is
-    the batch operator plus the totals carried in, which are one row per run: a run with most of the rows still
-    spreads over all tasks. A micro-batch writes the totals of its own runs only; every ``GATHER`` of them the totals of
-    all runs are gathered, so that few folders are read. Output and totals go to a folder named after the micro-batch, so
-    a repeated micro-batch overwrites its own files and nothing is counted twice.
+    Totals are keyed state: a restart goes on from its checkpoint, nothing is left behind per micro-batch, and with ``expire`` runs that
+    have ended are forgotten. Steps count in order of time once the watermark has passed them.
     """
-    spark = steps.sparkSession
-    rows_path, carry_path = os.path.join(out, "rows"), os.path.join(out, "totals")
-    carry_schema = "run bigint, " + ", ".join(f"{t} bigint" for t in TOTALS)
-
-    # totals never shrink, so the newest are the largest
-    newest = [F.max(t).alias(t) for t in TOTALS]
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        since = max(0, (batch_id - 1) // GATHER * GATHER)
-        written = [f"{carry_path}/batch={k}" for k in range(since, batch_id)]
-        parts = spark.read.schema(carry_schema).parquet(*written) if written else spark.createDataFrame([], carry_schema)
-        carried = parts.groupBy("run").agg(*newest)
-        before = carried.withColumnsRenamed({t: f"_{t}" for t in TOTALS})
-        now = running_progress(batch, order, devices).join(before, "run", "left")
-        totals = {t: F.col(t) + F.coalesce(f"_{t}", F.lit(0)) for t in TOTALS}
-        now = now.withColumns(totals).drop(*[f"_{t}" for t in TOTALS])
-        target = f"{rows_path}/batch={batch_id}"
-        now.write.mode("overwrite").parquet(target)
-        latest = spark.read.schema(now.schema).parquet(target).select("run", *TOTALS)
-        if batch_id % GATHER == 0:
-            latest = latest.unionByName(carried)
-        latest.groupBy("run").agg(*newest).write.mode("overwrite").parquet(f"{carry_path}/batch={batch_id}")
-
-    return (
-        steps.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def read_progress(spark, out: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(out, "rows"))
+
+    def advance(key: tuple, totals: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+        added = {"samples": rows["rows"] * devices, "tokens": rows["rows"] * rows["width"] * devices, "masked_tokens": rows["masked"]}
+        upto = {name: before + added[name].cumsum() for (name, _), before in zip(TOTALS, totals)}
+        found = pd.DataFrame({"run": key[0], "step": rows["step"], **upto})
+        return tuple(int(found[name].iloc[-1]) for name, _ in TOTALS), found
+
+    return in_event_order(steps, "run", VALUES, TOTALS, (0, 0, 0), advance, PROGRESS, delay, expire=expire)

@@ -17,9 +17,10 @@ from corpusloom.operators.metrics import (
 )
 from corpusloom.operators.ordering import Order
 from corpusloom.operators.plateau import plateau_switches
-from corpusloom.streaming import progress
-from corpusloom.streaming.plateau import plateau_stream, write_switches
-from corpusloom.streaming.progress import read_progress, stream_progress
+from corpusloom.streaming import plateau, progress
+from corpusloom.streaming.plateau import plateau_stream, write_rows
+from corpusloom.streaming.progress import stream_progress
+from corpusloom.streaming.reorder import heartbeat, late_rows
 
 
 def losses(spark, runs):
@@ -75,17 +76,27 @@ def test_plateau_of_one_long_falling_run(spark, delta):
     assert tuple(got) == (len(want), sum(want) or None, len(want) or None)
 
 
+def arriving(df, source, values=None, parts=3):
+    """Write rows, a minute a step, in random slices to a folder, then a heartbeat; yields after each."""
+    rows = df.withColumns({"ts": F.timestamp_seconds(F.col("step") * 60), "_slice": F.pmod(F.xxhash64("run", "step"), F.lit(parts))}).cache()
+    for k in range(parts):
+        rows.where(F.col("_slice") == k).drop("_slice").coalesce(1).write.mode("append").parquet(source)
+        yield
+    if values:
+        heartbeat(rows.drop("_slice"), F.timestamp_seconds(F.lit(10**6)), "run", values).write.mode("append").parquet(source)
+        yield
+
+
 def test_plateau_stream_equals_the_table(spark, tmp_path):
+    """Losses come in any order; each slice is a query of its own that picks up from the checkpoint."""
     rng = random.Random(2)
     runs = {r: [round(rng.gauss(20 - s / 9, 3), 2) for s in range(90)] for r in range(4)}
-    df = losses(spark, runs).cache()
-    for low in range(1, 91, 30):
-        df.where(F.col("step").between(low, low + 29)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    found = plateau_stream(stream, 2, 1.0, 5)
-    write_switches(found, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    source, schema = str(tmp_path / "in"), "run bigint, step bigint, loss double, ts timestamp"
+    for _ in arriving(losses(spark, runs), source, plateau.VALUES):
+        found = plateau_stream(spark.readStream.schema(schema).parquet(source), 2, 1.0, 5, delay="2 hours")
+        write_rows(found, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     want = {r: w for r, v in runs.items() if (w := by_hand(v, 2, 1.0, 5))}
-    assert switches(spark.read.parquet(str(tmp_path / "out"))) == want
+    assert switches(spark.read.schema(plateau.SWITCHES).parquet(str(tmp_path / "out"))) == want
 
 
 def test_progress(spark):
@@ -95,20 +106,34 @@ def test_progress(spark):
     assert [(r.samples, r.tokens, r.masked_tokens) for r in got] == [(8, 64, 5), (8, 64, 5), (12, 128, 8), (2, 2, 1)]
 
 
-def test_progress_stream_resumes_its_totals(spark, tmp_path, monkeypatch):
-    """Run 2 rests in the second half, run 3 only comes in later; totals are gathered every second micro-batch."""
-    monkeypatch.setattr(progress, "GATHER", 2)
+def test_progress_stream_resumes_its_totals(spark, tmp_path):
+    """Run 2 rests for a while, run 3 only comes in later; nothing but rows and the checkpoint is left behind."""
     rows = [(r, s, 1 + s % 3, 4, s % 5) for r in range(4) for s in range(1, 41) if not (r == 2 and 10 < s < 31) and not (r == 3 and s < 25)]
-    df = spark.createDataFrame(rows, "run bigint, step bigint, rows bigint, width bigint, masked bigint").cache()
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    for low in range(1, 41, 10):
-        df.where(F.col("step").between(low, low + 9)).coalesce(1).write.mode("append").parquet(source)
-        # a new query each time: it picks up from the checkpoint
-        stream = spark.readStream.schema(df.schema).parquet(source)
-        stream_progress(stream, Order.of_id("step"), 2, out, str(tmp_path / "check")).awaitTermination()
+    df = spark.createDataFrame(rows, "run bigint, step bigint, rows bigint, width bigint, masked bigint")
+    source, out, schema = str(tmp_path / "in"), str(tmp_path / "out"), "run bigint, step bigint, rows bigint, width bigint, masked bigint, ts timestamp"
+    for _ in arriving(df, source, progress.VALUES):
+        write_rows(stream_progress(spark.readStream.schema(schema).parquet(source), 2, "1 hour"), out, str(tmp_path / "check")).awaitTermination()
     columns = ["run", "step", "samples", "tokens", "masked_tokens"]
     want = running_progress(df, Order.of_id("step"), 2).select(columns)
-    assert sorted(read_progress(spark, out).select(columns).collect()) == sorted(want.collect())
+    assert sorted(spark.read.schema(progress.PROGRESS).parquet(out).select(columns).collect()) == sorted(want.collect())
+
+
+def test_silent_runs_are_forgotten_and_late_rows_counted(spark, tmp_path):
+    """With 10 minutes of delay: the first slice reaches minute 100, the second has rows of minutes 80, 90 and 91."""
+    source, schema = str(tmp_path / "in"), "run bigint, step bigint, rows bigint, width bigint, masked bigint, ts timestamp"
+    slices = [[(1, 1), (1, 2), (2, 100)], [(1, 80), (1, 90), (1, 91), (2, 101)], [(2, 5), (1, 200), (1, 201)], [(1, 400)]]
+    for steps in slices:
+        df = spark.createDataFrame([(r, s, 1, 1, 1) for r, s in steps], "run bigint, step bigint, rows bigint, width bigint, masked bigint")
+        df.withColumn("ts", F.timestamp_seconds(F.col("step") * 60)).coalesce(1).write.mode("append").parquet(source)
+        totals = stream_progress(spark.readStream.schema(schema).parquet(source), 1, "10 minutes", expire="30 minutes")
+        write_rows(totals, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+        late = late_rows(spark.readStream.schema(schema).parquet(source), "run", "10 minutes")
+        write_rows(late, str(tmp_path / "late"), str(tmp_path / "late-check")).awaitTermination()
+    counts = spark.read.schema("run bigint, late bigint").parquet(str(tmp_path / "late")).groupBy("run").agg(F.max("late")).collect()
+    assert sorted(map(tuple, counts)) == [(1, 2), (2, 1)]
+    got = sorted((r.run, r.step, r.samples) for r in spark.read.schema(progress.PROGRESS).parquet(str(tmp_path / "out")).collect())
+    # run 1 was silent from minute 2 past minute 90, and from 91 past 190: its totals start anew
+    assert got == [(1, 1, 1), (1, 2, 2), (1, 91, 1), (1, 200, 1), (1, 201, 2), (2, 100, 1), (2, 101, 2)]
 
 
 def test_best_checkpoint_takes_the_earliest(spark):
