@@ -2,8 +2,9 @@
 
 A labelled table trains a classifier of domains; it gives every document a posterior over domains. Nonnegative rates
 (expected copies) are then fitted so that the expected tokens of every domain meet their targets, by projected
-gradient steps of least squares: a step is one aggregation over the documents, and only one number per domain
-returns. As a rate is a fold over those few numbers, no table of rates is ever written.
+gradient steps of least squares: a step is one aggregation over the documents, and only a few numbers per domain
+return. The steps add up before they are projected, so a rate depends on one number per domain, and no table of rates
+is ever written.
 """
 
 from __future__ import annotations
@@ -18,8 +19,12 @@ from corpusloom.llm.common import BLANKS, narrow, table
 from corpusloom.session import materialize
 
 #: Hash buckets of words, evidence (as a likelihood ratio statistic) up to which a word counts as chance, labelled rows at
-#: most per domain, gradient steps.
-BUCKETS, CHANCE, MAX_LABELLED, STEPS = 1 << 17, 9.0, 10_000, 12
+#: most per domain.
+BUCKETS, CHANCE, MAX_LABELLED = 1 << 17, 9.0, 10_000
+
+#: Share of the targets by which the sums may miss them; weight of the rates' distance from 1, and where targets are out
+#: of reach the weights tried one after the other; shares of a step that are tried where the whole step is too long.
+MET, RIDGE, RIDGES, SHORTER = 1e-6, 1e-9, (1e-1, 1e-2, 1e-3, 1e-4, 1e-5, 1e-6, 1e-7, 1e-8), 2.0 ** -np.arange(1, 16)
 
 #: Domains of the labelled table and the shares of the tokens they are to have.
 DOMAINS = ("good", "low", "toxic")
@@ -221,41 +226,106 @@ def memberships(docs: DataFrame, model, domains: Sequence[str], id_col: str, tex
     return scored.withColumn("_p", F.when(F.col("_tokens") == 0, prior).otherwise(F.transform("_scores", lambda s: s / total))).drop("_scores")
 
 
-def rate(p: Column, pulls: Sequence[np.ndarray]) -> Column:
-    """The rate after the steps taken so far, from 1: each moves by -p . pull and is projected to zero or more."""
+def rate(p: Column, pull: np.ndarray) -> Column:
+    """1 - p . pull, projected to zero or more."""
     out = F.lit(1.0)
-    for pull in pulls:
-        dot = F.lit(0.0)
-        for k, v in enumerate(pull):
-            dot = dot + F.get(p, F.lit(k)) * F.lit(float(v))
-        out = F.greatest(out - dot, F.lit(0.0))
-    return out
+    for k, v in enumerate(pull):
+        out = out - F.get(p, F.lit(k)) * F.lit(float(v))
+    return F.greatest(out, F.lit(0.0))
+
+
+@dataclass(frozen=True)
+class Fit:
+    """One number per domain for ``rate``; the sums less the targets, as shares of all targets; steps taken."""
+
+    pull: np.ndarray
+    residual: np.ndarray
+    steps: int
+
 
+class _Sums:
+    """Aggregates over the documents that the steps need, one pass each."""
 
-def fit(members: DataFrame, targets: np.ndarray, steps: int = STEPS) -> list[np.ndarray]:
-    """Pulls of projected gradient descent on |A r - T|^2 over nonnegative r.
+    def __init__(self, members: DataFrame, targets: np.ndarray):
+        self.members, self.targets, self.n = members, targets, len(targets)
+        self.at = [F.get("_p", F.lit(k)) for k in range(self.n)]
 
-    A sums tokens by posterior. Lengths are measured by the domains' overlap M = A P and by tokens, which makes the
-    unconstrained problem one step long; later steps settle what the projection moved. Each step's residual is one
-    aggregation; they end once the residual is small or no longer falls.
+    def at_pull(self, pull: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Sums of tokens by domain less the targets, overlap of the domains among rows with a rate, half the square of the rates."""
+        r, t, n = rate(F.col("_p"), pull), F.col("_tokens"), self.n
+        sums = [F.sum(t * self.at[k] * F.col("_r")) for k in range(n)]
+        overlap = [F.sum(F.when(F.col("_r") > 0, t * self.at[i] * self.at[j])) for i in range(n) for j in range(n)]
+        found = self.members.select("_p", "_tokens", r.alias("_r")).agg(*sums, *overlap, F.sum(t * F.col("_r") * F.col("_r")) / 2).first()
+        v = np.array([float(x or 0.0) for x in found])
+        return v[:n] - self.targets, v[n:-1].reshape(n, n), v[-1]
+
+    def half_squares(self, pulls: Sequence[np.ndarray]) -> np.ndarray:
+        """Half the square of the rates for each of a few pulls."""
+        squares = [F.sum(F.col("_tokens") * rate(F.col("_p"), x) * rate(F.col("_p"), x)) / 2 for x in pulls]
+        return np.array([float(x or 0.0) for x in self.members.agg(*squares).first()])
+
+
+def _descend(sums: _Sums, ridge: np.ndarray, pull: np.ndarray) -> Fit:
+    """Steps from ``pull`` until the ridged problem is solved as far as doubles can tell.
+
+    The potential (half the squared rates, the targets' part and the ridge) is convex and its slope is the residual, so
+    every step that lowers it nears the one optimum; a step too long is shortened.
+    """
+    total, steps = sums.targets.sum(), 0
+
+    def potential(x: np.ndarray, square: float) -> float:
+        return square + float(x @ sums.targets + x @ ridge @ x / 2)
+
+    miss, overlap, square = sums.at_pull(pull)
+    while np.abs(slope := miss - ridge @ pull).sum() > MET / 100 * total:
+        step = np.linalg.solve(overlap + ridge, slope)
+        new, now = pull + step, potential(pull, square)
+        then = sums.at_pull(new)
+        if potential(new, then[2]) >= now and np.abs(then[0] - ridge @ new).sum() > np.abs(slope).sum() / 2:
+            shorter = [pull + share * step for share in SHORTER]
+            lows = [potential(x, q) for x, q in zip(shorter, sums.half_squares(shorter))]
+            if min(lows) >= now:
+                break
+            new = shorter[int(np.argmin(lows))]
+            then = sums.at_pull(new)
+        pull, (miss, overlap, square), steps = new, then, steps + 1
+    return Fit(pull, miss / total, steps)
+
+
+def fit(members: DataFrame, targets: np.ndarray) -> Fit:
+    """Rates of projected gradient steps on |A r - T|^2 over nonnegative r: of all that meet the targets, those nearest to 1.
+
+    A sums tokens by posterior. Steps are lazily projected (a row's rate is 1 less its share of all steps so far, or zero
+    if that is negative) and measured by the overlap A P of the domains among the rows that have a rate, which makes
+    them Newton steps once it is settled which rows have one. They end where the residual is within MET. Targets that
+    no nonnegative rates meet give the least squares optimum, in the metric of the overlap of all rows: the weight of the
+    rates' distance from 1 falls step by step until the residual falls no more. The residual is returned either way.
     """
     n = len(targets)
-    p = F.col("_p")
-    at = [F.get(p, F.lit(k)) for k in range(n)]
-    overlap = members.agg(*[F.sum(F.col("_tokens") * at[i] * at[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(n)]).first()
-    m = np.array([float(x or 0.0) for x in overlap]).reshape(n, n)
-    if not m.any():
-        return []
-    inverse = np.linalg.pinv(m, rcond=1e-9)
-    pulls: list[np.ndarray] = []
-    for _ in range(steps):
-        r = rate(p, pulls)
-        sums = members.agg(*[F.sum(F.col("_tokens") * at[k] * r).alias(f"s{k}") for k in range(n)]).first()
-        residual = np.array([float(x or 0.0) for x in sums]) - targets
-        if np.abs(residual).sum() <= 1e-6 * targets.sum():
+    sums = _Sums(members, targets)
+    overlap = sums.at_pull(np.zeros(n))[1]  # at a rate of 1 every row counts
+    if not overlap.any() or targets.sum() <= 0:
+        return Fit(np.zeros(n), np.zeros(n), 0)
+    whole = overlap + 1e-6 * np.trace(overlap) / n * np.eye(n)
+    metric = np.linalg.pinv(overlap, rcond=1e-9)
+
+    def distance(found: Fit) -> float:
+        return float(found.residual @ metric @ found.residual)
+
+    best = _descend(sums, RIDGE * whole, np.zeros(n))
+    if np.abs(best.residual).sum() <= MET:
+        return best
+    best, steps = None, best.steps
+    scale, pull = float(targets @ metric @ targets) / targets.sum() ** 2, np.zeros(n)
+    for weight in RIDGES:
+        found = _descend(sums, weight * whole, pull)
+        steps += found.steps
+        if best is not None and distance(found) >= distance(best) * (1 - 1e-4):
+            break
+        best, pull = Fit(found.pull, found.residual, steps), found.pull
+        if distance(best) <= MET**2 * scale:
             break
-        pulls.append(inverse @ residual)
-    return pulls
+    return best
 
 
 def copies_of(rate_: Column, key: Column) -> Column:
@@ -289,8 +359,7 @@ def plan(
     if budget is None:
         first = members.agg(F.sum(F.col("_tokens") * F.get("_p", F.lit(0)))).first()[0] or 0.0
         budget = first / weights[0]
-    pulls = fit(members, weights * budget)
-    r = rate(F.col("_p"), pulls)
+    r = rate(F.col("_p"), fit(members, weights * budget).pull)
     return members, r, copies_of(r, F.coalesce("_id", F.lit(0)))
 
 
