@@ -24,7 +24,7 @@ BUCKETS, CHANCE, MAX_LABELLED = 1 << 17, 9.0, 10_000
 
 #: Share of the targets by which the sums may miss them; weight of the rates' distance from 1, and where targets are out
 #: of reach the weights tried one after the other; shares of a step that are tried where the whole step is too long.
-MET, RIDGE, RIDGES, SHORTER = 1e-6, 1e-9, (1e-1, 1e-2, 1e-3, 1e-4, 1e-5, 1e-6, 1e-7, 1e-8), 2.0 ** -np.arange(1, 16)
+MET, RIDGE, RIDGES, SHORTER = 1e-6, 1e-9, (1e-1, 1e-2, 1e-3, 1e-4, 1e-5, 1e-6, 1e-7, 1e-8), 4.0 ** -np.arange(1, 7)
 
 #: Domains of the labelled table and the shares of the tokens they are to have.
 DOMAINS = ("good", "low", "toxic")
@@ -261,8 +261,9 @@ class _Sums:
 
     def half_squares(self, pulls: Sequence[np.ndarray]) -> np.ndarray:
         """Half the square of the rates for each of a few pulls."""
-        squares = [F.sum(F.col("_tokens") * rate(F.col("_p"), x) * rate(F.col("_p"), x)) / 2 for x in pulls]
-        return np.array([float(x or 0.0) for x in self.members.agg(*squares).first()])
+        rates = self.members.select("_tokens", *[rate(F.col("_p"), x).alias(f"r{i}") for i, x in enumerate(pulls)])
+        squares = [F.sum(F.col("_tokens") * F.col(f"r{i}") * F.col(f"r{i}")) / 2 for i in range(len(pulls))]
+        return np.array([float(x or 0.0) for x in rates.agg(*squares).first()])
 
 
 def _descend(sums: _Sums, ridge: np.ndarray, pull: np.ndarray) -> Fit:
@@ -271,20 +272,21 @@ def _descend(sums: _Sums, ridge: np.ndarray, pull: np.ndarray) -> Fit:
     The potential (half the squared rates, the targets' part and the ridge) is convex and its slope is the residual, so
     every step that lowers it nears the one optimum; a step too long is shortened.
     """
-    total, steps = sums.targets.sum(), 0
+    total, steps, told = sums.targets.sum(), 0, 1e-12  # the sums of a pass differ by less than that share with their order
 
     def potential(x: np.ndarray, square: float) -> float:
         return square + float(x @ sums.targets + x @ ridge @ x / 2)
 
     miss, overlap, square = sums.at_pull(pull)
-    while np.abs(slope := miss - ridge @ pull).sum() > MET / 100 * total:
+    while np.abs(slope := miss - ridge @ pull).sum() > MET / 10 * total:
         step = np.linalg.solve(overlap + ridge, slope)
         new, now = pull + step, potential(pull, square)
         then = sums.at_pull(new)
-        if potential(new, then[2]) >= now and np.abs(then[0] - ridge @ new).sum() > np.abs(slope).sum() / 2:
+        least = now - told * abs(now)
+        if potential(new, then[2]) >= least and np.abs(then[0] - ridge @ new).sum() > np.abs(slope).sum() / 2:
             shorter = [pull + share * step for share in SHORTER]
             lows = [potential(x, q) for x, q in zip(shorter, sums.half_squares(shorter))]
-            if min(lows) >= now:
+            if min(lows) >= least:
                 break
             new = shorter[int(np.argmin(lows))]
             then = sums.at_pull(new)

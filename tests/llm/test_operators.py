@@ -468,7 +468,7 @@ def test_mixing_rates_against_plain_projected_gradient(spark, reachable):
     t[:5] = 0
     targets = np.array([0.9, 0.05, 0.05]) * t.sum()
     rows = [(int(n), [float(x) for x in v]) for n, v in zip(t, p)]
-    members = spark.createDataFrame(rows, "_tokens bigint, _p array<double>")
+    members = spark.createDataFrame(rows, "_tokens bigint, _p array<double>").coalesce(2).cache()
     found = mixing.fit(members, targets)
     rates = np.array([r.rate for r in members.select(mixing.rate(F.col("_p"), found.pull).alias("rate")).collect()])
     assert (rates >= 0).all()
@@ -487,7 +487,7 @@ def test_mixing_rates_without_tokens_or_with_a_domain_of_none(spark):
     nothing = spark.createDataFrame([(0, [0.5, 0.5])], kind)
     assert mixing.fit(nothing, np.array([1.0, 1.0])).pull.tolist() == [0.0, 0.0]
     assert mixing.fit(nothing.limit(0), np.array([1.0, 1.0])).pull.tolist() == [0.0, 0.0]
-    same = mixing.fit(spark.createDataFrame([(10, [0.8, 0.2, 0.0])] * 4, kind), np.array([5.0, 5.0, 1.0]))
+    same = mixing.fit(spark.createDataFrame([(10, [0.8, 0.2, 0.0])] * 4, kind).coalesce(1).cache(), np.array([5.0, 5.0, 1.0]))
     rates = np.maximum(1 - np.array([0.8, 0.2, 0.0]) @ same.pull, 0)
     # along (0.8, 0.2) the nearest point to the targets
     assert 40 * rates == pytest.approx((5 * 0.8 + 5 * 0.2) / (0.8**2 + 0.2**2), rel=1e-3)
