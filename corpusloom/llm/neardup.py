@@ -324,8 +324,19 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group, that of the smallest id, with all its columns; rows without words all stay.
 
-    Of several rows with that id one stays.
+    Rows are compared one by one, on numbers of their own: of equal rows one stays, also of one id, and another text under
+    an id that a copy carries stays too. Rows without an id come after all others. An empty table gives no rows.
     """
-    gone = near_duplicates(docs, settings, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_id"))
-    gone = gone.distinct().hint("merge")
-    return docs.join(gone, docs[f"`{id_col}`"] == gone["_id"], "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = materialize(docs.select(row, F.monotonically_increasing_id().alias("_n")), "near-rows")
+    groups = near_duplicates(rows.select("_n", F.col(f"_row.`{text_col}`").alias("_text")), settings, "_n", "_text")
+    groups = materialize(groups.select(F.col("doc_id").alias("_n"), "component_id"), "near-groups")
+    # groups of one row are their own component, so only those that another row points to have anything to give up
+    shared = groups.where("_n <> component_id")
+    members = shared.union(shared.select(F.col("component_id").alias("_n"), "component_id").distinct())
+    id_ = F.col(f"_row.`{id_col}`")
+    ids = rows.select("_n", id_.alias("_id")).join(members.hint("merge"), "_n")
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_n"))["_n"]  # combines before the shuffle: a large group is a few rows
+    stays = ids.groupBy("component_id").agg(first.alias("_n")).select("_n")
+    gone = members.select("_n").join(stays.hint("merge"), "_n", "left_anti")
+    return rows.join(gone.hint("merge"), "_n", "left_anti").select("_row.*")

@@ -358,10 +358,20 @@ def test_bit_tables_never_hide_similar_sets(spark):
     assert any(r.similar for r in got) and any(not r.room for r in got) and all(r.room for r in got if r.similar)
 
 
+def test_dropping_near_duplicates_decides_by_row(spark):
+    text, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(7, text), (7, other), (3, text + " more"), (None, text), (None, "one of its kind in all of this table"), (9, None), (9, None), (2, "u " * 30), (2, "u " * 30)]
+    got = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    left = [(7, other), (3, text + " more"), (None, "one of its kind in all of this table"), (9, None), (9, None), (2, "u " * 30)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, left))
+
+
 def test_near_duplicates_of_odd_rows(odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == len(ODD)
-    assert neardup.drop_near_duplicates(odd.where("doc_id is not null")).count() == len(ODD) - 1
+    kept = neardup.drop_near_duplicates(odd)
+    assert kept.columns == odd.columns and kept.count() == len(ODD) - 1  # of the equal rows of id 1 one stays
+    assert neardup.drop_near_duplicates(odd.limit(0)).count() == 0
     assert neardup.near_duplicates(odd.limit(0)).count() == 0
 
 
