@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from corpusloom.catalog.inputs import TOKENS_CTE, encoded, packed, packed_cte, tokenizer
 from corpusloom.catalog.registry import query
 from corpusloom.functions.arrays import joined
 from corpusloom.operators.batching import (
-    gather,
+    gathered,
     masked_positions,
     pad_batches,
-    repad,
-    scatter,
+    real_places,
+    scattered,
     sequence_offsets,
-    unpad,
     with_batches,
 )
 from corpusloom.operators.hooks import collate, collect_batches, map_batches
@@ -69,9 +68,11 @@ def unpad_offsets(spark, sf_dir):
       array_to_string(list_concat(input_ids, list_transform(range(0, width - len), lambda x: 0)), ',') AS values FROM sized"""
 )
 def repad_batches(spark, sf_dir):
-    rows = _padded(spark, sf_dir)
-    out = repad(unpad(rows), rows.select("batch", "pos", "width"))
-    return out.select("batch", "pos", joined(F.col("values")).alias("values"))
+    """The real ids of every row, and from these the padded row again."""
+    rows = _padded(spark, sf_dir).withColumn("places", real_places(F.col("attention_mask")))
+    real = rows.withColumn("values", gathered(F.col("input_ids"), F.col("places")))
+    out = scattered(F.col("values"), F.col("places"), F.col("width"))
+    return real.select("batch", "pos", joined(out).alias("values"))
 
 
 @query(
@@ -84,14 +85,14 @@ def repad_batches(spark, sf_dir):
     FROM edge_places e LEFT JOIN cells c USING (batch, flat)"""
 )
 def gather_positions(spark, sf_dir):
-    """First token and the place just after the last of every row: picked where they exist, zero elsewhere."""
+    """First token and the place just after the last of every row, where a full row is followed by the next one's first."""
     rows = _padded(spark, sf_dir)
-    values = unpad(rows)
+    after = F.lead(F.get("input_ids", F.lit(0))).over(Window.partitionBy("batch").orderBy("pos"))
     size = F.size(F.filter("attention_mask", lambda m: m == 1))
-    row = F.col("pos") * F.col("width")
-    places = rows.select("batch", F.explode(F.array(row, row + size)).alias("flat"))
-    picked = gather(values, places.distinct(), on=["batch", "flat"])
-    return scatter(picked, places, on=["batch", "flat"]).withColumn("value", F.col("value").cast("bigint"))
+    found = gathered(F.col("cells"), F.array(F.lit(0), F.col("len")))
+    rows = rows.withColumns({"len": size, "cells": F.concat("input_ids", F.array(F.coalesce(after, F.lit(0))))})
+    edges = rows.select("batch", "pos", "width", F.posexplode(F.arrays_zip(F.array(F.lit(0), F.col("len")).alias("at"), found.alias("value"))).alias("_", "edge"))
+    return edges.select("batch", (F.col("pos") * F.col("width") + F.col("edge.at")).alias("flat"), F.col("edge.value").cast("bigint").alias("value"))
 
 
 MASK_P, VOCAB = 0.3, "(SELECT count(*) FROM vocab)"

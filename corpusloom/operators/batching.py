@@ -1,4 +1,4 @@
-"""Batches: padding, unpadding, and moving values by index."""
+"""Batches: padding, and within each row real positions, their values and back."""
 
 from __future__ import annotations
 
@@ -43,47 +43,24 @@ def sequence_offsets(batched: DataFrame, mask: str = "attention_mask") -> DataFr
     )
 
 
-def unpad(padded_rows: DataFrame, ids: str = "input_ids", mask: str = "attention_mask") -> DataFrame:
-    """``batch, flat, value``: the real positions of a batch, addressed by ``pos * width + offset``."""
-    cells = F.arrays_zip(F.col(ids).alias("value"), F.col(mask).alias("mask"))
-    return (
-        padded_rows.select("batch", "pos", "width", F.posexplode(cells).alias("t", "cell"))
-        .where("cell.mask = 1")
-        .select("batch", (F.col("pos") * F.col("width") + F.col("t")).alias("flat"), F.col("cell.value").alias("value"))
-    )
-
+def real_places(mask: Column) -> Column:
+    """Offsets of a row whose mask is 1."""
+    return F.filter(F.transform(mask, lambda m, i: F.when(m == 1, i)), lambda i: i.isNotNull())
 
-def repad(values: DataFrame, shapes: DataFrame, fill: int = 0) -> DataFrame:
-    """Scatter ``batch, flat, value`` back into ``batch, pos, values``: arrays of the batch width.
 
-    ``shapes`` has one row per output row: ``batch, pos, width``. Positions without a value get ``fill``; rows without
-    any value come back filled.
-    """
-    placed = (
-        values.join(shapes.select("batch", "width").distinct(), "batch")
-        .select("batch", F.expr("flat div width").alias("pos"), (F.col("flat") % F.col("width")).alias("t"), "value")
-        .groupBy("batch", "pos")
-        .agg(F.array_sort(F.collect_list(F.struct("t", "value"))).alias("found"))
-    )
-
-    def with_gap(x: Column, i: Column) -> Column:
-        before = F.coalesce(F.get("found", i - 1)["t"], F.lit(-1))
-        return F.concat(F.array_repeat(F.lit(fill), (x["t"] - before - 1).cast("int")), F.array(x["value"]))
-
-    body = F.coalesce(F.flatten(F.transform("found", with_gap)), F.expr("cast(array() as array<int>)"))
-    return shapes.join(placed, ["batch", "pos"], "left").select(
-        "batch", "pos", let(body, lambda values: padded(values, F.col("width"), fill)).alias("values")
-    )
+def gathered(values: Column, places: Column) -> Column:
+    """The row's values at its places, 0 where there is none; a place may repeat."""
+    return F.transform(places, lambda i: F.coalesce(F.get(values, i), F.lit(0)))
 
 
-def gather(values: DataFrame, indices: DataFrame, on: str = "flat") -> DataFrame:
-    """Rows of ``values`` picked by an index list; an index may repeat."""
-    return indices.join(values, on)
+def scattered(values: Column, places: Column, width: Column, fill: int = 0) -> Column:
+    """An array of ``width`` with the values at their (ascending) places and ``fill`` elsewhere."""
 
+    def with_gap(v: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(places, i - 1), F.lit(-1))
+        return F.concat(F.array_repeat(F.lit(fill), (F.get(places, i) - before - 1).cast("int")), F.array(v))
 
-def scatter(values: DataFrame, places: DataFrame, on: str = "flat", column: str = "value") -> DataFrame:
-    """One row per place: its value, or 0 where none was given."""
-    return places.join(values, on, "left").withColumn(column, F.coalesce(column, F.lit(0)))
+    return let(F.flatten(F.transform(values, with_gap)), lambda body: padded(body, width, fill))
 
 
 def masked_positions(labels: Column, keep_first: bool = False) -> Column:

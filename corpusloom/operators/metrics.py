@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.operators.ordering import Order, prefix_sums
@@ -48,14 +50,14 @@ def agreement(predictions: DataFrame, gold: DataFrame, key: str) -> DataFrame:
 
 
 def masked_mean(rows: DataFrame, vector: str, mask: Column, by: Sequence[str]) -> DataFrame:
-    """Mean of the vectors whose mask is 1, per group, as one array.
+    """Mean of the vectors whose mask is 1, per group that has any, as one array.
 
-    Sums combine per (group, component) before the shuffle, so a group of any size is cheap.
+    Vectors are summed as wholes: every task sends one sum and count per group, so a group of any size is cheap. Null
+    vectors are left out; those of one group have equal lengths and no null elements.
     """
-    parts = rows.withColumn("_mask", mask.cast("double")).select(*by, "_mask", F.posexplode(vector).alias("at", "x"))
-    means = parts.groupBy(*by, "at").agg((F.sum(F.col("x") * F.col("_mask")) / F.sum("_mask")).alias("mean"))
-    ordered = F.array_sort(F.collect_list(F.struct("at", "mean")))
-    return means.groupBy(*by).agg(F.transform(ordered, lambda c: c["mean"]).alias("mean"))
+    chosen = F.when(mask.cast("boolean") & F.col(vector).isNotNull(), F.col(vector))
+    chosen_rows = rows.select(*by, chosen.cast("array<double>").alias("_v")).where("_v is not null")
+    return chosen_rows.groupBy(*by).agg(vector_to_array(Summarizer.mean(array_to_vector("_v"))).alias("mean"))
 
 
 def mean_by_set(log: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:

@@ -165,3 +165,10 @@ def test_rates_and_measures(spark):
 def test_masked_mean(spark):
     rows = spark.createDataFrame([(0, [1.0, 2.0], 1), (0, [3.0, 4.0], 1), (0, [99.0, 99.0], 0)], "g int, v array<double>, m int")
     assert masked_mean(rows, "v", F.col("m"), ["g"]).first()["mean"] == [2.0, 3.0]
+
+
+def test_masked_mean_of_odd_groups_sums_whole_vectors(spark):
+    rows = [(0, [1.0, 2.0], 0), (None, [1.0, 5.0], 1), (None, [2.0, 7.0], 1), (1, None, 1), (1, [4.0, 4.0], 1), (2, [9.0, 9.0], None)]
+    means = masked_mean(spark.createDataFrame(rows, "g int, v array<double>, m int"), "v", F.col("m"), ["g"])
+    assert {r.g: r["mean"] for r in means.collect()} == {None: [1.5, 6.0], 1: [4.0, 4.0]}
+    assert "Generate" not in means._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import pytest
 
 from corpusloom.functions.arrays import running_sum
 from corpusloom.functions.scalars import elapsed_text, equal_shares, float_list, int_list, metrics_text, round_up
-from corpusloom.operators.batching import pad_batches, repad, sequence_offsets, unpad, with_batches
+from corpusloom.operators.batching import gathered, pad_batches, real_places, scattered, sequence_offsets, with_batches
 from corpusloom.operators.hooks import collate, map_batches
 from corpusloom.operators.masking import IGNORE, mask_tokens, masked_count, stage_parameters
 
@@ -33,19 +33,19 @@ def test_offsets_of_unpadded_rows(spark):
     assert [r.cu_len for r in got] == [0, 3, 4] and {r.max_len for r in got} == {4}
 
 
-def test_repad_restores_the_batch(spark):
+def test_real_values_give_the_padded_row_again(spark):
     rows = spark.createDataFrame([(i, list(range(1, n + 1))) for i, n in enumerate([3, 0, 4, 2, 6])], "idx bigint, input_ids array<int>")
-    padded = pad_batches(with_batches(rows, 2), 0, multiple=8)
-    back = repad(unpad(padded), padded.select("batch", "pos", "width"))
-    want = {(r.batch, r.pos): r.input_ids for r in padded.collect()}
-    assert {(r.batch, r["pos"]): r["values"] for r in back.collect()} == want
+    padded = pad_batches(with_batches(rows, 2), 0, multiple=8).withColumn("places", real_places(F.col("attention_mask")))
+    real = padded.withColumn("real", gathered(F.col("input_ids"), F.col("places")))
+    got = real.withColumn("back", scattered(F.col("real"), F.col("places"), F.col("width"))).orderBy("idx").collect()
+    assert [len(r.real) for r in got] == [3, 0, 4, 2, 6] and all(r.back == r.input_ids for r in got)
 
 
-def test_repad_fills_gaps(spark):
-    values = spark.createDataFrame([(0, 1, 5), (0, 3, 6), (0, 4, 7)], "batch bigint, flat bigint, value int")
-    shapes = spark.createDataFrame([(0, 0, 3), (0, 1, 3), (0, 2, 3)], "batch bigint, pos bigint, width bigint")
-    got = {r["pos"]: r["values"] for r in repad(values, shapes).collect()}
-    assert got == {0: [0, 5, 0], 1: [6, 7, 0], 2: [0, 0, 0]}
+def test_scattered_values_leave_gaps(spark):
+    rows = spark.createDataFrame([([5], [1], 3), ([6, 7], [0, 1], 3), ([], [], 3), ([8, 9], [0, 2], 4)], "v array<int>, p array<int>, w int")
+    got = rows.select(scattered(F.col("v"), F.col("p"), F.col("w")).alias("x"), gathered(F.col("v"), F.array(F.lit(1), F.lit(0))).alias("y")).collect()
+    assert [r.x for r in got] == [[0, 5, 0], [6, 7, 0], [0, 0, 0], [8, 0, 9, 0]]
+    assert [r.y for r in got] == [[0, 5], [7, 6], [0, 0], [9, 8]]
 
 
 def masked(spark, p, epoch=0, parts=3):
