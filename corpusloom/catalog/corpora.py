@@ -34,6 +34,25 @@ def jsonl_roundtrip(spark, sf_dir):
     return spark.read.schema(f"{readers.CORPUS}, role string, part int").json(path).select("role", "doc_id", "text")
 
 
+@query(
+    """SELECT 'doc_id' AS field, count(*) AS n_rows, 'VARIANT' AS type FROM documents WHERE lang IS NOT NULL
+    UNION ALL SELECT 'text', count(text), 'STRING' FROM documents WHERE lang <> 'de' HAVING count(text) > 0
+    UNION ALL SELECT 'body', count(text), 'STRING' FROM documents WHERE lang = 'de' HAVING count(text) > 0
+    UNION ALL SELECT 'about', count(*), 'OBJECT<chars: BIGINT, lang: STRING>' FROM documents WHERE lang = 'de' HAVING count(*) > 0"""
+)
+def field_types(spark, sf_dir):
+    """German documents come with another key, text field and an object more."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang").where("lang is not null")
+    german = F.col("lang") == "de"
+    about = F.struct(F.length("text").cast("bigint").alias("chars"), "lang").alias("about")
+    other = docs.where(german).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("body"), about)
+    plain = docs.where(~german).select("doc_id", "text")
+    lines = [F.to_json(F.struct(*[F.col(c) for c in d.columns])) for d in (plain, other)]
+    path = scratch_path(spark, "mixed")
+    plain.select(lines[0].alias("value")).union(other.select(lines[1].alias("value"))).write.text(path)
+    return readers.field_types(spark.read.text(path))
+
+
 def _write_reviews(rows, path):
     rows.write.options(
         sep="\t", quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False

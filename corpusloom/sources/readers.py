@@ -1,8 +1,8 @@
-"""Readers for the corpus formats. Schemas are given, so no pass is spent on inference."""
+"""Readers for the corpus formats. Schemas are given, so no pass is spent on inference; files that do not fit are refused."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from corpusloom.functions.text import without_rule_lines
 from corpusloom.operators.ordering import Order, head
@@ -22,6 +22,49 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = CORPUS) -> DataFram
     return spark.read.schema(schema).json(path)
 
 
+def field_types(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The fields of JSON lines as they are: ``field``, ``n_rows`` that have it, ``type`` that holds all its values.
+
+    Types of rows merge pairwise on the way to the shuffle: VOID (null) gives way to any other, numbers widen, objects and
+    arrays merge by field and element, and what else differs is VARIANT. Lines that are no JSON object count under the
+    null field, with type INVALID; blank lines are nothing.
+    """
+    parsed = lines.where(F.trim(column) != "").select(F.try_parse_json(column).alias("_row"))
+    whole = F.schema_of_variant("_row").startswith("OBJECT<")
+    fields = parsed.where(whole).lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("_row").outer()))
+    found = fields.groupBy(F.col("key").alias("field")).agg(F.count("*").alias("n_rows"), F.schema_of_variant_agg("value").alias("type"))
+    invalid = parsed.where(~F.coalesce(whole, F.lit(False))).agg(F.count("*").alias("n_rows")).where("n_rows > 0")
+    return found.unionByName(invalid.select(F.lit(None).cast("string").alias("field"), "n_rows", F.lit("INVALID").alias("type")))
+
+
+def _fits(found: str, wanted: T.DataType) -> bool:
+    """Whether the reader can take values of a found type as the wanted one; strings take no objects or arrays."""
+    if found == "VOID":
+        return True
+    if isinstance(wanted, T.ArrayType):
+        return found.startswith("ARRAY<")
+    if isinstance(wanted, T.StructType):
+        return found.startswith("OBJECT<")
+    return found == wanted.simpleString().upper()
+
+
+def refuse_misfits(rows: DataFrame, path: str, fields: list[str]) -> DataFrame:
+    """The rows of JSON lines, or a ValueError that names what their files hold instead of ``fields``.
+
+    A field with a value in any row is taken as there, which the first rows tell. Only otherwise are the files read
+    through, for their fields and types. Files without rows, or with nulls alone, are no error.
+    """
+    unseen = [f for f in fields if not rows.where(F.col(f).isNotNull()).select(F.lit(1)).head(1)]
+    if not unseen:
+        return rows
+    found = {r.field: (r.n_rows, r.type) for r in field_types(rows.sparkSession.read.text(path)).collect()}
+    wrong = [f for f in unseen if found and (f not in found or not _fits(found[f][1], rows.schema[f].dataType))]
+    if wrong:
+        held = ", ".join(f"{k} {t} ({n} rows)" for k, (n, t) in sorted(found.items(), key=str))
+        raise ValueError(f"{path}: no usable field {', '.join(wrong)}; the files hold {held}")
+    return rows
+
+
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str = REVIEWS) -> DataFrame:
     """Tab-separated rows without a header."""
     return spark.read.schema(schema).option("sep", "\t").option("multiLine", True).option("escape", '"').csv(path)

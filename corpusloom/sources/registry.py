@@ -30,6 +30,10 @@ TASKS = {
 }
 
 
+#: Fields that files may lack: keys are numbered on read, metadata is a filter's.
+KEYS = ("doc_id", "line_id", "id", "meta")
+
+
 @dataclass(frozen=True)
 class Location:
     """Paths of a dataset; ``dev`` only where a development set is provided."""
@@ -72,7 +76,8 @@ def load_dataset(
 
 def _read(spark: SparkSession, path: str, place: Location, schema: str) -> DataFrame:
     if place.format == "json":
-        return readers.read_jsonl(spark, path, schema)
+        rows = readers.read_jsonl(spark, path, schema)
+        return readers.refuse_misfits(rows, path, [f for f in rows.columns if f not in KEYS])
     if place.format == "csv":
         return readers.read_tsv(spark, path, schema)
     return spark.read.schema(schema).format(place.format).load(path)

@@ -44,6 +44,29 @@ def test_annotated_and_missing(spark, tmp_path):
         task_of("nothing")
 
 
+def test_field_types_merge(spark):
+    lines = ['{"a": 1, "b": null, "c": {"x": 1}}', '{"a": 2, "b": "t", "c": {"y": [true]}}', '{"a": "s"}', "no json", "[1]", "", '{}']
+    got = {r.field: (r.n_rows, r.type) for r in readers.field_types(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    assert got == {
+        "a": (3, "VARIANT"), "b": (2, "STRING"), "c": (2, "OBJECT<x: BIGINT, y: ARRAY<BOOLEAN>>"), None: (2, "INVALID")
+    }
+    assert readers.field_types(spark.createDataFrame([], "value string")).count() == 0
+
+
+def test_files_that_do_not_fit_are_refused(spark, tmp_path):
+    def load(name, *lines):
+        (tmp_path / name).write_text("\n".join(lines))
+        return load_dataset(spark, "c4", {"c4": Location(str(tmp_path / name))})[0]
+
+    with pytest.raises(ValueError, match="no usable field text.*content STRING \\(2 rows\\)"):
+        load("other.jsonl", '{"content": "one"}', '{"content": "two"}')
+    with pytest.raises(ValueError, match="INVALID"):
+        load("broken.jsonl", "not json", "at all")
+    assert load("nulls.jsonl", '{"text": null}').count() == 1
+    assert load("empty.jsonl", "").count() == 0
+    assert load("some.jsonl", '{"doc_id": 1, "text": "t"}', '{"doc_id": 2}').count() == 2
+
+
 def test_leading_percent_rounds_half_to_even(spark):
     for n, percent, keep in ((5, 50, 2), (7, 50, 4), (10, 33, 3)):
         rows = spark.range(n)
