@@ -7,14 +7,16 @@ is decoded from its own symbols alone. Files are written by Spark's own committe
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -164,52 +166,125 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+#: A line break or nothing, letters that Unicode has below U+0250, and the punctuation behind them.
+_PLAIN = re.compile("(\n?)([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
+
+
 class Encoder:
     """Whole-text token ids by the tokenizers library, as 16-bit bytes.
 
     A byte-level pre-tokenizer never joins what a single blank or line break separates, nor letters and the
-    punctuation that ends a piece, so each such part has its own ids; parts repeat and are remembered. Texts with any
-    other white space are encoded in one go.
+    punctuation that ends a piece, so each such part has its own ids. Distinct pieces are looked up once per call; those not
+    held are encoded together, and what was in use among the last ``limit`` pieces or more stays held. Texts with any other
+    white space are encoded in one go.
     """
 
-    _TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > END:
             raise ValueError("ids do not fit")
         self.letters = _byte_letters()
-        self.pieces, self.stems = Memo(self._piece, limit), Memo(self._stem, limit)
+        # no text holds the byte 255: where the vocabulary has it on its own only, it parts words encoded together
+        self.gap = self.letters[255]
+        alone = [t for t in self.tokenizer.get_vocab() if self.gap in t] == [self.gap]
+        self.at_once = 64 if alone else 1
+        self.line, self.tails = self._ids("\n"), Memo(self._ids)
+        self.limit, self.pieces, self.older = limit, {}, {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _stem(self, stem: str) -> bytes:
-        """Ids of a part with its leading blank; a word of Latin letters is one unit, which the model alone can encode."""
-        if stem[1:].isalpha() and max(stem) < "\u0250" and stem[0] == " ":
-            unit = stem.encode().decode("latin-1").translate(self.letters)
-            return array("H", [t.id for t in self.tokenizer.model.tokenize(unit)]).tobytes()
-        return self._ids(stem)
-
-    def _piece(self, piece: str) -> bytes:
-        stem = piece.rstrip(self._TAIL)
-        if piece[0] == "\n":
-            whole = piece
-        else:
-            stem, whole = " " + stem, " " + piece
-        if len(stem) < 2 or len(stem) == len(whole) or not (stem[-1].isalpha() or stem[-1].isdigit()) or "<|" in whole:
-            return self.stems[whole]
-        return self.stems[stem] + self.stems[whole[len(stem) :]]
-
-    def encode(self, text: str | None) -> bytes:
-        text = text or ""
-        words, gaps = text.split(), text.count(" ") + text.count("\n")
-        if len(words) != gaps + 1 or sum(map(len, words)) + gaps != len(text):
-            return self._ids(text)
-        # the first piece is given a line break, whose one id is cut off again
-        return b"".join(map(self.pieces.__getitem__, ("\n" + text).replace("\n", " \n").split(" ")[1:]))[2:]
+    def _units(self, units: list[str]) -> Iterator[bytes]:
+        """Ids of words in the vocabulary's letters, each with its blank or without one; the model alone can encode these."""
+        gap = self.tokenizer.token_to_id(self.gap)
+        for k in range(0, len(units), self.at_once):
+            some = units[k : k + self.at_once]
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(self.gap.join(some))], "<u2")
+            raw, cuts = ids.tobytes(), np.flatnonzero(ids == gap).tolist() if len(some) > 1 else []
+            for i, j in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)]):
+                yield raw[2 * i : 2 * j]
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces: of what follows a blank, with it, or of a line break and what follows that.
+
+        Pieces that hold other white space, or nothing, are left out.
+        """
+        learned, units = {}, []
+        plain, lines, tails = [], [], []  # lists of strings, which the garbage collector need not follow
+        for piece in pieces:
+            parts = _PLAIN.fullmatch(piece)
+            if parts:
+                line, word, tail = parts.groups()
+                if word.isascii():
+                    units.append(word if line else self.letters[32] + word)
+                else:
+                    units.append((word if line else " " + word).encode().decode("latin-1").translate(self.letters))
+                plain.append(piece)
+                lines.append(line)
+                tails.append(tail)
+            elif (rest := piece.removeprefix("\n")).split() == [rest]:
+                learned[piece] = self._ids(piece if rest != piece else " " + piece)
+        for piece, line, tail, ids in zip(plain, lines, tails, self._units(units)):
+            if line:
+                ids = self.line + ids
+            learned[piece] = ids + self.tails[tail] if tail else ids
+        return learned
+
+    def _known(self, pieces: list[str]) -> list[bytes | None]:
+        if len(self.pieces) >= self.limit:
+            self.pieces, self.older = {}, self.pieces
+        new, old = self.pieces.get, self.older.get
+        known = [new(p) or old(p) for p in pieces]
+        learned = self._learn([p for p, k in zip(pieces, known) if k is None])
+        known = [k or learned.get(p) for p, k in zip(pieces, known)]
+        self.pieces.update((p, k) for p, k in zip(pieces, known) if k)
+        return known
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text; null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        # every text is given a line break, whose one id is left out again; what comes before it is empty
+        lined = pc.replace_substring(pc.binary_join_element_wise("\n", texts, ""), "\n", " \n")
+        lists = pc.split_pattern(lined, " ")
+        pieces = lists.flatten().dictionary_encode()
+        begins = lists.offsets.to_numpy()
+        begins = (begins - begins[0])[:-1]
+        places = pieces.indices.to_numpy()
+        known = self._known(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        odd = np.array([k is None for k in known], bool)[places]
+        odd[begins] = False
+        odd = np.logical_or.reduceat(odd, begins) if len(begins) else odd
+        known = [k or b"" for k in known]
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 2
+        pool, at = np.frombuffer(b"".join(known), "<u2"), np.cumsum(lengths) - lengths
+        ids = [np.empty(0, "<u2"), *(_gathered(pool, at, lengths, places[k : k + _STEP]) for k in range(0, len(places), _STEP))]
+        ends = np.cumsum(np.add.reduceat(lengths[places], begins)) if len(begins) else begins
+        raw, starts = np.concatenate(ids).tobytes(), np.concatenate(([0], ends))[:-1]
+        return [
+            self._ids(texts[k].as_py()) if whole else raw[2 * i + 2 : 2 * j]
+            for k, (i, j, whole) in enumerate(zip(starts.tolist(), ends.tolist(), odd.tolist()))
+        ]
+
+
+#: Pieces laid end to end at a time; bytes of text encoded at a time (a longer text alone).
+_STEP, _CHUNK = 1 << 18, 16 << 20
+
+
+def _gathered(pool: np.ndarray, at: np.ndarray, lengths: np.ndarray, places: np.ndarray) -> np.ndarray:
+    n = lengths[places]
+    first = np.cumsum(n) - n
+    return pool[np.repeat(at[places] - first, n) + np.arange(int(n.sum()))]
+
+
+def chunks(batch: pa.RecordBatch, text_col: str, size: int = _CHUNK) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of text."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(upto // size, prepend=0)).tolist()
+    for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+        if a < b:
+            yield batch.slice(a, b - a)
 
 
 @cache
@@ -222,22 +297,23 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     """Encode every text and write the shards to ``path`` in ascending order of id (nulls first).
 
     Rows are dealt by ranges of id; rows of one id, however many, may spread over several ranges and keep one order.
-    A task holds one shard at a time.
+    A task holds one shard at a time, and encodes about 16 MB of text, or one longer text, at a time.
     """
 
-    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, shard = encoder_of(tokenizer_path), TaskContext.get().partitionId(), 0
+        kinds = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())])
         keys: list[int] = []
         ids: list[bytes] = []
         size = 0
 
-        def ready() -> pd.DataFrame:
+        def ready() -> pa.RecordBatch:
             payload = pack(np.array(keys, np.int64), ids)
-            return pd.DataFrame({"part": [part], "shard": [shard], "n_docs": [len(ids)], "n_ids": [size], "payload": [payload]})
+            row = {"part": part, "shard": shard, "n_docs": len(ids), "n_ids": size, "payload": payload}
+            return pa.RecordBatch.from_pylist([row], kinds)
 
-        for batch in batches:
-            for key, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                encoded = encoder.encode(text)
+        for chunk in (c for batch in batches for c in chunks(batch, "text")):
+            for key, encoded in zip(chunk.column("doc_id").to_pylist(), encoder.encode(chunk.column("text"))):
                 keys.append(key)
                 ids.append(encoded)
                 size += len(encoded) // 2 + 1
@@ -252,7 +328,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     )
     rows = rows.withColumn("_row", F.monotonically_increasing_id())
     placed = rows.repartitionByRange("doc_id", "_row").sortWithinPartitions("doc_id", "_row").select("doc_id", "text")
-    placed.mapInPandas(shards, SCHEMA).write.option("compression", "zstd").parquet(path)
+    placed.mapInArrow(shards, SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
 #: Stands for a null id in the files.

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,9 +250,18 @@ def test_token_files(spark, odd):
 
 def test_encoder_agrees_with_whole_texts():
     encoder = binary.Encoder(queries.tokenizer_path(), limit=20)
-    texts = ["don't it's. a's' x''s 3's", "l'été, d'ß.", "a  b", "\n", " x", "x ", "a \n b", "ĊĠ ĠĊ\nĠ", "ª² ǅx Ωm", "a\tb", "é\u3000y", "日本 語。"]
-    for t in texts * 3:
-        assert np.frombuffer(encoder.encode(t), "<u2").tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
+    rnd = random.Random(5)
+    texts = ["don't it's. a's' x''s 3's", "l'été, d'ß.", "a  b", "\n", " x", "x ", "a \n b", "ĊĠ ĠĊ\nĠ", "ª² ǅx Ωm", "a\tb", "é\u3000y", "日本 語。", "", None]
+    parts = ["a", "Foo", "bär", "ɏ", "ɐ", "ÿ", "×", "½", "ё", "'s", "<|endoftext|>", "<|", ".", "!?", "12", " ", "  ", "\n", "\n\n", "\r\n", "\x1c", "\xa0", "e\u0301", "\x00"]
+    texts += ["".join(rnd.choice([*parts, " ", " ", "\n"]) for _ in range(rnd.randrange(12))) for _ in range(3000)]
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for size in (1, 40, 1 << 20):
+        batch = pa.record_batch({"text": pa.array(texts, pa.string())})
+        slices = list(binary.chunks(batch, "text", size))
+        assert sum(c.num_rows for c in slices) == len(texts) and (len(slices) > 1) == (size < 1 << 20)
+        got = [ids for c in slices for ids in encoder.encode(c.column("text"))]
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == want
+    assert encoder.encode(pa.array([], pa.string())) == []
 
 
 def test_grammar_shards_decode_anywhere():
