@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.streaming.reorder import in_event_order
 
-SWITCHES = "run bigint, step bigint, switch_no bigint"
+SWITCHES_OUT = "step bigint, switch_no bigint"
+SWITCHES = f"run bigint, {SWITCHES_OUT}"
 VALUES = (("step", "bigint"), ("loss", "double"))
 STATE = (("best", "double"), ("wait", "bigint"), ("switches", "bigint"))
 
@@ -16,20 +18,24 @@ STATE = (("best", "double"), ("wait", "bigint"), ("switches", "bigint"))
 def _detector(patience: int, min_delta: float, datasets: int, mode: str):
     sign = 1.0 if mode == "min" else -1.0
 
-    def advance(key: tuple, carried: tuple, losses: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
-        best, wait, switches = carried
-        due = []
-        for step, loss in zip(losses["step"], losses["loss"] * sign):
+    def advance(entries: tuple, losses: pd.DataFrame, stretch: np.ndarray) -> tuple[list, pd.DataFrame, np.ndarray]:
+        ends = [entry.tolist() for entry in entries]
+        due, at, (best, wait, switches) = [], None, (0.0, 0, 0)
+        for place, (number, step, loss) in enumerate(zip(stretch.tolist(), losses["step"].tolist(), (losses["loss"] * sign).tolist())):
+            if number != at:
+                at, (best, wait, switches) = number, (end[number] for end in ends)
             if loss + min_delta < best:
                 best, wait = loss, 0
-                continue
-            wait += 1
-            if wait >= patience:
-                wait = 0
-                if switches < datasets - 1:
-                    switches += 1
-                    due.append((key[0], step, switches))
-        return (best, wait, switches), pd.DataFrame(due, columns=["run", "step", "switch_no"]).astype("int64")
+            else:
+                wait += 1
+                if wait >= patience:
+                    wait = 0
+                    if switches < datasets - 1:
+                        switches += 1
+                        due.append((place, step, switches))
+            ends[0][number], ends[1][number], ends[2][number] = best, wait, switches
+        found = pd.DataFrame(due, columns=["place", "step", "switch_no"]).astype("int64")
+        return [np.array(end, dtype=entry.dtype) for end, entry in zip(ends, entries)], found[["step", "switch_no"]].copy(), found["place"].to_numpy()
 
     return advance
 
@@ -40,7 +46,7 @@ def plateau_stream(losses: DataFrame, patience: int, min_delta: float, datasets:
     The losses of a run are taken in order of time and step, once the watermark has passed them. State per run is three numbers and the
     losses within the delay.
     """
-    return in_event_order(losses, "run", VALUES, STATE, (float("inf"), 0, 0), _detector(patience, min_delta, datasets, mode), SWITCHES, delay)
+    return in_event_order(losses, "run", VALUES, STATE, (float("inf"), 0, 0), _detector(patience, min_delta, datasets, mode), SWITCHES_OUT, delay)
 
 
 def write_rows(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -20,7 +20,7 @@ from corpusloom.operators.plateau import plateau_switches
 from corpusloom.streaming import plateau, progress
 from corpusloom.streaming.plateau import plateau_stream, write_rows
 from corpusloom.streaming.progress import stream_progress
-from corpusloom.streaming.reorder import heartbeat, late_rows
+from corpusloom.streaming.reorder import GROUPS, heartbeat, late_rows
 
 
 def losses(spark, runs):
@@ -136,6 +136,26 @@ def test_silent_runs_are_forgotten_and_late_rows_counted(spark, tmp_path):
     assert got == [(1, 1, 1), (1, 2, 2), (1, 91, 1), (1, 200, 1), (1, 201, 2), (2, 100, 1), (2, 101, 2)]
 
 
+def test_many_runs_share_groups_of_state(spark, tmp_path):
+    """A null key and keys beyond doubles keep their totals; state has a row per group, not one per run."""
+    rows = [(r, s, 1, 1, 1) for r in [*range(700), None, 2**60, 2**60 + 1] for s in (1, 2, 3)]
+    schema = "run bigint, step bigint, rows bigint, width bigint, masked bigint"
+    df = spark.createDataFrame(rows, schema)
+    source, out, late_out = (str(tmp_path / n) for n in ("in", "out", "late"))
+    for _ in arriving(df, source, progress.VALUES):
+        stream = spark.readStream.schema(f"{schema}, ts timestamp").parquet(source)
+        query = write_rows(stream_progress(stream, 1, "1 hour"), out, str(tmp_path / "check"))
+        query.awaitTermination()
+        sizes = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        late = write_rows(late_rows(stream, "run", "1 second"), late_out, str(tmp_path / "late-check"))
+        late.awaitTermination()
+    got = spark.read.schema(progress.PROGRESS).parquet(out).select("run", "step", "samples").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((r, s, s) for r, s, *_ in rows), key=str)
+    assert 0 < max(sizes) <= GROUPS < 700
+    counts = spark.read.schema("run bigint, late bigint").parquet(late_out).groupBy("run").agg(F.max("late").alias("late")).collect()
+    assert {None, 2**60} & {r.run for r in counts} and all(0 < r.late <= 3 for r in counts)
+
+
 def test_best_checkpoint_takes_the_earliest(spark):
     df = spark.createDataFrame([(1, 1, 3.0), (1, 2, 1.0), (1, 3, 1.0), (1, 4, 5.0)], "run int, step int, value double")
     assert tuple(best_checkpoint(df, ["run"]).first()) == (1, 1.0, 2)
