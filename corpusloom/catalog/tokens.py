@@ -97,10 +97,11 @@ offsets AS (
 def token_offsets(spark, sf_dir):
     wp = tokenizer(spark, sf_dir)
     spans = F.transform(
-        wp.token_spans(F.col("text")),
+        "pieces",
         lambda t: F.concat(t["id"].cast("string"), F.lit(":"), t["s"].cast("string"), F.lit("-"), t["e"].cast("string")),
     )
-    return documents(spark, sf_dir).select("doc_id", F.array_join(spans, " ").alias("spans"))
+    located = documents(spark, sf_dir).select("doc_id", wp.token_spans(F.col("text")).alias("pieces"))
+    return located.select("doc_id", F.array_join(spans, " ").alias("spans"))
 
 
 @query(

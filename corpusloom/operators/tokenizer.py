@@ -2,17 +2,22 @@
 
 A vocabulary is bounded (tens of thousands of pieces), so it rides along as a constant hash table and each
 document is encoded where it is read: no shuffle, no join on words (whose frequencies are as skewed as data
-gets) and no Python worker.
+gets) and no Python worker. Only offsets into the text (``token_spans``) are counted in Arrow batches, whose distinct words
+are looked up once.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.arrays import let
-from corpusloom.functions.text import LEADING_SPACE, document_text, normalize_word, word_spans, words
+from corpusloom.functions.text import SPACED_WORD, WORD, document_text, normalize_word, words
 from corpusloom.session import materialize
 
 # Special pieces in id order; sequences both begin and end with the separator.
@@ -24,6 +29,9 @@ MAX_PIECES = 250_000
 PIECE = "struct<id:int,n:int>"
 BUCKETS = 4096
 
+#: Words whose pieces a task remembers.
+KNOWN_WORDS = 500_000
+
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """``piece, id`` from a text file with one piece per line; the id is the line number."""
@@ -98,6 +106,7 @@ class WordPiece:
         plain = [r for r in rows if r.piece not in SPECIALS]
         first, inner = [r for r in plain if not r.inner], [r for r in plain if r.inner]
         self._longest = {k: max((len(r.key) for r in v), default=1) for k, v in (("first", first), ("inner", inner))}
+        self._first, self._inner = {r.key: r.id for r in first}, {r.key: r.id for r in inner}
         self._tables = {
             "word": _table(first, lambda piece: [piece], f"array<{PIECE}>"),
             "first": _table(first, lambda piece: piece, PIECE),
@@ -140,8 +149,46 @@ class WordPiece:
             self._lookup("word", word), F.when(F.length(word) > LONGEST_WORD, unknown).otherwise(walked)
         )
 
-    def _pieces_or_none(self, word: Column) -> Column:
-        return F.when(F.length(word) > 0, self.pieces(word)).otherwise(F.expr(f"cast(array() as array<{PIECE}>)"))
+    def _lookups(self) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """A function from words to the number of pieces of each, all piece ids and their lengths in characters.
+
+        It looks up the distinct words of a batch, each once, and keeps what it found.
+        """
+        first, inner, unknown, known = self._first, self._inner, self.ids["[UNK]"], {}
+        longest = [max(map(len, table), default=1) for table in (first, inner)]
+
+        def walk(word: str) -> list[tuple[int, int]]:
+            if word in first:
+                return [(first[word], len(word))]
+            if len(word) > LONGEST_WORD:
+                return [(unknown, len(word))]
+            at, out = 0, []
+            while at < len(word):
+                table, most = (inner, longest[1]) if at else (first, longest[0])
+                end = next((e for e in range(min(at + most, len(word)), at, -1) if word[at:e] in table), None)
+                if end is None:
+                    return [(unknown, len(word))]
+                out.append((table[word[at:end]], end - at))
+                at = end
+            return out
+
+        def pieces(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            coded = words.dictionary_encode()
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+            found = []
+            for word in coded.dictionary.to_pylist():
+                if word not in known:
+                    known[word] = walk(word)
+                found.append(known[word])
+            codes = coded.indices.to_numpy()
+            counts = np.array([len(f) for f in found], dtype=np.int64)
+            pool = np.array([piece for f in found for piece in f], dtype=np.int32).reshape(-1, 2)
+            n = counts[codes]
+            places = np.repeat((counts.cumsum() - counts)[codes] - (n.cumsum() - n), n) + np.arange(n.sum())
+            return n, pool[places, 0], pool[places, 1]
+
+        return pieces
 
     def token_ids(self, text: Column) -> Column:
         """Piece ids of a text, without specials."""
@@ -150,31 +197,32 @@ class WordPiece:
         )
 
     def token_spans(self, text: Column) -> Column:
-        """``array<struct<id, s, e>>``: piece ids with character offsets into the original text."""
-
-        def located(span: Column) -> Column:
-            # the word sits at the end of its run; pieces split it from the left
-            word = F.regexp_replace(span["raw"], LEADING_SPACE, "")
-            return let(
-                F.struct(
-                    (span["e"] - F.length(word)).alias("b"),
-                    span["e"].alias("e"),
-                    let(normalize_word(word, self.accents), self._pieces_or_none).alias("p"),
-                ),
-                lambda w: F.transform(
-                    w["p"],
-                    lambda piece, i: let(
-                        F.aggregate(F.slice(w["p"], 1, i), F.lit(0), lambda total, x: total + x["n"]),
-                        lambda done: F.struct(
-                            piece["id"].alias("id"),
-                            F.least(w["b"] + done, w["e"]).alias("s"),
-                            F.least(w["b"] + done + piece["n"], w["e"]).alias("e"),
-                        ),
-                    ),
-                ),
-            )
-
-        return F.flatten(F.transform(word_spans(text), located))
+        """``array<struct<id, s, e>>``: piece ids with character offsets into the original text.
+
+        Give it a column of its own before array functions with lambdas read it.
+        """
+        pieces = self._lookups()
+
+        def encode(runs: pa.Array, raw: pa.Array, normal: pa.Array) -> pa.Array:
+            n_runs = runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.r_[0, np.cumsum(n_runs)]
+            # runs tile the text; the word sits at the end of its run, and pieces split it from the left
+            run, length = (pc.utf8_length(texts.flatten()).to_numpy().astype(np.int64) for texts in (runs, raw))
+            upto = np.r_[0, run.cumsum()]
+            e = upto[1:] - np.repeat(upto[ends[:-1]], n_runs)
+            n, ids, sizes = pieces(normal.flatten())
+            done = np.r_[0, sizes.cumsum()]
+            after = done[1:] - np.repeat(done[np.r_[0, n.cumsum()][:-1]], n)
+            begin, last = np.repeat(e - length, n), np.repeat(e, n)
+            columns = (ids, np.minimum(begin + after - sizes, last), np.minimum(begin + after, last))
+            spans = pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in columns], ["id", "s", "e"])
+            return pa.ListArray.from_arrays(pa.array(np.r_[0, n.cumsum()][ends], pa.int32()), spans, mask=runs.is_null())
+
+        runs, raw = (F.regexp_extract_all(text, F.lit(pattern), F.lit(0)) for pattern in (SPACED_WORD, WORD))
+        # words hold no line break and clean-up leaves it alone, so all words are cleaned up at once
+        cleaned = F.split(normalize_word(F.array_join(raw, "\n"), self.accents), "\n", -1)
+        normal = F.when(F.size(raw) > 0, cleaned).otherwise(F.expr("cast(array() as array<string>)"))
+        return _whole(F.arrow_udf(encode, "array<struct<id:int,s:int,e:int>>"))(runs, raw, normal)
 
     def framed(self, ids: Column, max_length: int | None = None) -> Column:
         """Add the separator at both ends, first cutting so that the whole fits ``max_length``."""
@@ -191,6 +239,11 @@ def _table(rows: list, value, value_type: str) -> Column:
     return F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{value_type}>>")
 
 
+def _whole(udf):
+    """A function that Spark works out where it stands: it would carry others into later lambdas or their arguments, where none can run."""
+    return udf.asNondeterministic()
+
+
 def encode_pretraining(docs: DataFrame, tokenizer: WordPiece, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, input_ids, n`` for every document that is neither empty nor a lone newline; ``n`` is the length."""
     kept = docs.where(~F.col(text).isin("", "\n"))

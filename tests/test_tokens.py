@@ -187,3 +187,15 @@ def test_packing_cost_follows_the_tokens(spark):
 
     seconds(1000)
     assert seconds(1_600_000) < 4 * seconds(400_000) + 10
+
+
+def test_words_of_spans_are_not_walked_in_lambdas(spark, wp):
+    """Distinct words of a batch are looked up at once; nulls, empty texts and accents in spans hold."""
+    rows = spark.createDataFrame([(0, "gelernt  Gélernt xyz"), (1, None), (2, " "), (3, "lern")], "k int, t string")
+    spans = wp.token_spans(F.col("t")).alias("s")
+    out = rows.coalesce(1).select("k", wp.token_ids(F.col("t")).alias("i"), spans)
+    assert "aggregate(" not in rows.select(spans)._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: r for r in out.collect()}
+    assert [PIECES[i] for i in got[0].i] == ["ge", "##lern", "##t"] * 2 + ["[UNK]"]
+    assert [(s.s, s.e) for s in got[0].s] == [(0, 2), (2, 6), (6, 7), (9, 11), (11, 15), (15, 16), (17, 20)]
+    assert (got[1].i, got[1].s, got[2].i, got[2].s) == (None, None, [], []) and len(got[3].i) == 1
