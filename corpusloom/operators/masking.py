@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.functions.arrays import let
-from corpusloom.functions.hashing import hex_slice
-
 # The label of positions that do not count, and the split of selected tokens.
 IGNORE = -100
 MASK_SHARE = 0.8
@@ -16,12 +17,6 @@ RANDOM_SHARE = 0.1
 
 
 
-def _hex_bound(share: Column) -> Column:
-    """The eight-digit hex text that a draw must sort before to fall within a share of 2^32."""
-    limit = F.ceil(share * float(2**32))
-    return F.when(limit >= 2**32, "g").otherwise(F.lpad(F.lower(F.hex(limit)), 8, "0"))
-
-
 def mask_tokens(
     rows: DataFrame,
     probability: Column | float,
@@ -40,34 +35,33 @@ def mask_tokens(
     of (row key, position, epoch, seed), so a retried task masks the same tokens and another epoch masks others.
     """
     p = F.lit(float(probability)) if isinstance(probability, (int, float)) else probability
-    masks, randoms = _hex_bound(F.lit(MASK_SHARE)), _hex_bound(F.lit(MASK_SHARE + RANDOM_SHARE))
     row = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-    special = F.array(*[F.lit(s) for s in specials])
-
-    def draw(token: Column, i: Column) -> Column:
-        digest = F.md5(F.concat_ws("|", row, i.cast("string"), F.lit(str(epoch)), F.lit(str(seed))))
-
-        def outcome(d: Column) -> Column:
-            # fixed-width hex sorts like the number it spells, so most draws need no parsing
-            selected = (F.substring(d, 1, 8) < F.col("_bound")) & ~F.array_contains(special, token)
-            kind = F.substring(d, 9, 8)
-            other = F.pmod(hex_slice(d, 2), F.lit(vocabulary_size)).cast("int")
-            masked = (
-                F.when(kind < masks, F.lit(mask_id))
-                .when(kind < randoms, other)
-                .otherwise(token)
-            )
-            return F.struct(
-                F.when(selected, masked).otherwise(token).alias("id"),
-                F.when(selected, token).otherwise(F.lit(IGNORE)).alias("label"),
-            )
-
-        return let(digest, outcome)
-
-    drawn = rows.withColumn("_bound", _hex_bound(p)).withColumn("_drawn", F.transform(F.col(ids), draw))
-    return drawn.withColumns(
-        {ids: F.transform("_drawn", lambda s: s["id"]), "labels": F.transform("_drawn", lambda s: s["label"])}
-    ).drop("_drawn", "_bound")
+    # a draw is below a share of 2^32; a null share selects nothing
+    limit = F.coalesce(F.ceil(p * float(2**32)).cast("bigint"), F.lit(0).cast("bigint"))
+    masks, randoms = (math.ceil(share * 2**32) for share in (MASK_SHARE, MASK_SHARE + RANDOM_SHARE))
+    kind = "array<bigint>" if dict(rows.dtypes)[ids] == "array<bigint>" else "array<int>"
+    tail = f"|{epoch}|{seed}"
+
+    def draw(keys: pa.Array, limits: pa.Array, tokens: pa.Array) -> pa.Array:
+        sizes = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        tails = [f"|{i}{tail}".encode() for i in range(sizes.max(initial=0))]
+        digests = b"".join(
+            md5(k + t, usedforsecurity=False).digest() for k, n in zip(keys.cast(pa.binary()).to_pylist(), sizes) for t in tails[:n]
+        )
+        draws = np.frombuffer(digests, ">u4").reshape(-1, 4).astype(np.int64)
+        flat = tokens.flatten()
+        empty = flat.is_null().to_numpy(zero_copy_only=False)
+        old = flat.fill_null(0).to_numpy(zero_copy_only=False)
+        selected = (draws[:, 0] < np.repeat(limits.to_numpy(zero_copy_only=False), sizes)) & ~np.isin(old, specials) & ~empty
+        masked = np.where(draws[:, 1] < masks, mask_id, np.where(draws[:, 1] < randoms, draws[:, 2] % vocabulary_size, old))
+        ends = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+        new = pa.array(np.where(selected, masked, old), flat.type, mask=empty)
+        labels = pa.array(np.where(selected, old, IGNORE), flat.type)
+        sides = [pa.ListArray.from_arrays(ends, side, mask=tokens.is_null()) for side in (new, labels)]
+        return pa.StructArray.from_arrays(sides, ["ids", "labels"])
+
+    drawn = F.arrow_udf(draw, f"ids {kind}, labels {kind}")(row, limit, F.col(ids).cast(kind))
+    return rows.withColumn("_drawn", drawn).withColumns({ids: F.col("_drawn.ids"), "labels": F.col("_drawn.labels")}).drop("_drawn")
 
 
 def masked_count(labels: Column) -> Column:
