@@ -86,11 +86,12 @@ def repad_batches(spark, sf_dir):
 )
 def gather_positions(spark, sf_dir):
     """First token and the place just after the last of every row, where a full row is followed by the next one's first."""
-    rows = _padded(spark, sf_dir)
+    # taken before padding, so that only the ids themselves are sorted
     after = F.lead(F.get("input_ids", F.lit(0))).over(Window.partitionBy("batch").orderBy("pos"))
+    rows = pad_batches(_batched(spark, sf_dir).withColumn("after", after), PAD, multiple=8)
     size = F.size(F.filter("attention_mask", lambda m: m == 1))
     found = gathered(F.col("cells"), F.array(F.lit(0), F.col("len")))
-    rows = rows.withColumns({"len": size, "cells": F.concat("input_ids", F.array(F.coalesce(after, F.lit(0))))})
+    rows = rows.withColumns({"len": size, "cells": F.concat("input_ids", F.array(F.coalesce("after", F.lit(0))))})
     edges = rows.select("batch", "pos", "width", F.posexplode(F.arrays_zip(F.array(F.lit(0), F.col("len")).alias("at"), found.alias("value"))).alias("_", "edge"))
     return edges.select("batch", (F.col("pos") * F.col("width") + F.col("edge.at")).alias("flat"), F.col("edge.value").cast("bigint").alias("value"))
 

@@ -50,17 +50,21 @@ def real_places(mask: Column) -> Column:
 
 def gathered(values: Column, places: Column) -> Column:
     """The row's values at its places, 0 where there is none; a place may repeat."""
-    return F.transform(places, lambda i: F.coalesce(F.get(values, i), F.lit(0)))
+    # the values may be an expression, which must not be worked out again for every place
+    return let(values, lambda held: F.transform(places, lambda i: F.coalesce(F.get(held, i), F.lit(0))))
 
 
 def scattered(values: Column, places: Column, width: Column, fill: int = 0) -> Column:
     """An array of ``width`` with the values at their (ascending) places and ``fill`` elsewhere."""
 
-    def with_gap(v: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(places, i - 1), F.lit(-1))
-        return F.concat(F.array_repeat(F.lit(fill), (F.get(places, i) - before - 1).cast("int")), F.array(v))
+    def with_gaps(at: Column) -> Column:
+        def with_gap(v: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(at, i - 1), F.lit(-1))
+            return F.concat(F.array_repeat(F.lit(fill), (F.get(at, i) - before - 1).cast("int")), F.array(v))
 
-    return let(F.flatten(F.transform(values, with_gap)), lambda body: padded(body, width, fill))
+        return F.flatten(F.transform(values, with_gap))
+
+    return let(let(places, with_gaps), lambda body: padded(body, width, fill))
 
 
 def masked_positions(labels: Column, keep_first: bool = False) -> Column:

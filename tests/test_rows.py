@@ -48,6 +48,25 @@ def test_scattered_values_leave_gaps(spark):
     assert [r.y for r in got] == [[0, 5], [7, 6], [0, 0], [9, 8]]
 
 
+def test_expressions_for_values_and_places_are_worked_out_once(spark):
+    """A padded row that is an expression is not built again for each of its places."""
+    rows = spark.createDataFrame([([5, 6], [0, 1], 4)], "v array<int>, p array<int>, w int")
+    wide, at = F.concat("v", F.array_repeat(F.lit(0), 2)), F.transform("p", lambda i: i * 2)
+    plan = lambda c: rows.select(c.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.select(gathered(wide, F.col("p")), scattered(F.col("v"), at, F.col("w"))).first()[:] == ([5, 6], [5, 0, 6, 0])
+    assert plan(gathered(wide, F.col("p"))).index("concat(") < plan(gathered(wide, F.col("p"))).index("transform(p")
+    assert plan(scattered(F.col("v"), at, F.col("w"))).count("transform(p") == 1
+
+
+def test_masking_is_no_lambda_and_keeps_nulls(spark):
+    rows = spark.createDataFrame([(1, [10, None, 12]), (2, None), (3, [])], "id bigint, input_ids array<int>")
+    out = mask_tokens(rows, 1.0, ["id"], 100, 3, [0, 1, 2, 3])
+    assert "lambda" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: r for r in out.collect()}
+    assert got[1].labels == [10, IGNORE, 12] and got[1].input_ids[1] is None
+    assert got[2].labels is None and got[2].input_ids is None and got[3].labels == []
+
+
 def masked(spark, p, epoch=0, parts=3):
     rows = spark.createDataFrame(
         [(i, [2] + [10 + (i + j) % 80 for j in range(60)] + [2]) for i in range(200)], "id bigint, input_ids array<int>"
