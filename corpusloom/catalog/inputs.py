@@ -13,7 +13,7 @@ from corpusloom.functions.text import CONTROL, WHITESPACE, WORD
 from corpusloom.operators.documents import SEVERITY_LEVELS
 from corpusloom.operators.ordering import Order, dense_index
 from corpusloom.operators.packing import pack
-from corpusloom.operators.tokenizer import SEP, WordPiece, derive_vocabulary, encode_pretraining
+from corpusloom.operators.tokenizer import SEP, WordPiece, encode_pretraining, frequent_words, vocabulary_of, word_counts
 from corpusloom.session import scratch_path
 
 N_WORDS, N_SUFFIXES = 4000, 2000
@@ -54,15 +54,20 @@ def written(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Dat
     return spark.read.schema(schema).parquet(path)
 
 
+def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(spark, sf_dir, "word-counts", lambda: word_counts(documents(spark, sf_dir)))
+
+
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_vocabulary(documents(spark, sf_dir), N_WORDS, N_SUFFIXES)
+    return vocabulary_of(counted(spark, sf_dir), N_WORDS, N_SUFFIXES)
 
 
 def tokenizer(spark: SparkSession, sf_dir: str) -> WordPiece:
     """The tokenizer of a test folder (a vocabulary is an input, made once)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = WordPiece(written(spark, sf_dir, "vocabulary", lambda: vocabulary(spark, sf_dir)))
+        pieces = written(spark, sf_dir, "vocabulary", lambda: vocabulary(spark, sf_dir))
+        _TOKENIZERS[key] = WordPiece(pieces, frequent=frequent_words(counted(spark, sf_dir)))
     return _TOKENIZERS[key]
 
 

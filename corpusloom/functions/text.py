@@ -72,7 +72,8 @@ def normalize_word(text: Column, accents: bool = False) -> Column:
 
 def words(text: Column, accents: bool = False) -> Column:
     """Normalised words and single punctuation marks in reading order."""
-    return F.regexp_extract_all(normalize_word(text, accents), F.lit(WORD), F.lit(0))
+    apart = F.regexp_replace(normalize_word(text, accents), f"[{PUNCTUATION}{CJK}]", " $0 ")
+    return F.array_remove(F.split(apart, f"[{SPACE}]+"), "")
 
 
 def word_spans(text: Column) -> Column:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.arrays import let
-from corpusloom.functions.text import SPACED_WORD, WORD, document_text, normalize_word, words
+from corpusloom.functions.text import SPACE, SPACED_WORD, WORD, document_text, normalize_word, words
 from corpusloom.session import materialize
 
 # Special pieces in id order; sequences both begin and end with the separator.
@@ -27,7 +27,10 @@ LONGEST_WORD = 100
 MAX_PIECES = 250_000
 
 PIECE = "struct<id:int,n:int>"
-BUCKETS = 4096
+BUCKETS = 1 << 15
+
+#: Frequent words whose pieces are worked out beforehand.
+FREQUENT_WORDS = 100_000
 
 #: Words whose pieces a task remembers.
 KNOWN_WORDS = 500_000
@@ -43,19 +46,32 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def word_counts(docs: DataFrame, text: str = "text", accents: bool = False) -> DataFrame:
+    """``word, n`` of all normalised words that are not too long.
+
+    White space ends words and clean-up leaves it alone, so the runs between are counted as they lie, and only distinct
+    ones are cleaned up and split into words. Counts combine map-side, so popular words do not skew.
+    """
+    runs = docs.select(F.explode(F.split(text, f"[{SPACE}]+")).alias("run")).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    split = runs.select(F.explode(words(F.col("run"), accents)).alias("word"), "n")
+    return split.groupBy("word").agg(F.sum("n").alias("n")).where(F.length("word") <= LONGEST_WORD)
+
+
+def frequent_words(counted: DataFrame, n_words: int = FREQUENT_WORDS) -> DataFrame:
+    """``word``: the commonest of ``word_counts``."""
+    return counted.orderBy(F.desc("n"), "word").limit(n_words).select("word")
+
+
 def derive_vocabulary(docs: DataFrame, n_words: int, n_suffixes: int, text: str = "text", accents: bool = False):
+    """``piece, id`` of the words of documents; their counts are written once because three rankings read them."""
+    return vocabulary_of(materialize(word_counts(docs, text, accents), "word-counts"), n_words, n_suffixes)
+
+
+def vocabulary_of(counted: DataFrame, n_words: int, n_suffixes: int) -> DataFrame:
     """``piece, id``: specials, single characters, the commonest words and the commonest word endings.
 
-    Stands in for a published vocabulary file. Counts combine map-side, so popular words do not skew; the word
-    counts are written once because three rankings read them.
+    Stands in for a published vocabulary file. ``counted`` is a written table of ``word_counts``.
     """
-    counted = materialize(
-        docs.select(F.explode(words(F.col(text), accents)).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.length("word") <= LONGEST_WORD),
-        "word-counts",
-    )
     letters = counted.select(F.explode(F.array_distinct(F.split("word", ""))).alias("piece")).where("piece <> ''").distinct()
     top = counted.where(F.length("word") > 1).orderBy(F.desc("n"), "word").limit(n_words)
     ends = (
@@ -82,19 +98,23 @@ def derive_vocabulary(docs: DataFrame, n_words: int, n_suffixes: int, text: str
         .unionByName(ends.select("piece", "n", F.lit(4).alias("kind")))
     )
     rank = F.row_number().over(Window.orderBy("kind", F.desc("n"), "piece"))  # a vocabulary, not the corpus
-    specials = docs.sparkSession.createDataFrame(list(zip(SPECIALS, range(len(SPECIALS)))), "piece string, id int")
+    specials = counted.sparkSession.createDataFrame(list(zip(SPECIALS, range(len(SPECIALS)))), "piece string, id int")
     return specials.unionByName(pieces.select("piece", (rank + len(SPECIALS) - 1).cast("int").alias("id")))
 
 
 class WordPiece:
-    """Greedy longest-match-first WordPiece over a bounded vocabulary."""
+    """Greedy longest-match-first WordPiece over a bounded vocabulary.
 
-    def __init__(self, vocabulary: DataFrame, accents: bool = False):
+    ``frequent`` may name words of the corpus: the pieces of up to ``FREQUENT_WORDS`` of them join the constant table, so that
+    only rarer words are walked where they occur. The results are the same without it.
+    """
+
+    def __init__(self, vocabulary: DataFrame, accents: bool = False, frequent: DataFrame | None = None):
         rows = (
             vocabulary.select(
                 "piece", "id", F.regexp_replace("piece", "^##(?=.)", "").alias("key"), F.col("piece").rlike("^##.").alias("inner")
             )
-            .withColumn("bucket", F.pmod(F.hash("key"), F.lit(BUCKETS)))
+            .withColumn("bucket", _bucket(F.col("key")))
             .limit(MAX_PIECES + 1)
             .collect()
         )
@@ -107,14 +127,20 @@ class WordPiece:
         first, inner = [r for r in plain if not r.inner], [r for r in plain if r.inner]
         self._longest = {k: max((len(r.key) for r in v), default=1) for k, v in (("first", first), ("inner", inner))}
         self._first, self._inner = {r.key: r.id for r in first}, {r.key: r.id for r in inner}
+        whole = [(r.bucket, r.key, [{"id": r.id, "n": len(r.key)}]) for r in first]
         self._tables = {
-            "word": _table(first, lambda piece: [piece], f"array<{PIECE}>"),
-            "first": _table(first, lambda piece: piece, PIECE),
-            "inner": _table(inner, lambda piece: piece, PIECE),
+            "word": _table(whole, f"array<{PIECE}>"),
+            "first": _table([(b, key, piece) for b, key, (piece,) in whole], PIECE),
+            "inner": _table([(r.bucket, r.key, {"id": r.id, "n": len(r.key)}) for r in inner], PIECE),
         }
+        if frequent is not None:
+            walked = frequent.limit(FREQUENT_WORDS).select("word", _bucket(F.col("word")).alias("bucket"))
+            known = walked.withColumn("pieces", self.pieces(F.col("word"))).collect()
+            cut = [(r.bucket, r.word, [{"id": p.id, "n": p.n} for p in r.pieces]) for r in known]
+            self._tables["word"] = _table(whole + cut, f"array<{PIECE}>")
 
     def _lookup(self, table: str, key: Column) -> Column:
-        return F.element_at(F.element_at(self._tables[table], F.pmod(F.hash(key), F.lit(BUCKETS)) + 1), key)
+        return F.element_at(F.element_at(self._tables[table], _bucket(key) + 1), key)
 
     def _longest_at(self, word: Column, at: Column, table: str) -> Column:
         """The longest piece of ``table`` starting at a 1-based position, or null."""
@@ -231,11 +257,15 @@ class WordPiece:
         return F.concat(sep, body, sep)
 
 
-def _table(rows: list, value, value_type: str) -> Column:
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.hash(key), F.lit(BUCKETS))
+
+
+def _table(entries: list[tuple[int, str, object]], value_type: str) -> Column:
     """A constant hash table: an array of small maps addressed by the key's hash."""
     buckets: list[dict] = [{} for _ in range(BUCKETS)]
-    for r in rows:
-        buckets[r.bucket][r.key] = value({"id": r.id, "n": len(r.key)})
+    for bucket, key, value in entries:
+        buckets[bucket][key] = value
     return F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{value_type}>>")
 
 

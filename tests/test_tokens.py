@@ -14,7 +14,7 @@ from corpusloom.operators.packing import (
 )
 from corpusloom.operators.metrics import length_stats
 from corpusloom.operators.ordering import Order
-from corpusloom.operators.tokenizer import WordPiece, encode_pretraining, read_vocabulary
+from corpusloom.operators.tokenizer import WordPiece, encode_pretraining, read_vocabulary, word_counts
 
 PIECES = ["[PAD]", "[UNK]", "[SEP]", "[MASK]", "ge", "le", "lern", "##lern", "##en", "##r", "##n", "##e", "##t"]
 
@@ -199,3 +199,23 @@ def test_words_of_spans_are_not_walked_in_lambdas(spark, wp):
     assert [PIECES[i] for i in got[0].i] == ["ge", "##lern", "##t"] * 2 + ["[UNK]"]
     assert [(s.s, s.e) for s in got[0].s] == [(0, 2), (2, 6), (6, 7), (9, 11), (11, 15), (15, 16), (17, 20)]
     assert (got[1].i, got[1].s, got[2].i, got[2].s) == (None, None, [], []) and len(got[3].i) == 1
+
+
+def test_frequent_words_are_not_walked(spark, wp, monkeypatch):
+    """Their pieces come from the constant table: the same ids, and none at all of the walk."""
+    words = spark.createDataFrame([("gelernt",), ("xyz",), ("lern",), ("le" + "n" * 99,)], "word string")
+    known = WordPiece(spark.createDataFrame(list(zip(PIECES, range(len(PIECES)))), "piece string, id int"), frequent=words)
+    monkeypatch.setattr(known, "_longest_at", lambda word, at, table: F.raise_error(F.lit("walked")).cast("struct<id:int,n:int>"))
+    rows = spark.createDataFrame([("Gelernt xyz, lern le" + "n" * 99,)], "t string").select(F.replace("t", F.lit(","), F.lit("")).alias("t"))
+    plain = rows.select(wp.token_ids(F.col("t"))).first()[0]
+    assert rows.select(known.token_ids(F.col("t"))).first()[0] == plain == [4, 7, 12, 1, 6, 1]
+    with pytest.raises(Exception, match="walked"):
+        spark.createDataFrame([("lerne",)], "t string").select(known.token_ids(F.col("t"))).collect()
+
+
+def test_runs_are_counted_before_clean_up(spark):
+    docs = spark.createDataFrame([("Ab, \u00c4b,\tab  caf\u00e9\u00a0x\u200by ",), ("ab, " + "z" * 101,), (None,), ("",)], "text string")
+    counts = word_counts(docs)
+    assert {r.word: r.n for r in counts.collect()} == {"ab": 4, ",": 3, "cafe": 1, "xy": 1}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Aggregate") > plan.index("lower(")  # the deeper of two aggregates lies below the clean-up
