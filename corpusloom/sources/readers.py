@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from corpusloom.functions.text import without_rule_lines
 from corpusloom.operators.ordering import Order, head
-from corpusloom.session import materialize
 
 CORPUS = "doc_id bigint, text string"
 LINES = "line_id bigint, text string"
@@ -70,19 +73,39 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: str = REVIEWS)
     return spark.read.schema(schema).option("sep", "\t").option("multiLine", True).option("escape", '"').csv(path)
 
 
+def _place_in_split(split: Column) -> Column:
+    """The number of earlier rows of the same split in the task, which reads a split from end to end before the next."""
+
+    def places(splits: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        last, seen = None, 0
+        for batch in splits:
+            names = batch.to_numpy(zero_copy_only=False)
+            begins = np.flatnonzero(np.r_[len(names) > 0, names[1:] != names[:-1]])
+            ends = np.r_[begins[1:], len(names)] if len(begins) else begins
+            place = np.arange(len(names)) - np.repeat(begins, ends - begins)
+            if len(names):
+                if names[0] == last:
+                    place[: ends[0]] += seen
+                last, seen = names[-1], int(place[-1]) + 1
+            yield pa.array(place, pa.int64())
+
+    return F.arrow_udf(places, "bigint").asNondeterministic()(split)
+
+
 def with_row_ids(rows: DataFrame, name: str = "doc_id") -> DataFrame:
     """Number the rows of a file scan from 0 without gaps: by path, place in the file, and row.
 
-    Spark deals file splits to tasks in any order, but the rows of a split follow each other. Written once, so that
-    the numbers are fixed.
+    Spark deals file splits to tasks in any order, but the rows of a split follow each other. One scan counts the rows of
+    each split, another numbers them, so the rows themselves are not written; a split that was not counted is an error.
     """
-    place = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
-    placed = materialize(rows.withColumns(place | {"_at": F.monotonically_increasing_id()}), "numbered")
-    splits = placed.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    placed = rows.withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")})
+    splits = placed.groupBy("_file", "_block").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # a row per file split
-    starts = splits.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    number = (F.col("_start") + F.col("_at") - F.col("_first")).alias(name)
-    return placed.join(starts, ["_file", "_block"]).select(number, *rows.columns)
+    starts = splits.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    numbered = placed.withColumn("_at", _place_in_split(F.xxhash64("_file", "_block")))
+    lost = F.raise_error(F.lit("the files were split otherwise when their rows were counted")).cast("bigint")
+    number = F.when(F.col("_at") < F.col("_rows"), F.col("_start") + F.col("_at")).otherwise(lost).alias(name)
+    return numbered.join(F.broadcast(starts), ["_file", "_block"], "left").select(number, *rows.columns)
 
 
 def keyed(rows: DataFrame, key: str) -> DataFrame:

@@ -137,3 +137,22 @@ def test_scratch_follows_the_session(spark):
     assert scratch_root(local) == scratch_root(local) == local.folder
     assert scratch_path(spark, "x").startswith(scratch_root(spark))
     assert materialize(spark.range(3), "x").count() == 3
+
+
+def test_rows_are_numbered_without_being_written(spark, tmp_path):
+    """Several files and splits, some of them in one task; what is filtered afterwards keeps its number."""
+    path, n = str(tmp_path / "rows"), 30_000
+    spark.range(n).select(F.format_string("%06d", "id").alias("text")).repartitionByRange(3, "text").sortWithinPartitions("text").write.json(path)
+    settings = {"spark.sql.files.maxPartitionBytes": "150000", "spark.sql.files.openCostInBytes": "1000"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = readers.with_row_ids(spark.read.schema("text string").json(path))
+        assert rows.rdd.getNumPartitions() > 3
+        assert "numbered-" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.where("doc_id = cast(text as bigint)").count() == n
+        assert {r.doc_id for r in rows.where("text >= '029990'").collect()} == set(range(29_990, n))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
