@@ -26,8 +26,8 @@ from corpusloom.session import materialize
 SUPPORT, TOP, INSIDE = 10, 2000, 50
 #: Text octets of the shards that a task mines at a time (all languages together); bits of the table of candidates, as a power of two.
 SHARD_OCTETS, TABLE_BITS = 16 << 20, 27
-#: Rows of a batch handed back to Spark.
-BATCH = 200_000
+#: Rows of a batch handed back to Spark; words looked at at a time where temporary arrays would be several times the shard.
+BATCH, BLOCK = 50_000, 1 << 18
 
 _END = b"\xff"  # stands for the end of a piece; no UTF-8 text has this byte
 _BYTES = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -62,7 +62,8 @@ class _Shard:
             self.parts.append(np.zeros(1, np.uint32))
 
     def numbers(self) -> np.ndarray:
-        return np.concatenate(self.parts) if self.parts else np.zeros(0, np.uint32)
+        self.parts = [np.concatenate(self.parts) if self.parts else np.zeros(0, np.uint32)]  # the pieces are not kept beside it
+        return self.parts[0]
 
     def support(self, support: int) -> int:
         """The support lowered to the shard's share of its language, rounded up."""
@@ -147,6 +148,24 @@ def bit_table(codes: DataFrame, bits: int) -> np.ndarray:
     return table.view(np.uint64)
 
 
+def _flagged(words: np.ndarray, codes: np.ndarray, lang: str, table: np.ndarray) -> np.ndarray:
+    """Whether every two neighbours are words with their bit set, block by block."""
+    flag, mask = np.zeros(max(len(words) - 1, 0), bool), np.uint64(len(table) * 64 - 1)
+    for begin in range(0, len(flag), BLOCK):
+        pairs, inside = _pairs(words[begin : begin + BLOCK + 1], codes, lang)
+        place = pairs & mask
+        flag[begin : begin + BLOCK] = inside & ((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+    return flag
+
+
+def _places(values: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """The place of each value among the sorted distinct ones, block by block; ``np.unique`` holds several arrays for it."""
+    at = np.zeros(len(values), np.uint32)
+    for begin in range(0, len(values), BLOCK):
+        at[begin : begin + BLOCK] = np.searchsorted(distinct, values[begin : begin + BLOCK])
+    return at
+
+
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(np.uint64) << np.uint64(32)) | b
 
@@ -167,7 +186,6 @@ def count(texts: DataFrame, table: np.ndarray, octets: int) -> DataFrame:
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shared.value
-        mask = np.uint64(len(table) * 64 - 1)
 
         def rows(lang: str, n: np.ndarray, spell) -> Iterator[pd.DataFrame]:
             for part in _slices(len(n)):
@@ -183,14 +201,14 @@ def count(texts: DataFrame, table: np.ndarray, octets: int) -> DataFrame:
                 yield from rows(lang, n[used], lambda part: [spelled[i] for i in used[part].tolist()])
                 if len(words) < 2:
                     continue
-                pairs, inside = _pairs(words, codes, lang)
-                place = pairs & mask
-                flag = inside & ((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
-                two, at, n = np.unique(_joined(words[:-1][flag], words[1:][flag]), return_inverse=True, return_counts=True)
+                flag = _flagged(words, codes, lang, table)
+                both = _joined(words[:-1][flag], words[1:][flag])
+                two, n = np.unique(both, return_counts=True)
                 first, second = _parted(two)
                 yield from rows(lang, n, lambda part: [f"{spelled[a]} {spelled[b]}" for a, b in zip(first[part].tolist(), second[part].tolist())])
                 number = np.zeros(len(flag), np.uint32)
-                number[flag] = at
+                number[flag] = _places(both, two)
+                del both
                 twice = np.flatnonzero(flag[:-1] & flag[1:])
                 three, n = np.unique(_joined(number[twice], words[twice + 2]), return_counts=True)
                 pair, third = _parted(three)

@@ -281,3 +281,19 @@ def test_an_id_with_several_texts_is_one_node(spark):
     rows = [(1, "a b c d e f g"), (5, "a b c d e f g"), (5, "h i j k l m n"), (9, "h i j k l m n")]
     got = overlap.overlap_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.component_id for r in got} == {1} and len(got) == 4
+
+
+def test_a_shard_is_looked_at_in_blocks(monkeypatch):
+    """Flags and places of a shard, whatever the block; the temporary arrays are those of a block."""
+    monkeypatch.setattr(phrases, "BLOCK", 7)
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 6, 200).astype(np.uint32)
+    codes = rng.integers(0, 2**63, 6).astype(np.uint64)
+    table = rng.integers(0, 2**63, 4).astype(np.uint64)
+    pairs, inside = phrases._pairs(words, codes, "de")
+    want = [bool(i) and bool(int(table[(int(p) & 255) >> 6]) >> (int(p) & 63) & 1) for p, i in zip(pairs, inside)]
+    assert phrases._flagged(words, codes, "de", table).tolist() == want
+    assert len(phrases._flagged(words[:1], codes, "de", table)) == 0
+    values = rng.integers(0, 50, 100).astype(np.uint64)
+    distinct, at = np.unique(values, return_inverse=True)
+    assert phrases._places(values, distinct).tolist() == at.tolist()
