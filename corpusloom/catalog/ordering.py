@@ -204,9 +204,9 @@ _NAIVE = _hybrid_sql("doc_id", "key, grp, chunk", "[key, g0, c0]")
 _SORTED = _hybrid_sql("length(input_ids) DESC, doc_id", "grp, chunk", "[g0, c0]")
 
 
-def _hybrid(spark, sf_dir, strategy):
+def _hybrid(spark, sf_dir, strategy, tokens=True):
     docs = documents(spark, sf_dir)
-    return build_pretraining(docs, tokenizer(spark, sf_dir), BuildSettings(strategy=strategy, **HYBRID))
+    return build_pretraining(docs, tokenizer(spark, sf_dir), BuildSettings(strategy=strategy, **HYBRID), tokens)
 
 
 @query(f"{_NAIVE} SELECT role, {FLAT}, {TEXT} AS input_ids FROM splits")
@@ -288,7 +288,7 @@ def finetune_corpus_given_dev(spark, sf_dir):
     FROM splits GROUP BY ALL"""
 )
 def manifest(spark, sf_dir):
-    rows = pretraining_manifest(_hybrid(spark, sf_dir, "naive"))
+    rows = pretraining_manifest(_hybrid(spark, sf_dir, "naive", tokens=False))
     return rows.withColumns({c: F.col(c).cast("bigint") for c in ("part", "seq_len")})
 
 
@@ -322,7 +322,7 @@ def corpus_on_disk(spark, sf_dir):
 )
 def manifest_routing(spark, sf_dir):
     path = scratch_path(spark, "manifest")
-    write_manifest(pretraining_manifest(_hybrid(spark, sf_dir, "naive")), path)
+    write_manifest(pretraining_manifest(_hybrid(spark, sf_dir, "naive", tokens=False)), path)
     return route(read_manifest(spark, path)).select("file", "role", "position", "metric", "monitored")
 
 
@@ -333,5 +333,5 @@ def manifest_routing(spark, sf_dir):
     FROM (SELECT role, part, count(*) AS size FROM splits WHERE role = 'train' GROUP BY ALL)"""
 )
 def step_budget_query(spark, sf_dir):
-    files = pretraining_manifest(_hybrid(spark, sf_dir, "naive")).where("role = 'train'")
+    files = pretraining_manifest(_hybrid(spark, sf_dir, "naive", tokens=False)).where("role = 'train'")
     return step_budget(files, 16, 3, 0.06).select("file", "size", "steps_per_epoch", "max_steps", "warmup_steps")

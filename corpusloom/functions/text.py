@@ -72,8 +72,12 @@ def normalize_word(text: Column, accents: bool = False) -> Column:
 
 def words(text: Column, accents: bool = False) -> Column:
     """Normalised words and single punctuation marks in reading order."""
-    apart = F.regexp_replace(normalize_word(text, accents), f"[{PUNCTUATION}{CJK}]", " $0 ")
-    return F.array_remove(F.split(apart, f"[{SPACE}]+"), "")
+    return F.array_remove(F.split(words_apart(text, accents), f"[{SPACE}]+"), "")
+
+
+def words_apart(text: Column, accents: bool = False) -> Column:
+    """The same words as one text, with white space between them."""
+    return F.regexp_replace(normalize_word(text, accents), f"[{PUNCTUATION}{CJK}]", " $0 ")
 
 
 def word_spans(text: Column) -> Column:

@@ -28,8 +28,10 @@ def pack(
 
     Each input row is cut directly at the chunk borders it crosses (its place in the stream is a prefix sum),
     so tokens are never exploded one by one, and any run or group spreads over all tasks: the final grouping
-    key is a single output row. Where the rows carry their length as ``n``, placing them does not read the tokens.
+    key is a single output row. Where the rows carry their length as ``n``, placing them does not read the tokens; rows
+    with ``n`` alone give the rows' lengths alone.
     """
+    held = ids in rows.columns or "n" not in rows.columns
     width = F.lit(length) if isinstance(length, int) else F.col(length)
     extra = 0 if separator is None else 1
     size = (F.col("n") if "n" in rows.columns else F.size(ids)) + extra
@@ -41,12 +43,15 @@ def pack(
     def cut(chunk: Column) -> Column:
         low = F.greatest(first, chunk * width)
         high = F.least(last + 1, (chunk + 1) * width)
+        place = (chunk.alias("chunk"), first.alias("at"), (high - low).alias("size"))
+        if not held:
+            return F.struct(*place)
         # only the piece that ends the row gets the separator: the row's ids are sliced as they are, never rebuilt
         own = F.least(high, last + 1 - extra) - low
         piece = F.slice(ids, (low - first + 1).cast("int"), own.cast("int"))
         if separator is not None:
             piece = F.when(high > last, F.concat(piece, F.array(F.lit(separator)))).otherwise(piece)
-        return F.struct(chunk.alias("chunk"), first.alias("at"), piece.alias("piece"))
+        return F.struct(*place, piece.alias("piece"))
 
     chunks = F.sequence(F.floor(first / width), F.floor(last / width))
     pieces = placed.select(*keep, F.col("_run").alias("grp"), F.inline(F.transform(chunks, cut)))
@@ -55,8 +60,7 @@ def pack(
     )
     return (
         pieces.groupBy(*keep, "grp", "chunk")
-        .agg(joined.alias("input_ids"))
-        .withColumn("n", F.size("input_ids"))
+        .agg(*([joined.alias("input_ids")] if held else []), F.sum("size").cast("int").alias("n"))
         .where((F.col("n") == width) | (F.col("chunk") == 0))
     )
 
@@ -85,8 +89,8 @@ def at_lengths(rows: DataFrame, order: Order, lengths: Sequence[int], group_rows
 
 def length_membership(rows: DataFrame, lengths: Sequence[int], ids: str = "input_ids") -> tuple[DataFrame, DataFrame]:
     """Rows whose length is one of ``lengths`` (with ``seq_len``), and all others."""
-    inside = F.size(ids).isin(list(lengths))
-    return rows.where(inside).withColumn("seq_len", F.size(ids)), rows.where(~inside)
+    n = F.col("n") if "n" in rows.columns else F.size(ids)
+    return rows.where(n.isin(list(lengths))).withColumn("seq_len", n), rows.where(~n.isin(list(lengths)))
 
 
 def curriculum_stages(

@@ -9,7 +9,7 @@ are looked up once.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.arrays import let
-from corpusloom.functions.text import SPACE, SPACED_WORD, WORD, document_text, normalize_word, words
+from corpusloom.functions.text import SPACE, SPACED_WORD, WORD, document_text, normalize_word, words, words_apart
 from corpusloom.session import materialize
 
 # Special pieces in id order; sequences both begin and end with the separator.
@@ -134,7 +134,8 @@ class WordPiece:
             "inner": _table([(r.bucket, r.key, {"id": r.id, "n": len(r.key)}) for r in inner], PIECE),
         }
         if frequent is not None:
-            walked = frequent.limit(FREQUENT_WORDS).select("word", _bucket(F.col("word")).alias("bucket"))
+            taken = frequent.limit(FREQUENT_WORDS).repartition(frequent.sparkSession.sparkContext.defaultParallelism)
+            walked = taken.select("word", _bucket(F.col("word")).alias("bucket"))
             known = walked.withColumn("pieces", self.pieces(F.col("word"))).collect()
             cut = [(r.bucket, r.word, [{"id": p.id, "n": p.n} for p in r.pieces]) for r in known]
             self._tables["word"] = _table(whole + cut, f"array<{PIECE}>")
@@ -175,12 +176,9 @@ class WordPiece:
             self._lookup("word", word), F.when(F.length(word) > LONGEST_WORD, unknown).otherwise(walked)
         )
 
-    def _lookups(self) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """A function from words to the number of pieces of each, all piece ids and their lengths in characters.
-
-        It looks up the distinct words of a batch, each once, and keeps what it found.
-        """
-        first, inner, unknown, known = self._first, self._inner, self.ids["[UNK]"], {}
+    def _walk(self) -> Callable[[str], list[tuple[int, int]]]:
+        """A function from a word to its piece ids and their lengths in characters."""
+        first, inner, unknown = self._first, self._inner, self.ids["[UNK]"]
         longest = [max(map(len, table), default=1) for table in (first, inner)]
 
         def walk(word: str) -> list[tuple[int, int]]:
@@ -198,6 +196,15 @@ class WordPiece:
                 at = end
             return out
 
+        return walk
+
+    def _lookups(self) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """A function from words to the number of pieces of each, all piece ids and their lengths in characters.
+
+        It looks up the distinct words of a batch, each once, and keeps what it found.
+        """
+        walk, known = self._walk(), {}
+
         def pieces(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             coded = words.dictionary_encode()
             if len(known) > KNOWN_WORDS:
@@ -222,6 +229,32 @@ class WordPiece:
             F.flatten(F.transform(words(text, self.accents), self.pieces)), lambda piece: piece["id"]
         )
 
+    def token_count(self, text: Column) -> Column:
+        """The number of ``token_ids``, which are not put together for it.
+
+        Words are taken apart in the JVM; an Arrow batch adds up their counts, and a word is walked once as long as it is
+        remembered. Give it a column of its own.
+        """
+        walk = self._walk()
+
+        class Counts(dict):
+            def __missing__(self, word: str) -> int:
+                count = self[word] = len(walk(word))
+                return count
+
+        known = Counts()
+
+        def count(texts: pa.Array) -> pa.Array:
+            out = []
+            for text in texts.to_pylist():
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
+                # control characters are gone, so these blanks are those of the splitter
+                out.append(None if text is None else sum(map(known.__getitem__, text.split())))
+            return pa.array(out, pa.int32())
+
+        return _whole(F.arrow_udf(count, "int"))(words_apart(text, self.accents))
+
     def token_spans(self, text: Column) -> Column:
         """``array<struct<id, s, e>>``: piece ids with character offsets into the original text.
 
@@ -274,11 +307,26 @@ def _whole(udf):
     return udf.asNondeterministic()
 
 
+def _not_blank(docs: DataFrame, text: str) -> DataFrame:
+    return docs.where(~F.col(text).isin("", "\n"))
+
+
 def encode_pretraining(docs: DataFrame, tokenizer: WordPiece, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, input_ids, n`` for every document that is neither empty nor a lone newline; ``n`` is the length."""
-    kept = docs.where(~F.col(text).isin("", "\n"))
     ids = tokenizer.framed(tokenizer.token_ids(document_text(F.col(text))))
-    return kept.select(key, ids.alias("input_ids")).withColumn("n", F.size("input_ids"))
+    return _not_blank(docs, text).select(key, ids.alias("input_ids")).withColumn("n", F.size("input_ids"))
+
+
+def pretraining_lengths(
+    docs: DataFrame, tokenizer: WordPiece, ids_of: Sequence[int] = (), key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``key, n`` of ``encode_pretraining``, for what needs no tokens; ``input_ids`` too where ``n`` is one of ``ids_of``."""
+    whole = document_text(F.col(text))
+    rows = _not_blank(docs, text).select(key, text, tokenizer.token_count(whole).alias("_n")).withColumn("n", F.col("_n") + 2)
+    if not ids_of:
+        return rows.select(key, "n")
+    ids = F.when(F.col("n").isin(list(ids_of)), tokenizer.framed(tokenizer.token_ids(whole)))
+    return rows.select(key, ids.alias("input_ids"), "n")
 
 
 def encode_classification(

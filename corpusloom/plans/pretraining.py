@@ -15,7 +15,7 @@ from corpusloom.operators.packing import (
     repack,
     repack_stages,
 )
-from corpusloom.operators.tokenizer import WordPiece, encode_pretraining
+from corpusloom.operators.tokenizer import WordPiece, encode_pretraining, pretraining_lengths
 from corpusloom.plans.settings import BuildSettings
 from corpusloom.session import materialize
 from corpusloom.sources.manifest import build_manifest
@@ -23,16 +23,17 @@ from corpusloom.sources.manifest import build_manifest
 COLUMNS = ("role", "part", "seq_len", "row_key", "input_ids")
 
 
-def build_pretraining(docs: DataFrame, tokenizer: WordPiece, settings: BuildSettings) -> DataFrame:
+def build_pretraining(docs: DataFrame, tokenizer: WordPiece, settings: BuildSettings, tokens: bool = True) -> DataFrame:
     """All splits as one table: ``role, part, seq_len, row_key, input_ids``.
 
     ``row_key`` orders the rows of a part. Encoded documents and packed rows are written once to the shared scratch
-    folder, because several later passes read a column or two of them.
+    folder, because several later passes read a column or two of them. Without ``tokens`` the same rows come without
+    ``input_ids``: which rows there are follows from the documents' lengths, so no token is written or moved.
     """
-    encoded = materialize(encode_pretraining(docs, tokenizer), "encoded")
     if settings.strategy == "not_packed":
-        return _whole_documents(encoded, settings)
-    return _packed(encoded, tokenizer.ids["[SEP]"], settings)
+        return _whole_documents(docs, tokenizer, settings, tokens)
+    encode = encode_pretraining if tokens else pretraining_lengths
+    return _packed(materialize(encode(docs, tokenizer), "encoded"), tokenizer.ids["[SEP]"], settings)
 
 
 def _packed(encoded: DataFrame, separator: int, s: BuildSettings) -> DataFrame:
@@ -77,24 +78,27 @@ def _dev(dev: DataFrame, order: Order, s: BuildSettings) -> DataFrame:
     return sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
 
 
-def _whole_documents(encoded: DataFrame, s: BuildSettings) -> DataFrame:
+def _whole_documents(docs: DataFrame, tokenizer: WordPiece, s: BuildSettings, tokens: bool) -> DataFrame:
     """Documents of exactly the wanted lengths train; the last of the others are dev, re-packed to each length."""
+    encoded = materialize((encode_pretraining if tokens else pretraining_lengths)(docs, tokenizer), "encoded")
     train, rest = length_membership(encoded, s.training)
     order = Order.of_id("doc_id", s.id_bits)
     _, dev = tail_split(rest, order, ["doc_id"], s.dev_rows)
     part = F.array_position(F.array(*[F.lit(n) for n in s.training]), F.col("seq_len")) - 1
-    train = train.select(part.cast("int").alias("part"), "seq_len", F.array(F.col("doc_id")).alias("row_key"), "input_ids")
+    train = _with_key(train, part, F.array(F.col("doc_id")))
     return _tagged(train, "train").unionByName(_tagged(_dev(dev, order, s), "dev"))
 
 
+def _with_key(rows: DataFrame, part, key) -> DataFrame:
+    return rows.select(part.cast("int").alias("part"), "seq_len", key.alias("row_key"), *[c for c in ("input_ids",) if c in rows.columns])
+
+
 def _named(rows: DataFrame, part) -> DataFrame:
-    key = F.array(F.col("grp"), F.col("chunk")).alias("row_key")
-    return rows.select(part.cast("int").alias("part"), "seq_len", key, "input_ids")
+    return _with_key(rows, part, F.array(F.col("grp"), F.col("chunk")))
 
 
 def _numbered(rows: DataFrame, order: Order, part) -> DataFrame:
-    key = F.array(*[c.cast("bigint") for c in order.by]).alias("row_key")
-    return rows.select(part.cast("int").alias("part"), "seq_len", key, "input_ids")
+    return _with_key(rows, part, F.array(*[c.cast("bigint") for c in order.by]))
 
 
 def _cap(rows: DataFrame, max_rows: int | None) -> DataFrame | None:
@@ -106,7 +110,7 @@ def _cap(rows: DataFrame, max_rows: int | None) -> DataFrame | None:
 
 
 def _tagged(rows: DataFrame, role: str) -> DataFrame:
-    return rows.withColumn("role", F.lit(role)).select(*COLUMNS)
+    return rows.withColumn("role", F.lit(role)).select(*[c for c in COLUMNS if c == "role" or c in rows.columns])
 
 
 def pretraining_manifest(splits: DataFrame) -> DataFrame:
