@@ -79,11 +79,19 @@ def _dev(dev: DataFrame, order: Order, s: BuildSettings) -> DataFrame:
 
 
 def _whole_documents(docs: DataFrame, tokenizer: WordPiece, s: BuildSettings, tokens: bool) -> DataFrame:
-    """Documents of exactly the wanted lengths train; the last of the others are dev, re-packed to each length."""
-    encoded = materialize((encode_pretraining if tokens else pretraining_lengths)(docs, tokenizer), "encoded")
-    train, rest = length_membership(encoded, s.training)
+    """Documents of exactly the wanted lengths train; the last of the others are dev, re-packed to each length.
+
+    Most documents are neither: all are counted, and the ids of those that are taken alone are put together. The dev
+    documents, ``dev_rows`` ids, are known after all are counted, and encoded then.
+    """
+    lengths = materialize(pretraining_lengths(docs, tokenizer, s.training if tokens else ()), "encoded")
+    train, rest = length_membership(lengths, s.training)
     order = Order.of_id("doc_id", s.id_bits)
     _, dev = tail_split(rest, order, ["doc_id"], s.dev_rows)
+    if tokens:
+        # at most dev_rows ids; written before lengths are looked at, or that filter would be worked out ahead of the join
+        again = encode_pretraining(docs.join(F.broadcast(dev.select("doc_id")), "doc_id", "left_semi"), tokenizer)
+        dev = length_membership(materialize(again, "dev"), s.training)[1]  # another document of an id may have a wanted length
     part = F.array_position(F.array(*[F.lit(n) for n in s.training]), F.col("seq_len")) - 1
     train = _with_key(train, part, F.array(F.col("doc_id")))
     return _tagged(train, "train").unionByName(_tagged(_dev(dev, order, s), "dev"))
