@@ -3,15 +3,17 @@
 First pass: every shard (the texts of a language that one task holds at a time) is mined completely for two-word phrases
 at a support lowered to its share of the language. A phrase with the global support reaches the lowered one in some
 shard, so the union of what the shards report misses none; what shards did not report is bounded by their lowered
-supports, which narrows that union to phrases that can still reach the support. Second pass: all candidates are counted
-in all shards, three-word phrases among them where both of their two-word parts are candidates, and the counts added up.
+supports, which narrows that union to phrases that can still reach the support. Three-word phrases are mined likewise where
+both of their two-word parts are candidates. Last pass: all candidates are counted in all shards and the counts added up.
 
-Candidates travel to the second pass as a bit table of fixed size. A bit set by another phrase costs a count that is
-dropped later; every result rests on the counts of the phrases themselves, never on hashes.
+Shards report 32-bit codes of phrases, sorted and packed, so that a phrase takes about two octets on its way. Candidates
+travel on as bit tables of fixed size. A bit or code shared with another phrase costs a count that is dropped later; every
+result rests on the counts of the phrases themselves, never on hashes.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusloom.llm.common import narrow, windows
+from corpusloom.llm.common import mixed, narrow, windows
 from corpusloom.session import materialize
 
 #: Occurrences a phrase needs, phrases reported per language, share (percent) of a phrase that a longer one must hold to replace it.
@@ -101,29 +103,59 @@ def _slices(n: int) -> Iterator[slice]:
     return (slice(begin, begin + BATCH) for begin in range(0, n, BATCH))
 
 
-MINED = "lang string, code bigint, n bigint, slack int"
+def _packed(codes: np.ndarray, sure: np.ndarray) -> bytes:
+    """Ascending codes and their counts: gaps of codes are small, so octets of one place are put side by side and compressed."""
+    both = np.concatenate([np.diff(codes, prepend=np.uint32(0)), sure]).astype("<u4")
+    return zlib.compress(both.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
-def mine(texts: DataFrame, support: int, octets: int) -> DataFrame:
-    """Two-word phrases (as codes) with their counts in shards where they reach the lowered support.
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    octets = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    gaps, sure = np.ascontiguousarray(octets.T).view("<u4").reshape(2, -1)
+    return gaps.cumsum(dtype=np.uint32), sure
 
-    ``slack`` is what a shard may have left unreported of a phrase; a row without a code states it for the whole shard.
+
+def _part_bits(all_octets: int, octets: int) -> int:
+    """Codes are counted in 2^k ranges, each of about the phrases of two shards."""
+    return min(16, max(0, all_octets // (2 * octets)).bit_length())
+
+
+MINED = "lang string, part int, codes binary, slack int"
+
+
+def mine(texts: DataFrame, support: int, octets: int, table: np.ndarray | None = None) -> DataFrame:
+    """Codes of the phrases that reach the lowered support of a shard, packed by ranges, with their counts there less its slack.
+
+    Phrases have two words or, with a table of candidates, three words that are candidates twice. ``slack`` is what a shard may
+    have left unreported of a phrase; a row without a part states it for the whole shard.
     """
+    shared = None if table is None else texts.sparkSession.sparkContext.broadcast(table)  # of fixed size
 
     def mined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for numbers, held in _shards(batches, octets):
             codes = _codes(numbers)
             for lang, shard in held.items():
                 least = shard.support(support)
-                yield pd.DataFrame({"lang": [lang], "code": pd.array([None], "Int64"), "n": [0], "slack": [least - 1]})
+                yield pd.DataFrame({"lang": [lang], "part": pd.array([None], "Int32"), "codes": [None], "slack": [least - 1]})
                 words = shard.numbers()
                 if len(words) < 2:
                     continue
-                pairs, inside = _pairs(words, codes, lang)
-                found, n = np.unique(pairs[inside], return_counts=True)
+                if shared is None:
+                    pairs, inside = _pairs(words, codes, lang)
+                    found = pairs[inside].astype(np.uint32)
+                    del pairs, inside
+                else:
+                    flag = _flagged(words, codes, lang, shared.value)
+                    found = _triples(words, codes, lang, np.flatnonzero(flag[:-1] & flag[1:])).astype(np.uint32)
+                found, n = np.unique(found, return_counts=True)
                 found, n = found[n >= least], n[n >= least]
-                for part in _slices(len(found)):
-                    yield pd.DataFrame({"lang": lang, "code": found[part].view(np.int64), "n": n[part], "slack": least - 1})
+                sure = np.minimum(n - (least - 1), support).astype(np.uint32)
+                bits = _part_bits(shard.all_octets, octets)
+                bounds = np.searchsorted(found, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32 - bits))
+                parts = np.flatnonzero(np.diff(bounds))
+                for some in _slices(len(parts)):
+                    packed = [_packed(found[bounds[k] : bounds[k + 1]], sure[bounds[k] : bounds[k + 1]]) for k in parts[some].tolist()]
+                    yield pd.DataFrame({"lang": lang, "part": pd.array(parts[some], "Int32"), "codes": packed, "slack": least - 1})
 
     return texts.mapInPandas(mined, MINED)
 
@@ -131,15 +163,22 @@ def mine(texts: DataFrame, support: int, octets: int) -> DataFrame:
 def candidates(mined: DataFrame, support: int) -> DataFrame:
     """Codes whose reported counts and unreported remainder can together reach the support."""
     # written, so that Spark sees how small it is and joins it where the counts lie
-    slack = materialize(mined.where("code is null").groupBy("lang").agg(F.sum("slack").alias("missing")), "phrase-slack")
-    sums = mined.where("code is not null").join(slack, "lang").groupBy("code")
-    return sums.agg(F.sum(F.col("n") - F.col("slack")).alias("sure"), F.max("missing").alias("missing")).where(
-        F.col("sure") + F.col("missing") >= support
-    )
+    slack = materialize(mined.where("part is null").groupBy("lang").agg(F.sum("slack").alias("missing")), "phrase-slack")
+
+    def reached(rows: pd.DataFrame) -> pd.DataFrame:
+        codes, sure = (np.concatenate(x) for x in zip(*map(_unpacked, rows["codes"])))
+        order = np.argsort(codes, kind="stable")
+        codes, sure = codes[order], sure[order].astype(np.int64)
+        first = np.flatnonzero(np.diff(codes, prepend=~codes[:1]) != 0)
+        found = codes[first][np.add.reduceat(sure, first) + int(rows["missing"].iloc[0]) >= support]
+        return pd.DataFrame({"code": found.astype(np.int64)})
+
+    packed = mined.where("part is not null").select("lang", "part", "codes").join(slack, "lang")
+    return packed.groupBy("lang", "part").applyInPandas(reached, "code bigint")
 
 
 def bit_table(codes: DataFrame, bits: int) -> np.ndarray:
-    """A table of 2^bits bits with those of the codes set: that size bounds what comes to the driver."""
+    """A table of 2^bits bits (32 at most) with those of the codes set: that size bounds what comes to the driver."""
     place = F.col("code").bitwiseAND(F.lit((1 << bits) - 1))
     bit = F.expr("shiftleft(1L, cast(code & 63 as int))")
     words = codes.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
@@ -148,16 +187,30 @@ def bit_table(codes: DataFrame, bits: int) -> np.ndarray:
     return table.view(np.uint64)
 
 
+def _bits(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    place = codes & np.uint64(len(table) * 64 - 1)
+    return ((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 def _flagged(words: np.ndarray, codes: np.ndarray, lang: str, table: np.ndarray) -> np.ndarray:
     """Whether every two neighbours are words with their bit set, block by block."""
-    flag, mask = np.zeros(max(len(words) - 1, 0), bool), np.uint64(len(table) * 64 - 1)
+    flag = np.zeros(max(len(words) - 1, 0), bool)
     for begin in range(0, len(flag), BLOCK):
         pairs, inside = _pairs(words[begin : begin + BLOCK + 1], codes, lang)
-        place = pairs & mask
-        flag[begin : begin + BLOCK] = inside & ((table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+        flag[begin : begin + BLOCK] = inside & _bits(table, pairs)
     return flag
 
 
+def _triples(words: np.ndarray, codes: np.ndarray, lang: str, at: np.ndarray) -> np.ndarray:
+    """A code of the three words from each place, block by block."""
+    out, salt = np.zeros(len(at), np.uint64), np.uint64(xxhash.xxh3_64_intdigest(lang, seed=2))
+    for begin in range(0, len(at), BLOCK):
+        some = at[begin : begin + BLOCK]
+        two = mixed(codes[words[some]]) + codes[words[some + 1]]
+        out[begin : begin + BLOCK] = mixed(mixed(two) + codes[words[some + 2]]) ^ salt
+    return out
+
+
 def _places(values: np.ndarray, distinct: np.ndarray) -> np.ndarray:
     """The place of each value among the sorted distinct ones, block by block; ``np.unique`` holds several arrays for it."""
     at = np.zeros(len(values), np.uint32)
@@ -177,15 +230,15 @@ def _parted(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 COUNTS = "lang string, phrase string, n bigint"
 
 
-def count(texts: DataFrame, table: np.ndarray, octets: int) -> DataFrame:
-    """Occurrences in every shard of its words, of candidates, and of three words that are candidates twice.
+def count(texts: DataFrame, pairs: np.ndarray, triples: np.ndarray, octets: int) -> DataFrame:
+    """Occurrences in every shard of its words and of the candidates of two and of three words.
 
     The empty phrase counts all words.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(table)  # of fixed size
+    shared = [texts.sparkSession.sparkContext.broadcast(table) for table in (pairs, triples)]  # of fixed size
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
+        table, table_of_three = (x.value for x in shared)
 
         def rows(lang: str, n: np.ndarray, spell) -> Iterator[pd.DataFrame]:
             for part in _slices(len(n)):
@@ -210,10 +263,11 @@ def count(texts: DataFrame, table: np.ndarray, octets: int) -> DataFrame:
                 number[flag] = _places(both, two)
                 del both
                 twice = np.flatnonzero(flag[:-1] & flag[1:])
+                twice = twice[_bits(table_of_three, _triples(words, codes, lang, twice))]
                 three, n = np.unique(_joined(number[twice], words[twice + 2]), return_counts=True)
                 pair, third = _parted(three)
-                triples = lambda part: (x.tolist() for x in (first[pair[part]], second[pair[part]], third[part]))
-                yield from rows(lang, n, lambda part: [f"{spelled[a]} {spelled[b]} {spelled[c]}" for a, b, c in zip(*triples(part))])
+                parts = lambda part: (x.tolist() for x in (first[pair[part]], second[pair[part]], third[part]))
+                yield from rows(lang, n, lambda part: [f"{spelled[a]} {spelled[b]} {spelled[c]}" for a, b, c in zip(*parts(part))])
 
     return texts.mapInPandas(counted, COUNTS)
 
@@ -230,9 +284,9 @@ def phrase_counts(
     )
     sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text").cast("bigint")).alias("all_octets"))
     texts = rows.join(materialize(sizes, "phrase-languages"), "lang").select("lang", "all_octets", "text")
-    mined = materialize(mine(texts, support, octets), "phrase-mined")
-    table = bit_table(candidates(mined, support), bits)
-    counts = count(texts, table, octets).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    pairs = bit_table(candidates(materialize(mine(texts, support, octets), "phrase-mined"), support), bits)
+    triples = bit_table(candidates(materialize(mine(texts, support, octets, pairs), "phrase-mined"), support), bits)
+    counts = count(texts, pairs, triples, octets).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
     return materialize(counts.where((F.col("f") >= support) | (F.col("phrase") == "")), "phrase-counts")
 
 

@@ -297,3 +297,20 @@ def test_a_shard_is_looked_at_in_blocks(monkeypatch):
     values = rng.integers(0, 50, 100).astype(np.uint64)
     distinct, at = np.unique(values, return_inverse=True)
     assert phrases._places(values, distinct).tolist() == at.tolist()
+
+
+def test_mined_codes_are_packed(spark):
+    """op11: what a shard reports takes a few octets a phrase, and what is read from it is what was put in."""
+    rng = np.random.default_rng(5)
+    codes = np.unique(rng.integers(0, 1 << 32, 300_000, np.uint64)).astype(np.uint32)
+    sure = rng.integers(1, 11, len(codes)).astype(np.uint32) * (rng.random(len(codes)) < 0.05) + np.uint32(1)
+    packed = phrases._packed(codes, sure)
+    assert len(packed) < 3 * len(codes)
+    back = phrases._unpacked(packed)
+    assert (back[0] == codes).all() and (back[1] == sure).all()
+    words = " ".join(f"w{i % 50}" for i in range(400))
+    texts = spark.createDataFrame([("de", 4 * len(words), words)] * 4, "lang string, all_octets bigint, text string").repartition(2)
+    pairs = phrases.bit_table(phrases.candidates(phrases.mine(texts, 10, 100), 10), 20)
+    triples = phrases.bit_table(phrases.candidates(phrases.mine(texts, 10, 100, pairs), 10), 20)
+    none = phrases.bit_table(phrases.candidates(phrases.mine(texts, 33, 100, pairs), 33), 20)
+    assert [int(np.bitwise_count(t).sum()) for t in (pairs, triples, none)] == [50, 50, 0]
