@@ -18,16 +18,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.llm.common import mixed, narrow, windows
-from corpusloom.session import materialize
+from corpusloom.session import arrow_octets, materialize
 
 #: Occurrences a phrase needs, phrases reported per language, share (percent) of a phrase that a longer one must hold to replace it.
 SUPPORT, TOP, INSIDE = 10, 2000, 50
 #: Text octets of the shards that a task mines at a time (all languages together); bits of the table of candidates, as a power of two.
 SHARD_OCTETS, TABLE_BITS = 16 << 20, 27
+#: Octets of an Arrow batch of texts, which Spark and Python each hold, some of it twice.
+ARROW_OCTETS = 2 << 20
 #: Rows of a batch handed back to Spark; words looked at at a time where temporary arrays would be several times the shard.
 BATCH, BLOCK = 50_000, 1 << 18
 
@@ -35,9 +39,9 @@ _END = b"\xff"  # stands for the end of a piece; no UTF-8 text has this byte
 _BYTES = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def words_and_ends(text: str) -> list[bytes]:
-    """Words (A-Z lower-cased, between blanks and tabs) with a mark between pieces."""
-    return text.encode().translate(_BYTES).replace(_END, b" \xff ").split()
+def words_and_ends(text: bytes) -> list[bytes]:
+    """Words of UTF-8 text (A-Z lower-cased, between blanks and tabs) with a mark between pieces."""
+    return text.translate(_BYTES).replace(_END, b" \xff ").split()
 
 
 class _Numbers(dict):
@@ -72,16 +76,19 @@ class _Shard:
         return max(1, -(-support * self.octets // max(self.all_octets, 1)))
 
 
-def _shards(batches: Iterator[pd.DataFrame], octets: int) -> Iterator[tuple[_Numbers, dict[str, _Shard]]]:
-    """Shards by language, as much as ``octets`` of text at a time; a text is never cut."""
+def _shards(batches: Iterator[pa.RecordBatch], octets: int) -> Iterator[tuple[_Numbers, dict[str, _Shard]]]:
+    """Shards by language, as much as ``octets`` of text at a time; a text is never cut.
+
+    Who takes a shard lets go of it before asking for the next, so that a task holds one at a time.
+    """
     numbers, held, size = _Numbers(), {}, 0
     for batch in batches:
-        for lang, all_octets, text in zip(batch["lang"], batch["all_octets"], batch["text"]):
-            n = len(text.encode())
+        for row in zip(batch["lang"], batch["all_octets"], batch["text"].cast(pa.binary())):  # a view: the octets are not copied
+            lang, all_octets, text = (x.as_py() for x in row)  # one text at a time leaves Arrow
             if lang not in held:
-                held[lang] = _Shard(int(all_octets))
-            held[lang].add(words_and_ends(text), numbers, n)
-            size += n
+                held[lang] = _Shard(all_octets)
+            held[lang].add(words_and_ends(text), numbers, len(text))
+            size += len(text)
             if size >= octets:
                 yield numbers, held
                 numbers, held, size = _Numbers(), {}, 0
@@ -99,6 +106,22 @@ def _pairs(words: np.ndarray, codes: np.ndarray, lang: str) -> tuple[np.ndarray,
     return pairs, (words[:-1] > 0) & (words[1:] > 0)
 
 
+def _pair_codes(words: np.ndarray, codes: np.ndarray, lang: str) -> np.ndarray:
+    """32-bit codes of all two neighbours that are words, block by block."""
+    found = [np.zeros(0, np.uint32)]
+    for begin in range(0, len(words) - 1, BLOCK):
+        pairs, inside = _pairs(words[begin : begin + BLOCK + 1], codes, lang)
+        found.append(pairs[inside].astype(np.uint32))
+    return np.concatenate(found)
+
+
+def _tally(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and how often each occurs; sorts in place, where ``np.unique`` holds several arrays."""
+    values.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]]))
+    return values[first], np.diff(first, append=len(values))
+
+
 def _slices(n: int) -> Iterator[slice]:
     return (slice(begin, begin + BATCH) for begin in range(0, n, BATCH))
 
@@ -121,6 +144,7 @@ def _part_bits(all_octets: int, octets: int) -> int:
 
 
 MINED = "lang string, part int, codes binary, slack int"
+_MINED = pa.schema({"lang": pa.string(), "part": pa.int32(), "codes": pa.binary(), "slack": pa.int32()})
 
 
 def mine(texts: DataFrame, support: int, octets: int, table: np.ndarray | None = None) -> DataFrame:
@@ -131,33 +155,36 @@ def mine(texts: DataFrame, support: int, octets: int, table: np.ndarray | None =
     """
     shared = None if table is None else texts.sparkSession.sparkContext.broadcast(table)  # of fixed size
 
-    def mined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_shard(numbers: _Numbers, held: dict[str, _Shard]) -> Iterator[pa.RecordBatch]:
+        codes = _codes(numbers)
+        for lang, shard in held.items():
+            least = shard.support(support)
+            yield pa.record_batch([[lang], [None], [None], [least - 1]], _MINED)
+            words = shard.numbers()
+            if len(words) < 2:
+                continue
+            if shared is None:
+                found = _pair_codes(words, codes, lang)
+            else:
+                flag = _flagged(words, codes, lang, shared.value)
+                found = np.concatenate([np.zeros(0, np.uint32), *(_triples(words, codes, lang, at).astype(np.uint32) for at in _twice(flag))])
+            found, n = _tally(found)
+            found, n = found[n >= least], n[n >= least]
+            sure = np.minimum(n - (least - 1), support).astype(np.uint32)
+            bits = _part_bits(shard.all_octets, octets)
+            bounds = np.searchsorted(found, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32 - bits))
+            parts = np.flatnonzero(np.diff(bounds))
+            for some in _slices(len(parts)):
+                packed = [_packed(found[bounds[k] : bounds[k + 1]], sure[bounds[k] : bounds[k + 1]]) for k in parts[some].tolist()]
+                m = len(packed)
+                yield pa.record_batch([pa.repeat(lang, m), pa.array(parts[some], pa.int32()), packed, pa.repeat(least - 1, m).cast(pa.int32())], _MINED)
+
+    def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for numbers, held in _shards(batches, octets):
-            codes = _codes(numbers)
-            for lang, shard in held.items():
-                least = shard.support(support)
-                yield pd.DataFrame({"lang": [lang], "part": pd.array([None], "Int32"), "codes": [None], "slack": [least - 1]})
-                words = shard.numbers()
-                if len(words) < 2:
-                    continue
-                if shared is None:
-                    pairs, inside = _pairs(words, codes, lang)
-                    found = pairs[inside].astype(np.uint32)
-                    del pairs, inside
-                else:
-                    flag = _flagged(words, codes, lang, shared.value)
-                    found = _triples(words, codes, lang, np.flatnonzero(flag[:-1] & flag[1:])).astype(np.uint32)
-                found, n = np.unique(found, return_counts=True)
-                found, n = found[n >= least], n[n >= least]
-                sure = np.minimum(n - (least - 1), support).astype(np.uint32)
-                bits = _part_bits(shard.all_octets, octets)
-                bounds = np.searchsorted(found, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32 - bits))
-                parts = np.flatnonzero(np.diff(bounds))
-                for some in _slices(len(parts)):
-                    packed = [_packed(found[bounds[k] : bounds[k + 1]], sure[bounds[k] : bounds[k + 1]]) for k in parts[some].tolist()]
-                    yield pd.DataFrame({"lang": lang, "part": pd.array(parts[some], "Int32"), "codes": packed, "slack": least - 1})
-
-    return texts.mapInPandas(mined, MINED)
+            yield from of_shard(numbers, held)
+            del numbers, held
+
+    return texts.mapInArrow(mined, MINED)
 
 
 def candidates(mined: DataFrame, support: int) -> DataFrame:
@@ -201,14 +228,17 @@ def _flagged(words: np.ndarray, codes: np.ndarray, lang: str, table: np.ndarray)
     return flag
 
 
+def _twice(flag: np.ndarray) -> Iterator[np.ndarray]:
+    """Places that are flagged like the next one, block by block."""
+    for begin in range(0, len(flag) - 1, BLOCK):
+        end = min(begin + BLOCK, len(flag) - 1)
+        yield begin + np.flatnonzero(flag[begin:end] & flag[begin + 1 : end + 1])
+
+
 def _triples(words: np.ndarray, codes: np.ndarray, lang: str, at: np.ndarray) -> np.ndarray:
-    """A code of the three words from each place, block by block."""
-    out, salt = np.zeros(len(at), np.uint64), np.uint64(xxhash.xxh3_64_intdigest(lang, seed=2))
-    for begin in range(0, len(at), BLOCK):
-        some = at[begin : begin + BLOCK]
-        two = mixed(codes[words[some]]) + codes[words[some + 1]]
-        out[begin : begin + BLOCK] = mixed(mixed(two) + codes[words[some + 2]]) ^ salt
-    return out
+    """A code of the three words from each place."""
+    two = mixed(codes[words[at]]) + codes[words[at + 1]]
+    return mixed(mixed(two) + codes[words[at + 2]]) ^ np.uint64(xxhash.xxh3_64_intdigest(lang, seed=2))
 
 
 def _places(values: np.ndarray, distinct: np.ndarray) -> np.ndarray:
@@ -220,14 +250,18 @@ def _places(values: np.ndarray, distinct: np.ndarray) -> np.ndarray:
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a.astype(np.uint64) << np.uint64(32)) | b
+    both = a.astype(np.uint64)
+    both <<= np.uint64(32)
+    both |= b
+    return both
 
 
 def _parted(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return (both >> np.uint64(32)).astype(np.uint32), both.astype(np.uint32)
 
 
 COUNTS = "lang string, phrase string, n bigint"
+_COUNTS = pa.schema({"lang": pa.string(), "phrase": pa.string(), "n": pa.int64()})
 
 
 def count(texts: DataFrame, pairs: np.ndarray, triples: np.ndarray, octets: int) -> DataFrame:
@@ -237,39 +271,44 @@ def count(texts: DataFrame, pairs: np.ndarray, triples: np.ndarray, octets: int)
     """
     shared = [texts.sparkSession.sparkContext.broadcast(table) for table in (pairs, triples)]  # of fixed size
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_shard(numbers: _Numbers, held: dict[str, _Shard]) -> Iterator[pa.RecordBatch]:
         table, table_of_three = (x.value for x in shared)
+        codes, spelled = _codes(numbers), pa.array((w.decode("utf-8", "replace") for w in numbers), pa.string())
 
-        def rows(lang: str, n: np.ndarray, spell) -> Iterator[pd.DataFrame]:
+        def rows(lang: str, n: np.ndarray, *words: np.ndarray) -> Iterator[pa.RecordBatch]:
             for part in _slices(len(n)):
-                yield pd.DataFrame({"lang": lang, "phrase": spell(part), "n": n[part]})
-
+                phrase = pc.binary_join_element_wise(*(spelled.take(pa.array(w[part])) for w in words), " ")
+                yield pa.record_batch([pa.repeat(lang, len(phrase)), phrase, pa.array(n[part], pa.int64())], _COUNTS)
+
+        for lang, shard in held.items():
+            words = shard.numbers()
+            n = np.bincount(words, minlength=1)
+            used = np.flatnonzero(n[1:]) + 1
+            yield pa.record_batch([[lang], [""], [int(n[1:].sum())]], _COUNTS)
+            yield from rows(lang, n[used], used)
+            del n, used
+            if len(words) < 2:
+                continue
+            flag = _flagged(words, codes, lang, table)
+            two, n = _tally(_joined(words[:-1][flag], words[1:][flag]))
+            first, second = _parted(two)
+            yield from rows(lang, n, first, second)
+
+            def threes() -> Iterator[np.ndarray]:
+                for at in _twice(flag):
+                    at = at[_bits(table_of_three, _triples(words, codes, lang, at))]
+                    yield _joined(_places(_joined(words[at], words[at + 1]), two), words[at + 2])
+
+            three, n = _tally(np.concatenate([np.zeros(0, np.uint64), *threes()]))
+            pair, third = _parted(three)
+            yield from rows(lang, n, first[pair], second[pair], third)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for numbers, held in _shards(batches, octets):
-            codes, spelled = _codes(numbers), [w.decode("utf-8", "replace") for w in numbers]
-            for lang, shard in held.items():
-                words = shard.numbers()
-                n = np.bincount(words, minlength=1)
-                used = np.flatnonzero(n[1:]) + 1
-                yield from rows(lang, n[1:].sum(keepdims=True), lambda part: [""])
-                yield from rows(lang, n[used], lambda part: [spelled[i] for i in used[part].tolist()])
-                if len(words) < 2:
-                    continue
-                flag = _flagged(words, codes, lang, table)
-                both = _joined(words[:-1][flag], words[1:][flag])
-                two, n = np.unique(both, return_counts=True)
-                first, second = _parted(two)
-                yield from rows(lang, n, lambda part: [f"{spelled[a]} {spelled[b]}" for a, b in zip(first[part].tolist(), second[part].tolist())])
-                number = np.zeros(len(flag), np.uint32)
-                number[flag] = _places(both, two)
-                del both
-                twice = np.flatnonzero(flag[:-1] & flag[1:])
-                twice = twice[_bits(table_of_three, _triples(words, codes, lang, twice))]
-                three, n = np.unique(_joined(number[twice], words[twice + 2]), return_counts=True)
-                pair, third = _parted(three)
-                parts = lambda part: (x.tolist() for x in (first[pair[part]], second[pair[part]], third[part]))
-                yield from rows(lang, n, lambda part: [f"{spelled[a]} {spelled[b]} {spelled[c]}" for a, b, c in zip(*parts(part))])
-
-    return texts.mapInPandas(counted, COUNTS)
+            yield from of_shard(numbers, held)
+            del numbers, held
+
+    return texts.mapInArrow(counted, COUNTS)
 
 
 def phrase_counts(
@@ -284,10 +323,13 @@ def phrase_counts(
     )
     sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text").cast("bigint")).alias("all_octets"))
     texts = rows.join(materialize(sizes, "phrase-languages"), "lang").select("lang", "all_octets", "text")
-    pairs = bit_table(candidates(materialize(mine(texts, support, octets), "phrase-mined"), support), bits)
-    triples = bit_table(candidates(materialize(mine(texts, support, octets, pairs), "phrase-mined"), support), bits)
-    counts = count(texts, pairs, triples, octets).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-    return materialize(counts.where((F.col("f") >= support) | (F.col("phrase") == "")), "phrase-counts")
+    with arrow_octets(docs.sparkSession, ARROW_OCTETS):
+        pairs = bit_table(candidates(materialize(mine(texts, support, octets), "phrase-mined"), support), bits)
+        triples = bit_table(candidates(materialize(mine(texts, support, octets, pairs), "phrase-mined"), support), bits)
+        # dealt out before they are added up: a shard has a phrase once, so the tasks that count would only hold tables of them
+        dealt = count(texts, pairs, triples, octets).repartition("lang", "phrase")
+        counts = dealt.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+        return materialize(counts.where((F.col("f") >= support) | (F.col("phrase") == "")), "phrase-counts")
 
 
 def _number_of_words() -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +58,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def arrow_octets(spark: SparkSession, octets: int) -> Iterator[None]:
+    """Arrow batches of about ``octets`` for the jobs that run inside; a size that the session names itself stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(octets))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)

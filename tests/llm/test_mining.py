@@ -4,15 +4,20 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import overlap, phrases, resampling
 from corpusloom.llm.common import Memo, positions
+from corpusloom.session import arrow_octets
 
 LONG = "alpha beta gamma delta " * 4000
 ODD = [
@@ -314,3 +319,53 @@ def test_mined_codes_are_packed(spark):
     triples = phrases.bit_table(phrases.candidates(phrases.mine(texts, 10, 100, pairs), 10), 20)
     none = phrases.bit_table(phrases.candidates(phrases.mine(texts, 33, 100, pairs), 33), 20)
     assert [int(np.bitwise_count(t).sum()) for t in (pairs, triples, none)] == [50, 50, 0]
+
+
+def test_a_task_that_counts_holds_one_shard_and_little_more(monkeypatch):
+    """op11: peak memory of a task over several shards, as a multiple of a shard's text; it took 20 times that."""
+    monkeypatch.setattr(phrases, "BLOCK", 1 << 14)
+    rnd = random.Random(3)
+    words = [f"word{i}" for i in range(20_000)]
+    texts = [" ".join(rnd.choices(words, k=2000)) for _ in range(240)]
+    octets = 75 * min(map(len, texts))
+
+    def batches(table, kind):
+        for some in (texts[i : i + 20] for i in range(0, 240, 20)):
+            yield table({"lang": ["en"] * 20, "all_octets": [10**6] * 20, "text": [kind(x) for x in some]})
+
+    context = SimpleNamespace(broadcast=lambda table: SimpleNamespace(value=table))
+    docs = SimpleNamespace(
+        sparkSession=SimpleNamespace(sparkContext=context),
+        mapInPandas=lambda f, _: f(batches(pd.DataFrame, str)),
+        mapInArrow=lambda f, _: f(batches(pa.record_batch, str.encode)),
+    )
+    table = np.full(1 << 10, 2**64 - 1, np.uint64)
+    tracemalloc.start()
+    try:
+        assert sum(1 for _ in phrases.count(docs, table, table, octets)) > 3
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 12 * octets
+
+
+def test_arrow_batches_are_bounded_for_the_jobs_inside(spark):
+    """op11: by octets, and only there; a size of the session's own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(0, 5000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("text"))
+
+    def most():
+        sizes = rows.mapInArrow(lambda batches: (pa.record_batch([[b.num_rows]], names=["n"]) for b in batches), "n bigint")
+        return max(r.n for r in sizes.collect())
+
+    assert spark.conf.get(key, None) is None and most() == 5000
+    with arrow_octets(spark, 1 << 20):
+        assert 500 < most() < 1500
+    assert spark.conf.get(key, None) is None and most() == 5000
+    spark.conf.set(key, "16m")
+    try:
+        with arrow_octets(spark, 1 << 20):
+            assert most() == 5000
+        assert spark.conf.get(key) == "16m"
+    finally:
+        spark.conf.unset(key)
